@@ -1,0 +1,102 @@
+"""Run each registered Spark query and its DuckDB oracle on one scale factor
+and compare row count, column names and an order-insensitive value hash.
+
+    python tests/oracle_compare.py [sf_dir] [key ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import hashlib
+import math
+import os
+import sys
+import time
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, bool):
+        return v
+    if isinstance(v, (float, decimal.Decimal)):
+        f = float(v)
+        if math.isnan(f):
+            return "nan"
+        return round(f, 6) + 0.0
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat()
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    return v
+
+
+def digest(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    lines = sorted(repr(tuple(_norm(r[i]) for i in order)) for r in rows)
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()
+
+
+def duck(sf_dir):
+    import duckdb
+    con = duckdb.connect()
+    for t in TABLES:
+        p = os.path.join(sf_dir, f"{t}.parquet")
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def compare(spark, sf_dir, keys=None):
+    import __spark_entry__ as entry
+    qs, sql = entry.queries(), entry.oracle_sql()
+    con = duck(sf_dir)
+    out = {}
+    for k in keys or sorted(qs):
+        t = time.time()
+        try:
+            df = qs[k](spark, sf_dir)
+            s_cols = df.columns
+            s_rows = [tuple(r) for r in df.collect()]
+        except Exception as e:  # noqa: BLE001
+            out[k] = {"ok": False, "error": f"spark: {e}"[:400]}
+            continue
+        if k not in sql:
+            out[k] = {"ok": None, "rows": len(s_rows)}
+            continue
+        try:
+            cur = con.execute(sql[k])
+            d_cols = [c[0] for c in cur.description]
+            d_rows = cur.fetchall()
+        except Exception as e:  # noqa: BLE001
+            out[k] = {"ok": False, "error": f"duckdb: {e}"[:400]}
+            continue
+        res = {"spark_rows": len(s_rows), "oracle_rows": len(d_rows),
+               "cols_ok": sorted(s_cols) == sorted(d_cols),
+               "hash_ok": digest(s_cols, s_rows) == digest(d_cols, d_rows),
+               "sec": round(time.time() - t, 2)}
+        res["ok"] = res["cols_ok"] and res["hash_ok"] and len(s_rows) == len(d_rows)
+        if not res["cols_ok"]:
+            res["cols"] = [sorted(set(s_cols) - set(d_cols)), sorted(set(d_cols) - set(s_cols))]
+        out[k] = res
+    return out
+
+
+if __name__ == "__main__":
+    from linkquality.conf import build_session
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    keys = sys.argv[2:] or None
+    spark = build_session("local[8]", shuffle_partitions=8)
+    res = compare(spark, sf, keys)
+    bad = 0
+    for k, v in res.items():
+        print(("OK  " if v.get("ok") else "BAD ") + k, v)
+        bad += not v.get("ok")
+    print(f"{len(res) - bad}/{len(res)} match")
