@@ -27,7 +27,7 @@ from ..sources.adapters import M_EVENTS_SQL, M_LINEITEM_SQL, m_events, m_lineite
 from ..sources.landing import read_bronze, read_landing
 from ..sources.tables import load, read_table
 from . import fixtures
-from .jobs import ingest_months, to_bronze
+from .jobs import ingest_months, to_bronze, write_sessions, write_silver
 
 # Dashboard selections used by the serving queries.
 REGIONS = ("N/A", "ASIA", "EUROPE")
@@ -171,9 +171,9 @@ def _silver_lineitem_keys(spark, sf):
 
 
 def q_silver_write_read(spark, sf):
-    return _materialize(spark, _silver_lineitem_keys(spark, sf), "silver",
-                        partition_by=("measurement_date",),
-                        cluster_by=("user_id", "connection_regional_unit"), dynamic=False)
+    path = scratch_path(spark, "silver")
+    write_silver(_silver_lineitem_keys(spark, sf), path)
+    return read_table(spark, path)
 
 
 def q_serve_silver_projection(spark, sf):
@@ -203,8 +203,9 @@ def q_sessions_short_decay(spark, sf):
 
 
 def q_sessions_write_read(spark, sf):
-    return _materialize(spark, sessions(spark, sf), "sessions", partition_by=("session_date",),
-                        cluster_by=("user_id", "behavior_bucket"), dynamic=False)
+    path = scratch_path(spark, "sessions")
+    write_sessions(sessions(spark, sf), path)
+    return read_table(spark, path)
 
 
 def q_gold_regional_metrics(spark, sf):

@@ -60,6 +60,26 @@ def ingest_months(spark: SparkSession, landing: str | list[str], bronze: str,
                 cluster_by=("measurement_time",))
 
 
+SILVER_CLUSTER = ("measurement_date", "user_id", "connection_regional_unit")
+SESSIONS_CLUSTER = ("session_date", "user_id", "behavior_bucket")
+
+
+def write_silver(silver: DataFrame, path: str) -> None:
+    """silver_measurements layout: folders by the bronze month keys when the
+    frame has them, files range-clustered and sorted by (day, user, regional
+    unit).  Day filters are answered from Parquet min/max statistics; one
+    folder per day would mean one file per day even when a day holds a few
+    rows, and thousands of folders over the years."""
+    parts = tuple(k for k in PARTITION_KEYS if k in silver.columns)
+    write_table(silver, path, partition_by=parts, cluster_by=SILVER_CLUSTER, dynamic=False)
+
+
+def write_sessions(sessions: DataFrame, path: str) -> None:
+    """silver_user_sessions layout: range-clustered, sorted by (day, user,
+    bucket), no folders (a session may cross any month boundary)."""
+    write_table(sessions, path, cluster_by=SESSIONS_CLUSTER, dynamic=False)
+
+
 def refresh_warehouse(spark: SparkSession, bronze: str, warehouse: str,
                       session_timeout_minutes: int = 30, max_days_between_sessions: float = 14,
                       merge_schema: bool = False, method: str = "chunked") -> dict[str, str]:
@@ -67,14 +87,12 @@ def refresh_warehouse(spark: SparkSession, bronze: str, warehouse: str,
     Returns table name -> path."""
     paths = {t: os.path.join(warehouse, t) for t in TABLES}
     silver = clean_measurements(read_bronze(spark, bronze, merge_schema))
-    write_table(silver, paths["silver_measurements"], partition_by=("measurement_date",),
-                cluster_by=("user_id", "connection_regional_unit"), dynamic=False)
+    write_silver(silver, paths["silver_measurements"])
     silver = spark.read.parquet(paths["silver_measurements"])
 
     sessions = create_user_sessions(silver, session_timeout_minutes,
                                     max_days_between_sessions, method=method)
-    write_table(sessions, paths["silver_user_sessions"], partition_by=("session_date",),
-                cluster_by=("user_id", "behavior_bucket"), dynamic=False)
+    write_sessions(sessions, paths["silver_user_sessions"])
     sessions = spark.read.parquet(paths["silver_user_sessions"])
 
     write_table(regional_metrics(silver), paths["gold_regional_metrics"])

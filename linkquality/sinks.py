@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
@@ -16,22 +16,22 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     * ``partition_by`` -> folder partitions.  With ``dynamic`` (default) an
       overwrite replaces only the partitions present in ``df`` and leaves
       the others untouched; with ``dynamic=False`` the whole table is replaced.
-    * ``cluster_by`` -> rows are range-partitioned on (partition keys,
-      cluster keys, row hash) and sorted the same way inside each task, so
-      every file covers a narrow key range (tight Parquet min/max statistics
-      for skipping) and each date partition is written by a few tasks instead
-      of every task.  The row hash at the end lets the range split a single
-      hot (date, key) value across tasks.  It is a deterministic function of
-      the row, so a re-run task sends every row where the first run did.
+    * ``cluster_by`` -> rows are sorted by (partition keys, cluster keys)
+      inside each write task, so every file holds row groups with narrow
+      key ranges (Parquet min/max statistics then skip row groups on day /
+      user filters).
+    * the rows are first rebalanced on the partition keys (AQE
+      ``REBALANCE``): one shuffle, a partition key goes to one task unless it
+      is big, and then AQE splits it into tasks of the advisory size, so a
+      hot month or day does not end up in a single writer.  No sampling pass
+      (range partitioning would compute its input twice).
     * ``fmt`` / ``options`` select the sink, so a warehouse connector is a
       matter of configuration; only Parquet is exercised here.
     """
     parts, clus = list(partition_by), list(cluster_by)
     out = df
     if parts or clus:
-        h = F.xxhash64(*[F.col(c) for c in df.columns])
-        keys = [F.col(c) for c in parts + clus] + [h]
-        out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        out = df.hint("rebalance", *parts).sortWithinPartitions(*(parts + clus))
     w = out.write.format(fmt).mode(mode).options(**(options or {}))
     if parts:
         w = w.partitionBy(*parts)
