@@ -52,14 +52,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Doubles rounded to ``places`` decimals for comparison with the oracle.
 
-    The value is nudged away from zero by a relative 2**-30 before rounding
+    The value is nudged away from zero by a relative 2**-40 before rounding
     half away from zero (both steps exact IEEE operations, written the same
     way in the oracle SQL).  Means of inputs with few decimals often sit
     exactly on a rounding tie, where the last-bit noise of different
     summation orders would otherwise round the two engines apart.
     """
     scale = float(10 ** places)
-    return df.select(*[(F.round(F.col(f.name) * F.lit(1.0 + 2.0 ** -30) * F.lit(scale), 0)
+    return df.select(*[(F.round(F.col(f.name) * F.lit(1.0 + 2.0 ** -40) * F.lit(scale), 0)
                         / F.lit(scale)).alias(f.name)
                        if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
                        for f in df.schema.fields])

@@ -24,7 +24,7 @@ def _in(values) -> str:
 
 def _r(expr: str) -> str:
     """Rounding that matches ``catalog.rounded`` bit for bit."""
-    return f"(round(({expr}) * (1 + pow(2, -30)) * 1e{R}) / 1e{R})"
+    return f"(round(({expr}) * (1 + pow(2, -40)) * 1e{R}) / 1e{R})"
 
 
 def _round(cols) -> str:
@@ -188,7 +188,7 @@ def _corr_sql() -> str:
             xb = f"CASE WHEN {val(a)} IS NOT NULL THEN {val(b)} END"
             parts.append(
                 f"SELECT {clean(a)} AS variable_1, {clean(b)} AS variable_2, "
-                f"(round((covar_pop({xa}, {xb}) / nullif(stddev_pop({xa}) * stddev_pop({xb}), 0)) * (1 + pow(2, -30)) * 1e{R}) / 1e{R})"
+                f"(round((covar_pop({xa}, {xb}) / nullif(stddev_pop({xa}) * stddev_pop({xb}), 0)) * (1 + pow(2, -40)) * 1e{R}) / 1e{R})"
                 f" AS correlation FROM fr")
     return _with(*FREG) + "\nUNION ALL\n".join(parts)
 
@@ -210,9 +210,9 @@ SELECT range AS j,
   CASE WHEN range = {steps} THEN CAST({hi} AS DOUBLE)
        ELSE CAST({lo} AS DOUBLE) + (range / {steps}) * CAST({hi - lo} AS DOUBLE) END AS value
 FROM range(0, {steps + 1}))""") + f"""
-SELECT v.connection_periphery, g.value,
+SELECT v.connection_periphery, {_r('g.value')} AS value,
   (round((sum(exp(-0.5 * ((g.value - v.x) / bw.h) * ((g.value - v.x) / bw.h)))
-        / sqrt(2 * pi()) / bw.h / bw.n * bw.n) * (1 + pow(2, -30)) * 1e{R}) / 1e{R}) AS density
+        / sqrt(2 * pi()) / bw.h / bw.n * bw.n) * (1 + pow(2, -40)) * 1e{R}) / 1e{R}) AS density
 FROM v JOIN bw ON v.connection_periphery = bw.connection_periphery CROSS JOIN g
 GROUP BY v.connection_periphery, g.j, g.value, bw.h, bw.n"""
 
@@ -225,9 +225,9 @@ FROM sessions WHERE prev_session_end IS NOT NULL)""",
 SELECT range AS j,
   CASE WHEN range = {GAP_STEPS} THEN q.hi ELSE 0.0::DOUBLE + (range / {GAP_STEPS}) * q.hi END AS value
 FROM range(0, {GAP_STEPS + 1}) CROSS JOIN q)""") + f"""
-SELECT g.value AS value,
+SELECT {_r('g.value')} AS value,
   (round((sum(exp(-0.5 * ((g.value - gaps.x) / {GAP_BANDWIDTH}) * ((g.value - gaps.x) / {GAP_BANDWIDTH})))
-        / sqrt(2 * pi()) / {GAP_BANDWIDTH} / count(*)) * (1 + pow(2, -30)) * 1e{R}) / 1e{R}) AS density
+        / sqrt(2 * pi()) / {GAP_BANDWIDTH} / count(*)) * (1 + pow(2, -40)) * 1e{R}) / 1e{R}) AS density
 FROM gaps CROSS JOIN g GROUP BY g.j, g.value"""
 
 
@@ -263,7 +263,7 @@ FROM (SELECT r.* REPLACE ({_athens_to_utc('m.measurement_time')} AS measurement_
             f"THEN TIMESTAMP '{INGEST_STAMP_2}' ELSE TIMESTAMP '{INGEST_STAMP_1}' END AS ingested_at",
         "GROUP BY year, month"),
     "bronze_scan": _bronze_sql(f"WHERE year = {SCAN_YEAR}",
-                               f"measurement_id, (round((measured_downstream_mbps) * (1 + pow(2, -30)) * 1e{R}) / 1e{R}) AS "
+                               f"measurement_id, (round((measured_downstream_mbps) * (1 + pow(2, -40)) * 1e{R}) / 1e{R}) AS "
                                "measured_downstream_mbps, year, month"),
     "month_range": """SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
   d AS first_day, last_day(d) AS last_day
@@ -294,19 +294,19 @@ FROM (SELECT CAST(gs AS DATE) AS d
     "serve_filtered_sessions": _with(*SESSIONS, STAIRCASE)
     + f"SELECT * REPLACE ({_round(STAIRCASE_DOUBLES)}) FROM staircase WHERE {SESSION_YEAR_FILTER}",
     "serve_rolling_download": _with(*FREG) + f"""SELECT measurement_date, connection_periphery,
-  (round((avg_downstream_mbps) * (1 + pow(2, -30)) * 1e{R}) / 1e{R}) AS avg_downstream_mbps,
+  (round((avg_downstream_mbps) * (1 + pow(2, -40)) * 1e{R}) / 1e{R}) AS avg_downstream_mbps,
   (round((avg(avg_downstream_mbps) OVER (PARTITION BY connection_periphery ORDER BY measurement_date
-        ROWS BETWEEN 15 PRECEDING AND 15 FOLLOWING)) * (1 + pow(2, -30)) * 1e{R}) / 1e{R}) AS rolling_mean FROM fr""",
+        ROWS BETWEEN 15 PRECEDING AND 15 FOLLOWING)) * (1 + pow(2, -40)) * 1e{R}) / 1e{R}) AS rolling_mean FROM fr""",
     "serve_rolling_upload": _with(*FREG) + f"""SELECT measurement_date, connection_periphery,
-  (round((avg_upstream_mbps) * (1 + pow(2, -30)) * 1e{R}) / 1e{R}) AS avg_upstream_mbps,
+  (round((avg_upstream_mbps) * (1 + pow(2, -40)) * 1e{R}) / 1e{R}) AS avg_upstream_mbps,
   (round((avg(avg_upstream_mbps) OVER (PARTITION BY connection_periphery ORDER BY measurement_date
-        ROWS BETWEEN 15 PRECEDING AND 15 FOLLOWING)) * (1 + pow(2, -30)) * 1e{R}) / 1e{R}) AS rolling_mean FROM fr""",
+        ROWS BETWEEN 15 PRECEDING AND 15 FOLLOWING)) * (1 + pow(2, -40)) * 1e{R}) / 1e{R}) AS rolling_mean FROM fr""",
     "serve_kpis": _with(*FREG) + f"""SELECT
   (round((sum(avg_downstream_mbps * CASE WHEN avg_downstream_mbps IS NOT NULL THEN total_tests END)
-    / nullif(sum(CASE WHEN avg_downstream_mbps IS NOT NULL THEN total_tests END), 0)) * (1 + pow(2, -30)) * 1e{R}) / 1e{R})
+    / nullif(sum(CASE WHEN avg_downstream_mbps IS NOT NULL THEN total_tests END), 0)) * (1 + pow(2, -40)) * 1e{R}) / 1e{R})
     AS avg_downstream_mbps,
   (round((sum(avg_upstream_mbps * CASE WHEN avg_upstream_mbps IS NOT NULL THEN total_tests END)
-    / nullif(sum(CASE WHEN avg_upstream_mbps IS NOT NULL THEN total_tests END), 0)) * (1 + pow(2, -30)) * 1e{R}) / 1e{R})
+    / nullif(sum(CASE WHEN avg_upstream_mbps IS NOT NULL THEN total_tests END), 0)) * (1 + pow(2, -40)) * 1e{R}) / 1e{R})
     AS avg_upstream_mbps,
   CAST(sum(total_tests) AS BIGINT) AS total_tests FROM fr""",
     "serve_regions": _with(*REG) + "SELECT DISTINCT connection_periphery FROM regional",
@@ -319,31 +319,31 @@ FROM (SELECT CAST(gs AS DATE) AS d
   CAST(sum(total_tests) AS BIGINT) AS total_tests FROM fr GROUP BY 1, 2""",
     "serve_staircase": _with(*SESSIONS, STAIRCASE) + f"""SELECT behavior_bucket,
   CAST(sum(total_sessions) AS BIGINT) AS total_sessions,
-  (round((avg(median_loss_pct)) * (1 + pow(2, -30)) * 1e{R}) / 1e{R}) AS mean_median_loss_pct
+  (round((avg(median_loss_pct)) * (1 + pow(2, -40)) * 1e{R}) / 1e{R}) AS mean_median_loss_pct
 FROM staircase WHERE {SESSION_YEAR_FILTER} GROUP BY 1""",
     "serve_retention": _with(*SESSIONS, RETENTION) + f"""SELECT user_type,
   CAST(sum(total_sessions) AS BIGINT) AS total_sessions,
-  (round((sum(total_sessions) / sum(sum(total_sessions)) OVER ()) * (1 + pow(2, -30)) * 1e{R}) / 1e{R}) AS share
+  (round((sum(total_sessions) / sum(sum(total_sessions)) OVER ()) * (1 + pow(2, -40)) * 1e{R}) / 1e{R}) AS share
 FROM retention WHERE {SESSION_YEAR_FILTER} GROUP BY 1""",
     "serve_session_histogram": _with(*SESSIONS)
     + "SELECT test_count, count(*) AS sessions FROM sessions GROUP BY 1",
     "serve_gap_quantile": _with(*SESSIONS) + f"""SELECT (round((quantile_cont(
-  CAST(floor(epoch(session_start)) - floor(epoch(prev_session_end)) AS DOUBLE), 0.8)) * (1 + pow(2, -30)) * 1e{R}) / 1e{R})
+  CAST(floor(epoch(session_start)) - floor(epoch(prev_session_end)) AS DOUBLE), 0.8)) * (1 + pow(2, -40)) * 1e{R}) / 1e{R})
   AS gap_quantile FROM sessions""",
     "serve_brush_filter": _with(*FREG) + f"""SELECT measurement_date, connection_periphery,
-  (round((avg_upstream_mbps) * (1 + pow(2, -30)) * 1e{R}) / 1e{R}) AS avg_upstream_mbps,
-  (round((avg_downstream_mbps) * (1 + pow(2, -30)) * 1e{R}) / 1e{R}) AS avg_downstream_mbps FROM fr
+  (round((avg_upstream_mbps) * (1 + pow(2, -40)) * 1e{R}) / 1e{R}) AS avg_upstream_mbps,
+  (round((avg_downstream_mbps) * (1 + pow(2, -40)) * 1e{R}) / 1e{R}) AS avg_downstream_mbps FROM fr
 WHERE avg_upstream_mbps BETWEEN {BRUSH_X[0]} AND {BRUSH_X[1]}
   AND avg_downstream_mbps BETWEEN {BRUSH_Y[0]} AND {BRUSH_Y[1]}
   AND connection_periphery IN ({_in(BRUSH_REGIONS)})""",
     "serve_scatter_clamped": _with(*FREG) + f"""SELECT measurement_date, connection_periphery,
-  (round((CASE WHEN avg_rtt_msec IS NOT NULL THEN least(greatest(avg_rtt_msec, 0.0), 500.0) END) * (1 + pow(2, -30)) * 1e{R}) / 1e{R})
+  (round((CASE WHEN avg_rtt_msec IS NOT NULL THEN least(greatest(avg_rtt_msec, 0.0), 500.0) END) * (1 + pow(2, -40)) * 1e{R}) / 1e{R})
     AS rtt_clamped,
   (round((CASE WHEN avg_downstream_mbps IS NOT NULL
-             THEN least(greatest(avg_downstream_mbps, 0.0), 500.0) END) * (1 + pow(2, -30)) * 1e{R}) / 1e{R}) AS downstream_clamped,
-  (round((avg_jitter_msec) * (1 + pow(2, -30)) * 1e{R}) / 1e{R}) AS avg_jitter_msec FROM fr""",
-    "serve_scatter": _with(*FREG) + f"""SELECT (round((avg_upstream_mbps) * (1 + pow(2, -30)) * 1e{R}) / 1e{R}) AS avg_upstream_mbps,
-  (round((avg_downstream_mbps) * (1 + pow(2, -30)) * 1e{R}) / 1e{R}) AS avg_downstream_mbps, connection_periphery FROM fr""",
+             THEN least(greatest(avg_downstream_mbps, 0.0), 500.0) END) * (1 + pow(2, -40)) * 1e{R}) / 1e{R}) AS downstream_clamped,
+  (round((avg_jitter_msec) * (1 + pow(2, -40)) * 1e{R}) / 1e{R}) AS avg_jitter_msec FROM fr""",
+    "serve_scatter": _with(*FREG) + f"""SELECT (round((avg_upstream_mbps) * (1 + pow(2, -40)) * 1e{R}) / 1e{R}) AS avg_upstream_mbps,
+  (round((avg_downstream_mbps) * (1 + pow(2, -40)) * 1e{R}) / 1e{R}) AS avg_downstream_mbps, connection_periphery FROM fr""",
     "serve_correlation": _corr_sql(),
     "serve_density_upstream": _density_sql("avg_upstream_mbps", UPSTREAM_EXTENT, DENSITY_STEPS),
     "serve_density_downstream": _density_sql("avg_downstream_mbps", DOWNSTREAM_EXTENT,

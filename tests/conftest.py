@@ -1,0 +1,27 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from linkquality.conf import build_session
+    ck = tempfile.mkdtemp(prefix="lq-test-")
+    s = build_session("local[4]", app="linkquality-tests", shuffle_partitions=8,
+                      extra={"spark.checkpoint.dir": ck})
+    s.sparkContext.setCheckpointDir(ck)
+    yield s
+    s.stop()
+
+
+@pytest.fixture()
+def tmp(tmp_path):
+    return str(tmp_path)

@@ -1,0 +1,101 @@
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import meas
+from linkquality.operators.sessions import (SESSION_COLUMNS, create_user_sessions,
+                                            flag_sessions)
+from linkquality.operators.silver import clean_measurements
+from linkquality.sources.adapters import m_events
+
+METHODS = [("window", 86400), ("chunked", 86400), ("chunked", 600), ("chunked", 1)]
+
+
+def sids(spark, rows, method, chunk, timeout=30):
+    f = flag_sessions(meas(spark, rows), timeout, method=method, chunk_seconds=chunk)
+    return {r["measurement_id"]: r["session_id"] for r in f.collect()}
+
+
+@pytest.mark.parametrize("method,chunk", METHODS)
+def test_strict_timeout(spark, method, chunk):
+    rows = [("u", 1, "2024-01-01 10:00:00", 1.0), ("u", 2, "2024-01-01 10:30:00", 1.0),
+            ("u", 3, "2024-01-01 11:00:01", 1.0)]
+    assert sids(spark, rows, method, chunk) == {1: 1, 2: 1, 3: 2}
+
+
+@pytest.mark.parametrize("method,chunk", METHODS)
+def test_subsecond_truncation(spark, method, chunk):
+    # 10:11:19.47 -> 10:41:20.36 is 1800.89 s, but 1801 whole seconds -> new session
+    rows = [("u", 1, "2024-01-01 10:11:19.470000", 1.0),
+            ("u", 2, "2024-01-01 10:41:20.360000", 1.0)]
+    assert sids(spark, rows, method, chunk) == {1: 1, 2: 2}
+
+
+@pytest.mark.parametrize("method,chunk", METHODS)
+def test_ties_share_a_session(spark, method, chunk):
+    rows = [("u", 1, "2024-01-01 10:00:00", 1.0), ("u", 2, "2024-01-01 10:00:00", 1.0),
+            ("u", 3, "2024-01-01 12:00:00", 1.0), ("u", 4, "2024-01-01 12:00:00", 1.0)]
+    assert sids(spark, rows, method, chunk) == {1: 1, 2: 1, 3: 2, 4: 2}
+
+
+@pytest.mark.parametrize("method,chunk", METHODS)
+def test_session_across_midnight_and_empty_chunks(spark, method, chunk):
+    rows = [("u", 1, "2024-01-01 23:50:00", 1.0), ("u", 2, "2024-01-02 00:10:00", 1.0),
+            ("u", 3, "2024-01-02 00:35:00", 1.0), ("u", 4, "2024-01-05 08:00:00", 1.0),
+            ("v", 5, "2024-01-02 00:10:00", 1.0), (None, 6, "2024-01-02 00:10:00", 1.0),
+            (None, 7, "2024-01-02 00:20:00", 1.0)]
+    assert sids(spark, rows, method, chunk) == {1: 1, 2: 1, 3: 1, 4: 2, 5: 1, 6: 1, 7: 1}
+
+
+def enriched(spark, rows, method, chunk=86400, max_days=14):
+    s = create_user_sessions(meas(spark, rows), 30, max_days, method=method, chunk_seconds=chunk)
+    return {(r["user_id"], r["session_id"]): r for r in s.collect()}
+
+
+@pytest.mark.parametrize("method,chunk", METHODS)
+def test_decay_inclusive_and_zero_baseline(spark, method, chunk):
+    rows = [("u", 1, "2024-01-01 10:00:00", 0.0),     # previous mean 0
+            ("u", 2, "2024-01-15 10:00:00", 5.0),     # exactly 14 days later
+            ("u", 3, "2024-01-29 10:00:01", 4.0)]     # 14 days + 1 s
+    s = enriched(spark, rows, method, chunk)
+    assert s[("u", 1)]["has_valid_baseline"] is False
+    assert s[("u", 2)]["has_valid_baseline"] is True
+    assert s[("u", 2)]["days_since_prev_session"] == 14.0
+    assert s[("u", 2)]["speed_drop_pct"] is None          # try_divide by 0
+    assert s[("u", 3)]["has_valid_baseline"] is False
+    assert s[("u", 3)]["speed_drop_pct"] is None
+    assert s[("u", 3)]["prev_session_downstream"] == 5.0
+
+
+@pytest.mark.parametrize("method,chunk", METHODS)
+def test_speed_drop_and_buckets(spark, method, chunk):
+    rows = [("u", 1, "2024-01-01 10:00:00", 100.0), ("u", 2, "2024-01-01 10:10:00", 100.0),
+            ("u", 3, "2024-01-02 10:00:00", 80.0), ("u", 4, "2024-01-02 10:05:00", 80.0),
+            ("u", 5, "2024-01-02 10:06:00", 80.0), ("u", 6, "2024-01-02 10:07:00", 80.0),
+            ("u", None, "2024-01-03 10:07:00", 80.0)]
+    s = enriched(spark, rows, method, chunk)
+    assert s[("u", 1)]["behavior_bucket"] == "2. Moderate (2-3)"
+    assert s[("u", 2)]["behavior_bucket"] == "3. High (4+)"
+    assert s[("u", 2)]["speed_drop_pct"] == pytest.approx(20.0)
+    assert s[("u", 3)]["test_count"] == 0 and s[("u", 3)]["behavior_bucket"] == "Unknown"
+    assert list(next(iter(s.values())).asDict()) == SESSION_COLUMNS
+
+
+def test_forms_agree_on_events(spark):
+    silver = clean_measurements(m_events(spark, "/root/testdata/sf0.01"))
+    rnd = [F.round(c, 9).alias(c) if t == "double" else F.col(c)
+           for c, t in create_user_sessions(silver, method="window").dtypes]
+    a = create_user_sessions(silver, method="window").select(*rnd)
+    b = create_user_sessions(silver, method="chunked").select(*rnd)
+    c = create_user_sessions(silver, method="chunked", chunk_seconds=3600).select(*rnd)
+    assert a.count() == b.count() == c.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.exceptAll(c).count() == 0
+
+
+def test_invariants(spark):
+    silver = clean_measurements(m_events(spark, "/root/testdata/sf0.01"))
+    s = create_user_sessions(silver)
+    assert s.agg(F.sum("test_count")).first()[0] == silver.filter(
+        F.col("measurement_id").isNotNull()).count()
+    # a user's sessions never overlap, and each starts after the previous ended
+    assert s.filter(F.col("prev_session_end") >= F.col("session_start")).count() == 0
