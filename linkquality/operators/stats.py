@@ -128,25 +128,34 @@ def _pair_corr(x: str, y: str) -> Column:
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATION_COLUMNS) -> DataFrame:
     """Long-form matrix ``(variable_1, variable_2, correlation)``
-    with cleaned labels; one aggregation computes each unordered pair once
-    (partial aggregates per task, one small final merge)."""
+    with cleaned labels, Pearson on pairwise-complete rows; NULL for a
+    constant column.
+
+    Each row is turned into one (pair, x, y) triple per unordered pair of
+    columns (a fixed fan-out through ``inline``), and one grouped
+    aggregation over the pair id computes ``covar_pop`` and the two
+    ``stddev_pop``: few aggregation buffers, so the stage stays in
+    whole-stage code generation, and partial aggregates per task leave one
+    row per pair to shuffle.  The result is mirrored to the full square.
+    """
     cols = list(columns)
-    aggs, cells = [], []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if j < i:
-                continue
-            name = f"c_{i}_{j}"
-            aggs.append(_pair_corr(a, b).alias(name))
-    wide = df.agg(*aggs)
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            name = f"c_{min(i, j)}_{max(i, j)}"
-            cells.append(F.struct(F.lit(a).alias("v1"), F.lit(b).alias("v2"),
-                                  F.col(name).alias("correlation")))
-    long = wide.select(F.inline(F.array(*cells)))
-    return long.select(clean_label_col("v1").alias("variable_1"),
-                       clean_label_col("v2").alias("variable_2"),
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    clean = {c: _clean(c) for c in cols}
+    triples = F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
+                 F.when(clean[cols[j]].isNotNull(), clean[cols[i]]).alias("x"),
+                 F.when(clean[cols[i]].isNotNull(), clean[cols[j]]).alias("y"))
+        for i, j in pairs])
+    long = df.select(F.inline(triples))
+    agg = long.groupBy("i", "j").agg(F.try_divide(
+        F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("correlation"))
+    names = F.array(*[F.lit(c) for c in cols])
+    fwd = F.struct(F.col("i").alias("a"), F.col("j").alias("b"), "correlation")
+    rev = F.struct(F.col("j").alias("a"), F.col("i").alias("b"), "correlation")
+    both = agg.select(F.inline(F.when(F.col("i") == F.col("j"), F.array(fwd))
+                               .otherwise(F.array(fwd, rev))))
+    return both.select(clean_label_col(F.element_at(names, F.col("a") + 1)).alias("variable_1"),
+                       clean_label_col(F.element_at(names, F.col("b") + 1)).alias("variable_2"),
                        "correlation")
 
 

@@ -109,3 +109,27 @@ def test_write_table_dynamic_overwrite(spark, tmp):
     write_table(a, p, partition_by=["k"], cluster_by=["v"])
     write_table(spark.createDataFrame([(2, "z")], "k int, v string"), p, partition_by=["k"])
     assert sorted((r.k, r.v) for r in spark.read.parquet(p).collect()) == [(1, "x"), (2, "z")]
+
+
+def test_streaming_ingest_picks_up_only_new_files(spark, tmp):
+    from linkquality.streaming.ingest import ingest_new_files
+    land = os.path.join(tmp, "land")
+    os.makedirs(land)
+    bronze, ck = os.path.join(tmp, "bronze"), os.path.join(tmp, "ck")
+
+    def drop(name, rows):
+        with open(os.path.join(land, name), "w", encoding="utf-8") as f:
+            for r in rows:
+                f.write(json.dumps(r, ensure_ascii=False) + "\n")
+
+    drop("2023-09.json", [dict(SAMPLE, measurement_id=1, measurement_time="2023-09-10 10:00:00")])
+    ingest_new_files(spark, land, bronze, ck, ingested_at=dt.datetime(2024, 1, 1))
+    drop("2023-10.json", [dict(SAMPLE, measurement_id=i, measurement_time=f"2023-10-1{i} 10:00:00")
+                          for i in (2, 3)])
+    ingest_new_files(spark, land, bronze, ck, ingested_at=dt.datetime(2024, 2, 1))
+    ingest_new_files(spark, land, bronze, ck, ingested_at=dt.datetime(2024, 3, 1))  # nothing new
+    b = read_bronze(spark, bronze)
+    got = {(r.month, r.n, r.s) for r in b.groupBy("month").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.date_format(F.col("ingested_at"), "yyyy-MM")).alias("s")).collect()}
+    assert got == {(9, 1, "2024-01"), (10, 2, "2024-02")}
