@@ -56,7 +56,12 @@ def exact_quantile_value(df: DataFrame, col: str, q: float, buckets: int = 512,
     pos = (n - 1) * q
     lo_rank, hi_rank = math.floor(pos), math.ceil(pos)
     v_lo = _kth(vals, lo_rank, first, buckets, accuracy)
-    v_hi = v_lo if hi_rank == lo_rank else _kth(vals, hi_rank, first, buckets, accuracy)
+    if hi_rank == lo_rank:
+        return v_lo
+    # the next rank is v_lo again while copies of it remain, else the next value
+    r = vals.agg(F.count(F.when(F.col("x") <= v_lo, 1)).alias("le"),
+                 F.min(F.when(F.col("x") > v_lo, F.col("x"))).alias("nxt")).first()
+    v_hi = v_lo if r["le"] > hi_rank else float(r["nxt"])
     return v_lo + (pos - lo_rank) * (v_hi - v_lo)
 
 
