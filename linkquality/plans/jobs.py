@@ -15,9 +15,9 @@ from ..functions.time import localize, utc_wallclock, wall_micros
 from ..operators.gold import frustration_staircase, regional_metrics, user_retention
 from ..operators.sessions import create_user_sessions
 from ..operators.silver import clean_measurements
-from ..schema import BRONZE_SCHEMA, PARTITION_KEYS, conform
+from ..schema import BRONZE_SCHEMA, PARTITION_KEYS, RAW_SCHEMA, SchemaMismatch, conform
 from ..sinks import write_table
-from ..sources.landing import read_bronze, read_landing
+from ..sources.landing import landing_keys, read_bronze, read_landing
 
 TABLES = ("silver_measurements", "silver_user_sessions", "gold_regional_metrics",
           "gold_user_retention", "gold_frustration_staircase")
@@ -50,10 +50,20 @@ def ingest_months(spark: SparkSession, landing: str | list[str], bronze: str,
                   start: str | None = None, end: str | None = None,
                   tz: str = "Europe/Athens", ambiguous: str = "infer",
                   multiline: bool = False,
-                  ingested_at: _dt.datetime | None = None) -> None:
+                  ingested_at: _dt.datetime | None = None,
+                  require_fields: bool = False) -> None:
     """Landing JSON -> bronze, one Spark job for all months of a backfill.
     Only the month partitions present in the data are replaced; an empty
-    landing writes nothing."""
+    landing writes nothing.
+
+    ``require_fields`` fails the run when a declared field occurs in no
+    landing record at all (a NULL value is fine).  It costs one extra pass
+    over the landing text, a distributed distinct of the keys."""
+    if require_fields:
+        present = {r["key"] for r in landing_keys(spark, landing).collect()}
+        missing = [f.name for f in RAW_SCHEMA.fields if f.name not in present]
+        if present and missing:
+            raise SchemaMismatch(f"fields missing from every landing record: {missing}")
     raw = read_landing(spark, landing, multiline=multiline)
     bronze_df = to_bronze(raw, tz, ambiguous, ingested_at, start, end)
     write_table(bronze_df, bronze, partition_by=PARTITION_KEYS,

@@ -133,3 +133,16 @@ def test_streaming_ingest_picks_up_only_new_files(spark, tmp):
         F.count(F.lit(1)).alias("n"),
         F.max(F.date_format(F.col("ingested_at"), "yyyy-MM")).alias("s")).collect()}
     assert got == {(9, 1, "2024-01"), (10, 2, "2024-02")}
+
+
+def test_require_fields(spark, tmp):
+    rec = {k: v for k, v in SAMPLE.items() if k != "ISP"}
+    land = _landing(tmp, [rec], "nokey")
+    with pytest.raises(SchemaMismatch, match="ISP"):
+        ingest_months(spark, land, os.path.join(tmp, "b1"), require_fields=True)
+    ingest_months(spark, land, os.path.join(tmp, "b2"))          # default: NULL column
+    assert read_bronze(spark, os.path.join(tmp, "b2")).first()["ISP"] is None
+    extra = dict(SAMPLE, unexpected_field=1)
+    ingest_months(spark, _landing(tmp, [extra], "extra"), os.path.join(tmp, "b3"),
+                  require_fields=True)                          # extra fields are dropped
+    assert "unexpected_field" not in read_bronze(spark, os.path.join(tmp, "b3")).columns
