@@ -178,44 +178,61 @@ def bandwidth_expr(n, sd, q1, q3) -> Column:
 
 def kernel_density(df: DataFrame, col: str, extent: tuple[float, float], steps: int = 250,
                    group_by: Sequence[str] | None = None, bandwidth: float | None = None,
-                   counts: bool = False) -> DataFrame:
+                   counts: bool = False, pre_aggregate: bool = True) -> DataFrame:
     """Gaussian kernel density of ``col`` sampled at ``steps + 1``
     evenly spaced points of ``extent`` (both ends included), per group.
 
     ``density`` is the probability density, times the group's size when
     ``counts`` is set.  NULL / NaN values are skipped.  The bandwidth is
-    ``bandwidth`` or, when None, the library default per group (exact
-    quartiles via ``percentile`` on each group).
-
-    Work: every value meets every grid point (n x (steps+1), fixed fan-out
-    through ``explode`` of a generated sequence, not a join); the sum is
-    combined map-side, so the shuffle is groups x (steps+1) x tasks rows.
+    ``bandwidth`` or, when None, the library default per group.
+
+    Work: with ``pre_aggregate`` equal values of a group are first combined
+    into (value, multiplicity) by a partial + final aggregation, so integer
+    or repeated data (session gaps in whole seconds) pays one kernel per
+    distinct value, not per row.  Every value then meets every grid point
+    through ``explode`` of a generated sequence (a fixed fan-out, not a
+    join); the weighted sum is combined map-side, so the last shuffle is
+    groups x (steps+1) x tasks rows.
+
+    Default bandwidth: grouped, one aggregation per group (``stddev_samp`` and
+    exact ``percentile`` quartiles, which hold a group's distinct values:
+    meant for gold-sized groups) joined on the group keys; ungrouped, the
+    quartiles come from the distributed ``exact_quantile_value`` and the
+    bandwidth is a literal.
     """
     keys = list(group_by or [])
     lo, hi = float(extent[0]), float(extent[1])
     span = hi - lo
     v = df.select(*keys, _clean(col).alias("_x")).filter(F.col("_x").isNotNull())
+    w = v.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_w")) if pre_aggregate \
+        else v.withColumn("_w", F.lit(1).cast("long"))
 
     if bandwidth is not None:
-        pts = v.withColumn("_h", F.lit(float(bandwidth)))
-    else:
+        pts = w.withColumn("_h", F.lit(float(bandwidth)))
+    elif keys:
         stats = v.groupBy(*keys).agg(
             bandwidth_expr(F.count(F.lit(1)), F.stddev_samp("_x"),
                            F.percentile("_x", 0.25), F.percentile("_x", 0.75)).alias("_h"))
-        if keys:
-            # one row per group; AQE broadcasts it only when it measures it small
-            pts = v.join(stats, on=keys, how="inner")
-        else:
-            # a scalar subquery: computed once, then a literal in every task
-            pts = v.withColumn("_h", stats.select("_h").scalar())
+        # one row per group; AQE broadcasts it only when it measures it small
+        pts = w.join(stats, on=keys, how="inner")
+    else:
+        m = v.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("_x").alias("sd")).first()
+        if not m["n"]:
+            return df.sparkSession.createDataFrame([], "value double, density double")
+        q1 = exact_quantile_value(v, "_x", 0.25)
+        q3 = exact_quantile_value(v, "_x", 0.75)
+        h = v.sparkSession.range(1).select(bandwidth_expr(
+            F.lit(m["n"]), F.lit(m["sd"]).cast("double"), F.lit(q1), F.lit(q3))).first()[0]
+        pts = w.withColumn("_h", F.lit(float(h)))
 
     grid_value = F.when(F.col("_j") == steps, F.lit(hi)).otherwise(
         F.lit(lo) + (F.col("_j") / F.lit(steps)) * F.lit(span))
-    pts = pts.select(*keys, "_x", "_h", F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("_j"))
+    pts = pts.select(*keys, "_x", "_w", "_h",
+                     F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("_j"))
     z = (grid_value - F.col("_x")) / F.col("_h")
-    agg = pts.groupBy(*keys, "_j").agg(F.sum(F.exp(F.lit(-0.5) * z * z)).alias("_s"),
-                                       F.count(F.lit(1)).alias("_n"),
-                                       F.max("_h").alias("_h"))
+    agg = pts.groupBy(*keys, "_j").agg(
+        F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z)).alias("_s"),
+        F.sum("_w").alias("_n"), F.max("_h").alias("_h"))
     dens = F.col("_s") / F.lit(SQRT_2PI) / F.col("_h") / F.col("_n")
     if counts:
         dens = dens * F.col("_n")

@@ -74,14 +74,15 @@ SILVER_CLUSTER = ("measurement_date", "user_id", "connection_regional_unit")
 SESSIONS_CLUSTER = ("session_date", "user_id", "behavior_bucket")
 
 
-def write_silver(silver: DataFrame, path: str) -> None:
+def write_silver(silver: DataFrame, path: str, replace_all: bool = True) -> None:
     """silver_measurements layout: folders by the bronze month keys when the
     frame has them, files range-clustered and sorted by (day, user, regional
     unit).  Day filters are answered from Parquet min/max statistics; one
     folder per day would mean one file per day even when a day holds a few
     rows, and thousands of folders over the years."""
     parts = tuple(k for k in PARTITION_KEYS if k in silver.columns)
-    write_table(silver, path, partition_by=parts, cluster_by=SILVER_CLUSTER, dynamic=False)
+    write_table(silver, path, partition_by=parts, cluster_by=SILVER_CLUSTER,
+                dynamic=not replace_all and bool(parts))
 
 
 def write_sessions(sessions: DataFrame, path: str) -> None:
@@ -92,12 +93,28 @@ def write_sessions(sessions: DataFrame, path: str) -> None:
 
 def refresh_warehouse(spark: SparkSession, bronze: str, warehouse: str,
                       session_timeout_minutes: int = 30, max_days_between_sessions: float = 14,
-                      merge_schema: bool = False, method: str = "chunked") -> dict[str, str]:
-    """Full recompute of the five tables (as the reference does each run).
-    Returns table name -> path."""
+                      merge_schema: bool = False, method: str = "chunked",
+                      months: list[str] | None = None) -> dict[str, str]:
+    """Recompute the five tables.  Returns table name -> path.
+
+    Without ``months`` everything is rebuilt from bronze (as the reference
+    does each run).  With ``months`` (``["YYYY-MM", ...]``, e.g. the months
+    just ingested) only those silver month partitions are re-cleaned - the
+    bronze scan is pruned to their folders and the other silver months are
+    left untouched - while sessions and gold, which span months, are rebuilt
+    from the whole silver table.
+    """
     paths = {t: os.path.join(warehouse, t) for t in TABLES}
-    silver = clean_measurements(read_bronze(spark, bronze, merge_schema))
-    write_silver(silver, paths["silver_measurements"])
+    bronze_df = read_bronze(spark, bronze, merge_schema)
+    if months:
+        keys = [tuple(int(p) for p in m.split("-")) for m in months]
+        cond = None
+        for y, m in keys:
+            c = (F.col("year") == y) & (F.col("month") == m)
+            cond = c if cond is None else cond | c
+        bronze_df = bronze_df.filter(cond)
+    write_silver(clean_measurements(bronze_df), paths["silver_measurements"],
+                 replace_all=not months)
     silver = spark.read.parquet(paths["silver_measurements"])
 
     sessions = create_user_sessions(silver, session_timeout_minutes,

@@ -146,3 +146,21 @@ def test_require_fields(spark, tmp):
     ingest_months(spark, _landing(tmp, [extra], "extra"), os.path.join(tmp, "b3"),
                   require_fields=True)                          # extra fields are dropped
     assert "unexpected_field" not in read_bronze(spark, os.path.join(tmp, "b3")).columns
+
+
+def test_refresh_only_some_silver_months(spark, tmp):
+    recs = [dict(SAMPLE, measurement_id=i, measurement_time=t) for i, t in
+            [(1, "2023-09-10 10:00:00"), (2, "2023-10-10 10:00:00")]]
+    bronze, wh = os.path.join(tmp, "bronze"), os.path.join(tmp, "wh")
+    ingest_months(spark, _landing(tmp, recs), bronze)
+    paths = refresh_warehouse(spark, bronze, wh)
+    sep = os.path.join(paths["silver_measurements"], "year=2023", "month=9")
+    before = sorted(os.listdir(sep))
+    recs2 = [dict(SAMPLE, measurement_id=i, measurement_time="2023-10-11 10:00:00") for i in (3, 4)]
+    ingest_months(spark, _landing(tmp, recs2, "land2"), bronze)       # October replaced
+    refresh_warehouse(spark, bronze, wh, months=["2023-10"])
+    assert sorted(os.listdir(sep)) == before                          # September untouched
+    silver = spark.read.parquet(paths["silver_measurements"])
+    assert sorted(r.measurement_id for r in silver.collect()) == [1, 3, 4]
+    s = spark.read.parquet(paths["silver_user_sessions"])
+    assert s.agg(F.sum("test_count")).first()[0] == 3
