@@ -26,9 +26,32 @@ PIPELINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Checkpointed session tables are removed once no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int, split_mb: int = 256,
+               shuffle_mb: int = 256) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of Parquet.
+
+    * input splits of ``split_mb`` (100 TB -> ~400k scan tasks);
+    * initial shuffle partitions so that a full-width shuffle of the input
+      gives ~``shuffle_mb`` per partition, at least 2 x cores; AQE then
+      coalesces small partitions and splits skewed ones to the same
+      advisory size, so a partition fits an executor core's memory share.
+    """
+    mb = 1 << 20
+    parts = max(2 * total_cores, int(input_bytes // (shuffle_mb * mb)) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{split_mb}m",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{shuffle_mb}m",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": f"{shuffle_mb // 4}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * shuffle_mb}m",
+    }
+
+
 def build_session(master: str | None = None, app: str = "linkquality",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:

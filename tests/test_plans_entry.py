@@ -78,3 +78,10 @@ def test_lineitem_adapter_broadcasts_only_fixed_dimensions(spark):
     text = plan_text(m_lineitem(spark, SF001))
     assert count_nodes(m_lineitem(spark, SF001), "BroadcastExchange") >= 2
     assert "Scan parquet" in text
+
+
+def test_scale_conf():
+    from linkquality.conf import scale_conf
+    c = scale_conf(100 * 2 ** 40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409601
+    assert scale_conf(10 ** 6, 8)["spark.sql.shuffle.partitions"] == "16"
