@@ -88,49 +88,56 @@ def localize(df: DataFrame, col: str = "measurement_time", tz: str = "Europe/Ath
     else:
         has_offset, ntz, with_offset = F.lit(False), src, F.lit(None).cast("timestamp")
 
-    e = wall_micros(ntz)
-    o_a = zone_offset_micros(e - _DAY_US, tz)           # offset before a change that day
-    o_b = zone_offset_micros(e + _DAY_US, tz)           # offset after it
-    u_a, u_b = e - o_a, e - o_b
-    ok_a = zone_offset_micros(u_a, tz) == o_a
-    ok_b = zone_offset_micros(u_b, tz) == o_b
-    gap_start = wall_micros(F.date_trunc("hour", ntz)) - o_a
-
-    tmp = {"__ua": u_a, "__ub": u_b,
-           "__amb": ok_a & ok_b & (u_a != u_b),
-           "__one": F.when(ok_a, u_a).when(ok_b, u_b).otherwise(gap_start)}
-    out = df.withColumns(tmp)
+    # Each intermediate is its own column, computed once per row: written as
+    # one nested expression, the parse and the zone lookups would be repeated
+    # in every branch that uses them.
+    c = F.col
+    out = df.withColumns({"__off": with_offset, "__w": ntz})
+    out = out.withColumn("__e", wall_micros("__w"))
+    out = out.withColumns({"__oa": zone_offset_micros(c("__e") - _DAY_US, tz),   # before a change
+                           "__ob": zone_offset_micros(c("__e") + _DAY_US, tz)})  # after it
+    out = out.withColumns({"__ua": c("__e") - c("__oa"), "__ub": c("__e") - c("__ob")})
+    # no change of offset within a day either side (almost every row): the
+    # wall clock is valid and unique, skip the two checks
+    calm = c("__oa") == c("__ob")
+    out = out.withColumns({
+        "__oka": F.when(calm, F.lit(True)).otherwise(zone_offset_micros("__ua", tz) == c("__oa")),
+        "__okb": F.when(calm, F.lit(True)).otherwise(zone_offset_micros("__ub", tz) == c("__ob"))})
+    out = out.withColumns({
+        "__amb": c("__oka") & c("__okb") & (c("__ua") != c("__ub")),
+        "__one": F.when(c("__oka"), c("__ua")).when(c("__okb"), c("__ub"))
+                  .otherwise(wall_micros(F.date_trunc("hour", c("__w"))) - c("__oa")),
+    })
 
     if ambiguous == "infer":
         # Only overlap rows take part; every other row is its own window
         # partition (spread by hash), so the window is a plain sort.
-        key = F.when(F.col("__amb"), F.to_date(ntz).cast("string"))
-        spread = F.when(F.col("__amb"), F.lit(0)).otherwise(
-            F.xxhash64(F.col(order_col), F.col("__ua")))
+        key = F.when(c("__amb"), F.to_date("__w").cast("string"))
+        spread = F.when(c("__amb"), F.lit(0)).otherwise(F.xxhash64(c(order_col), c("__ua")))
         w = Window.partitionBy(key.alias("__k"), spread.alias("__s")).orderBy(order_col)
         whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        step = F.when(F.col("__ua") - F.lag("__ua").over(w) <= 0, 1).otherwise(0)
-        out = out.withColumn("__step", F.when(F.col("__amb"), step).otherwise(0))
+        step = F.when(c("__ua") - F.lag("__ua").over(w) <= 0, 1).otherwise(0)
+        out = out.withColumn("__step", F.when(c("__amb"), step).otherwise(0))
         out = out.withColumns({
             "__side": F.max("__step").over(w.rowsBetween(Window.unboundedPreceding, 0)),
             "__nsw": F.sum("__step").over(whole),
         })
         resolved = F.when(
-            F.col("__nsw") == 1,
-            F.when(F.col("__side") == 1, F.col("__ub")).otherwise(F.col("__ua")),
+            c("__nsw") == 1,
+            F.when(c("__side") == 1, c("__ub")).otherwise(c("__ua")),
         ).otherwise(F.raise_error(F.concat(
             F.lit("cannot infer the daylight-saving offset of "),
-            F.coalesce(ntz.cast("string"), F.lit("?")),
+            F.coalesce(c("__w").cast("string"), F.lit("?")),
             F.lit(": the overlap rows of that date need exactly one backward step"))).cast("long"))
     elif ambiguous == "earlier":
-        resolved = F.col("__ua")
+        resolved = c("__ua")
     else:
-        resolved = F.col("__ub")
+        resolved = c("__ub")
 
-    micros = F.when(F.col("__amb"), resolved).otherwise(F.col("__one"))
-    value = F.when(has_offset, with_offset).otherwise(F.timestamp_micros(micros))
+    micros = F.when(c("__amb"), resolved).otherwise(c("__one"))
+    value = F.when(c("__off").isNotNull(), c("__off")).otherwise(F.timestamp_micros(micros))
     out = out.withColumn(col, value)
-    return out.drop(*[c for c in out.columns if c.startswith("__")])
+    return out.drop(*[x for x in out.columns if x.startswith("__")])
 
 
 # ---------------------------------------------------------------- months
