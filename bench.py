@@ -74,7 +74,7 @@ def main() -> None:
 
     plan = {
         "clean_measurements": lambda: noop(clean_measurements(li)),
-        "create_user_sessions_chunked": lambda: noop(create_user_sessions(silver_ev)),
+        "create_user_sessions_buckets": lambda: noop(create_user_sessions(silver_ev)),
         "create_user_sessions_window": lambda: noop(create_user_sessions(silver_ev, method="window")),
         "sessions_on_lineitem": lambda: noop(create_user_sessions(silver_li)),
         "regional_metrics": lambda: noop(regional_metrics(silver_li)),

@@ -93,7 +93,7 @@ def write_sessions(sessions: DataFrame, path: str) -> None:
 
 def refresh_warehouse(spark: SparkSession, bronze: str, warehouse: str,
                       session_timeout_minutes: int = 30, max_days_between_sessions: float = 14,
-                      merge_schema: bool = False, method: str = "chunked",
+                      merge_schema: bool = False, method: str = "buckets",
                       months: list[str] | None = None) -> dict[str, str]:
     """Recompute the five tables.  Returns table name -> path.
 
