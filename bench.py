@@ -27,8 +27,7 @@ from linkquality.operators.gold import (frustration_staircase, regional_metrics,
                                         user_retention)
 from linkquality.operators.sessions import create_user_sessions  # noqa: E402
 from linkquality.operators.silver import clean_measurements  # noqa: E402
-from linkquality.operators.stats import (correlation_matrix, exact_quantile_value,  # noqa: E402
-                                         kernel_density)
+from linkquality.operators.stats import correlation_matrix, kernel_density  # noqa: E402
 from linkquality.plans import fixtures  # noqa: E402
 from linkquality.plans.jobs import ingest_months, refresh_warehouse  # noqa: E402
 from linkquality.sources.adapters import m_events, m_lineitem  # noqa: E402
@@ -67,10 +66,7 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
 
     def q_gap_density():
-        gaps = sv.session_gap_seconds(sessions)
-        hi = exact_quantile_value(gaps, "time_since_last_session_seconds", 0.8)
-        noop(kernel_density(gaps, "time_since_last_session_seconds", (0.0, hi), 100,
-                            bandwidth=1000.0))
+        noop(sv.gap_density(sessions, 0.8, 1000.0, 100))
 
     plan = {
         "clean_measurements": lambda: noop(clean_measurements(li)),

@@ -125,6 +125,20 @@ def gap_quantile(sessions: DataFrame, q: float = 0.8) -> DataFrame:
                           q, alias="gap_quantile")
 
 
+def gap_density(sessions: DataFrame, q: float = 0.8, bandwidth: float = 1000.0,
+                steps: int = 100) -> DataFrame:
+    """Density of the session gap in seconds over ``[0, q-quantile]``
+    with a fixed bandwidth.  Gaps are whole seconds and repeat a lot, so
+    equal values are combined before the kernel sum."""
+    from .stats import exact_quantile_value, kernel_density
+    gaps = session_gap_seconds(sessions)
+    hi = exact_quantile_value(gaps, "time_since_last_session_seconds", q)
+    if hi is None:
+        return sessions.sparkSession.createDataFrame([], "value double, density double")
+    return kernel_density(gaps, "time_since_last_session_seconds", (0.0, hi), steps,
+                          bandwidth=bandwidth, pre_aggregate=True)
+
+
 def brush_filter(df: DataFrame, x: str, x_range: tuple[float, float], y: str,
                  y_range: tuple[float, float], regions: Sequence[str] | None = None,
                  region_col: str = "connection_periphery") -> DataFrame:

@@ -178,7 +178,7 @@ def bandwidth_expr(n, sd, q1, q3) -> Column:
 
 def kernel_density(df: DataFrame, col: str, extent: tuple[float, float], steps: int = 250,
                    group_by: Sequence[str] | None = None, bandwidth: float | None = None,
-                   counts: bool = False, pre_aggregate: bool = True) -> DataFrame:
+                   counts: bool = False, pre_aggregate: bool = False) -> DataFrame:
     """Gaussian kernel density of ``col`` sampled at ``steps + 1``
     evenly spaced points of ``extent`` (both ends included), per group.
 
@@ -189,7 +189,8 @@ def kernel_density(df: DataFrame, col: str, extent: tuple[float, float], steps:
     Work: with ``pre_aggregate`` equal values of a group are first combined
     into (value, multiplicity) by a partial + final aggregation, so integer
     or repeated data (session gaps in whole seconds) pays one kernel per
-    distinct value, not per row.  Every value then meets every grid point
+    distinct value, not per row; for continuous values it only adds a
+    shuffle, hence off by default.  Every value then meets every grid point
     through ``explode`` of a generated sequence (a fixed fan-out, not a
     join); the weighted sum is combined map-side, so the last shuffle is
     groups x (steps+1) x tasks rows.

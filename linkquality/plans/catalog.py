@@ -20,10 +20,9 @@ from ..operators import serving as sv
 from ..operators.gold import frustration_staircase, regional_metrics, user_retention
 from ..operators.sessions import create_user_sessions, flag_sessions, session_stats
 from ..operators.silver import clean_measurements
-from ..operators.stats import correlation_matrix, exact_quantile_value, kernel_density, CORRELATION_COLUMNS
-from ..schema import MEASURES, RAW_FIELDS
+from ..operators.stats import correlation_matrix, kernel_density
 from ..sinks import write_table
-from ..sources.adapters import M_EVENTS_SQL, M_LINEITEM_SQL, m_events, m_lineitem
+from ..sources.adapters import m_events, m_lineitem
 from ..sources.landing import read_bronze, read_landing
 from ..sources.tables import load, read_table
 from . import fixtures
@@ -314,10 +313,7 @@ def q_serve_density_downstream(spark, sf):
 
 
 def q_serve_density_gap(spark, sf):
-    gaps = sv.session_gap_seconds(sessions(spark, sf))
-    hi = exact_quantile_value(gaps, "time_since_last_session_seconds", 0.8)
-    return kernel_density(gaps, "time_since_last_session_seconds", (0.0, hi), GAP_STEPS,
-                          bandwidth=GAP_BANDWIDTH)
+    return sv.gap_density(sessions(spark, sf), 0.8, GAP_BANDWIDTH, GAP_STEPS)
 
 
 QUERIES: dict[str, Query] = {

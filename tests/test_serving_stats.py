@@ -139,13 +139,16 @@ def test_kernel_density_brute_force(spark):
     groups = {"A": rng.normal(300, 40, 80), "B": [7.0, 7.0, 7.0], "C": [12.5]}
     rows = [(g, float(x)) for g, xs in groups.items() for x in xs] + [("A", None)]
     df = spark.createDataFrame(rows, "g string, x double")
-    out = kernel_density(df, "x", (0.0, 900.0), 250, group_by=["g"], counts=True).toPandas()
     grid = np.array([0.0 + (j / 250) * 900.0 for j in range(250)] + [900.0])
-    for g, xs in groups.items():
-        got = out[out.g == g].sort_values("value")
-        np.testing.assert_allclose(got["value"].to_numpy(), grid)
-        np.testing.assert_allclose(got["density"].to_numpy(), _kde(xs, grid, _default_bw(xs), True),
-                                   rtol=1e-9, atol=1e-300)
+    for pre in (False, True):
+        out = kernel_density(df, "x", (0.0, 900.0), 250, group_by=["g"], counts=True,
+                             pre_aggregate=pre).toPandas()
+        for g, xs in groups.items():
+            got = out[out.g == g].sort_values("value")
+            np.testing.assert_allclose(got["value"].to_numpy(), grid)
+            np.testing.assert_allclose(got["density"].to_numpy(),
+                                       _kde(xs, grid, _default_bw(xs), True),
+                                       rtol=1e-9, atol=1e-300)
     fixed = kernel_density(df, "x", (0.0, 500.0), 100, bandwidth=1000.0).toPandas().sort_values("value")
     allx = [x for xs in groups.values() for x in xs]
     np.testing.assert_allclose(fixed["density"].to_numpy(),
