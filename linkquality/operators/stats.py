@@ -65,21 +65,21 @@ def exact_quantile_value(df: DataFrame, col: str, q: float, buckets: int = 512,
     return v_lo + (pos - lo_rank) * (v_hi - v_lo)
 
 
-def _round(vals: DataFrame, low, high, mid, buckets: int, accuracy: int):
+def _round(vals: DataFrame, low, high, cuts, buckets: int, accuracy: int):
     """Bucket counts of the values in (low, high]: cut points, then
-    (b, n, mn, mx) rows ordered by bucket; bucket b is cuts[b-1] < x <= cuts[b]."""
+    (b, n, mn, mx) rows ordered by bucket; bucket b is cuts[b-1] < x <= cuts[b].
+    Without given ``cuts`` they are sketch quantiles of the interval (one
+    extra job)."""
     cond = F.lit(True)
     if low is not None:
         cond = cond & (F.col("x") > F.lit(low))
     if high is not None:
         cond = cond & (F.col("x") <= F.lit(high))
     sub = vals.filter(cond)
-    if mid is None:
+    if cuts is None:
         probs = [i / buckets for i in range(1, buckets)]
         cuts = sub.agg(F.percentile_approx("x", probs, accuracy).alias("c")).first()["c"]
         cuts = sorted(set(float(c) for c in (cuts or [])))
-    else:
-        cuts = [float(mid)]
     arr = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
     b = F.size(F.filter(arr, lambda c: c < F.col("x")))
     rows = (sub.groupBy(b.alias("b"))
@@ -89,11 +89,12 @@ def _round(vals: DataFrame, low, high, mid, buckets: int, accuracy: int):
 
 
 def _kth(vals: DataFrame, k: int, first, buckets: int, accuracy: int) -> float:
-    """k-th smallest (0-based) value of column ``x``."""
+    """k-th smallest (0-based) value of column ``x``.  After the first
+    (sketch-cut) round the chosen bucket's own [min, max] is cut into equal
+    widths, so each further round is a single counting job."""
     low, high, before = None, None, 0          # current interval (low, high]
     cuts, rows = first
     while True:
-        total = sum(r["n"] for r in rows)
         for r in rows:
             if before + r["n"] > k:
                 break
@@ -102,15 +103,12 @@ def _kth(vals: DataFrame, k: int, first, buckets: int, accuracy: int) -> float:
             raise RuntimeError("rank outside the data")
         if r["mn"] == r["mx"]:
             return float(r["mn"])
-        mid = None
-        if r["n"] == total:                    # no split: bisect the value range
-            mid = r["mn"] + (r["mx"] - r["mn"]) / 2
-            if mid >= r["mx"]:
-                mid = r["mn"]
-        else:
-            low = cuts[r["b"] - 1] if r["b"] > 0 else low
-            high = cuts[r["b"]] if r["b"] < len(cuts) else high
-        cuts, rows = _round(vals, low, high, mid, buckets, accuracy)
+        low = cuts[r["b"] - 1] if r["b"] > 0 else low
+        high = cuts[r["b"]] if r["b"] < len(cuts) else high
+        mn, mx = float(r["mn"]), float(r["mx"])
+        nxt = sorted({mn + (mx - mn) * i / buckets for i in range(1, buckets)} | {mn})
+        nxt = [c for c in nxt if mn <= c < mx]            # mn alone in bucket 0: progress
+        cuts, rows = _round(vals, low, high, nxt, buckets, accuracy)
 
 
 def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "quantile") -> DataFrame:
