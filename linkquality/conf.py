@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 
 # Settings the pipeline relies on.  ANSI mode stays on (Spark 4 default);
 # divisions that may hit zero use ``try_divide`` instead.
-PIPELINE_CONF = {
+SESSION_CONF = {
     # Dates are taken in the session zone (reference behaviour); fix it.
     "spark.sql.session.timeZone": "UTC",
     # Replace only the month / day partitions present in the written frame.
@@ -59,7 +59,7 @@ def build_session(master: str | None = None, app: str = "linkquality",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = dict(PIPELINE_CONF)
+    conf = dict(SESSION_CONF)
     conf.setdefault("spark.ui.enabled", "false")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
