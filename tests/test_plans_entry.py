@@ -85,3 +85,17 @@ def test_scale_conf():
     c = scale_conf(100 * 2 ** 40, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409601
     assert scale_conf(10 ** 6, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_bucket_sessions_shuffle_only_aggregates(spark, tmp):
+    """Both exchanges of the default session build sit on top of hash
+    aggregates: the measurement rows themselves are never shuffled."""
+    path = os.path.join(tmp, "silver")
+    clean_measurements(m_events(spark, SF001)).write.parquet(path)
+    s = create_user_sessions(spark.read.parquet(path))
+    tree = plan_text(s).split("\n\n\n")[0].splitlines()
+    ex = [i for i, ln in enumerate(tree) if "Exchange (" in ln]
+    assert len(ex) == 2
+    for i in ex:
+        assert "HashAggregate" in tree[i + 1], tree[i + 1]
+    assert count_nodes(s, "Window") >= 2
