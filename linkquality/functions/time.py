@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 _EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
 _DAY_US = 86_400_000_000
-_HOUR_US = 3_600_000_000
 # A text ends with a zone designator: Z, +hh, +hhmm or +hh:mm.
 _OFFSET_RE = r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
 

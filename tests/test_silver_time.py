@@ -4,7 +4,8 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from linkquality.functions.time import default_month, localize, month_range, utc_wallclock
+from linkquality.functions.time import (default_month, localize, month_bounds, month_range,
+                                       utc_wallclock)
 from linkquality.operators.silver import clean_measurements
 
 
@@ -96,3 +97,10 @@ def test_date_in_session_zone_for_instants(spark):
     df = spark.createDataFrame([(1,)], "x int").select(
         F.lit("2024-01-01 23:30:00").cast("timestamp").alias("t"))
     assert df.select(F.to_date("t")).first()[0] == dt.date(2024, 1, 1)
+
+
+def test_month_bounds(spark):
+    df = spark.createDataFrame([(dt.date(2023, 10, 15),), (dt.date(2024, 2, 3),)], "d date")
+    got = [tuple(r) for r in df.select(*month_bounds("d")).collect()]
+    assert got == [(dt.date(2023, 10, 1), dt.date(2023, 10, 31)),
+                   (dt.date(2024, 2, 1), dt.date(2024, 2, 29))]
