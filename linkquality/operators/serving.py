@@ -157,3 +157,45 @@ def clamp(c: str, lo: float = 0.0, hi: float = 500.0):
 def scatter(df: DataFrame, x: str, y: str, color: str = "connection_periphery") -> DataFrame:
     """P20: the (x, y, colour) points of a scatter chart."""
     return df.select(x, y, color)
+
+
+# The regions the dashboard page preselects.
+DEFAULT_REGIONS = ("N/A", "ΑΤΤΙΚΗΣ", "ΚΕΝΤΡΙΚΗΣ ΜΑΚΕΔΟΝΙΑΣ")
+# The marginal-density extents and sample count of the scatter page.
+UPSTREAM_EXTENT = (0.0, 900.0)
+DOWNSTREAM_EXTENT = (0.0, 1100.0)
+DENSITY_STEPS = 250
+
+
+def dashboard(regional: DataFrame, retention: DataFrame, staircase: DataFrame,
+              regions: Sequence[str] | None = DEFAULT_REGIONS,
+              years: tuple[int, int] | None = None,
+              stream: str = "Download") -> dict[str, DataFrame]:
+    """Every chart's data for one page view, from the three gold tables.
+
+    ``years`` defaults to the slider's default (last year - 4 .. last year),
+    read from ``year_bounds`` (one small aggregate).  The selections are
+    applied first; each frame is lazy and independent."""
+    from .stats import correlation_matrix, kernel_density
+    if years is None:
+        b = year_bounds(regional).first()
+        years = (b["default_start_year"], b["default_end_year"]) \
+            if b["max_year"] is not None else (0, 0)
+    sub = filter_regional(regional, regions, *years)
+    st = filter_sessions_gold(staircase, regions, *years)
+    rt = filter_sessions_gold(retention, regions, *years)
+    return {
+        "kpis": kpis(sub),
+        "rolling_mean": rolling_mean(sub, stream),
+        "tests_volume": tests_volume(sub),
+        "correlation": correlation_matrix(sub),
+        "scatter": scatter(sub, "avg_upstream_mbps", "avg_downstream_mbps"),
+        "density_upstream": kernel_density(sub, "avg_upstream_mbps", UPSTREAM_EXTENT,
+                                           DENSITY_STEPS, group_by=["connection_periphery"],
+                                           counts=True),
+        "density_downstream": kernel_density(sub, "avg_downstream_mbps", DOWNSTREAM_EXTENT,
+                                             DENSITY_STEPS, group_by=["connection_periphery"],
+                                             counts=True),
+        "staircase": staircase_rollup(st),
+        "retention": retention_rollup(rt),
+    }

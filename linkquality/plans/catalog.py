@@ -35,9 +35,9 @@ SESSION_YEARS = (2024, 2024)
 BRUSH_REGIONS = ("ASIA", "EUROPE")
 BRUSH_X = (10.0, 40.0)
 BRUSH_Y = (200.0, 600.0)
-UPSTREAM_EXTENT = (0.0, 900.0)
-DOWNSTREAM_EXTENT = (0.0, 1100.0)
-DENSITY_STEPS = 250
+UPSTREAM_EXTENT = sv.UPSTREAM_EXTENT
+DOWNSTREAM_EXTENT = sv.DOWNSTREAM_EXTENT
+DENSITY_STEPS = sv.DENSITY_STEPS
 GAP_BANDWIDTH = 1000.0
 GAP_STEPS = 100
 INGEST_STAMP_1 = _dt.datetime(2024, 1, 1, 0, 0, 0)

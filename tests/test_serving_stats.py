@@ -163,3 +163,26 @@ def test_bandwidth_fallbacks(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0, 0.0)], "n long, sd double, q1 double, q3 double")
     assert df.select(bandwidth_expr(F.col("n"), F.col("sd"), F.col("q1"), F.col("q3"))).first()[0] \
         == pytest.approx(1.06)
+
+
+def test_dashboard_page(spark):
+    from linkquality.plans import catalog as c
+    sf = "/root/testdata/sf0.001"
+    regional = c.regional(spark, sf)
+    from linkquality.operators.gold import frustration_staircase, user_retention
+    sess = c.sessions(spark, sf)
+    page = sv.dashboard(regional, user_retention(sess), frustration_staircase(sess),
+                        regions=["ASIA", "EUROPE"])
+    assert set(page) == {"kpis", "rolling_mean", "tests_volume", "correlation", "scatter",
+                         "density_upstream", "density_downstream", "staircase", "retention"}
+    years = sv.year_bounds(regional).first()
+    sub = sv.filter_regional(regional, ["ASIA", "EUROPE"], years.default_start_year,
+                             years.default_end_year)
+    assert page["kpis"].first().total_tests == sub.agg(F.sum("total_tests")).first()[0]
+    assert page["correlation"].count() == 36
+    # one year selection for the whole page: the 2024 sessions fall outside 1997-2001
+    assert page["retention"].count() == 0
+    wide = sv.dashboard(regional, user_retention(sess), frustration_staircase(sess),
+                        regions=["ASIA"], years=(1990, 2024))
+    assert wide["retention"].agg(F.sum("share")).first()[0] == pytest.approx(1.0)
+    assert wide["staircase"].count() >= 1
