@@ -65,6 +65,15 @@ def main() -> None:
     def noop(df):
         df.write.format("noop").mode("overwrite").save()
 
+    from linkquality.operators.gold import frustration_staircase as _st, user_retention as _rt
+    retention_t = put(_rt(sessions), "retention")
+    staircase_t = put(_st(sessions), "staircase")
+
+    def q_dashboard():
+        for frame in sv.dashboard(regional, retention_t, staircase_t,
+                                  regions=("N/A", "ASIA", "EUROPE"), years=(1997, 2001)).values():
+            noop(frame)
+
     def q_gap_density():
         noop(sv.gap_density(sessions, 0.8, 1000.0, 100))
 
@@ -82,6 +91,7 @@ def main() -> None:
         "kernel_density": lambda: noop(kernel_density(filtered, "avg_upstream_mbps", (0.0, 900.0), 250,
                                                       group_by=["connection_periphery"], counts=True)),
         "gap_quantile_density": q_gap_density,
+        "dashboard_page": q_dashboard,
         "ingest_months": lambda: ingest_months(spark, landing, scratch_path(spark, "bronze-b")),
         "refresh_warehouse": lambda: refresh_warehouse(spark, bronze, scratch_path(spark, "wh")),
     }
