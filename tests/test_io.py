@@ -164,3 +164,12 @@ def test_refresh_only_some_silver_months(spark, tmp):
     assert sorted(r.measurement_id for r in silver.collect()) == [1, 3, 4]
     s = spark.read.parquet(paths["silver_user_sessions"])
     assert s.agg(F.sum("test_count")).first()[0] == 3
+
+
+def test_text_in_numeric_field_fails(spark, tmp):
+    bad = dict(SAMPLE, measured_rtt_msec="abc")
+    with pytest.raises(Exception):
+        ingest_months(spark, _landing(tmp, [bad], "bad"), os.path.join(tmp, "b"))
+    # an integer where a double is declared is widened
+    ok = dict(SAMPLE, measured_rtt_msec=3)
+    assert read_landing(spark, _landing(tmp, [ok], "ok")).first()["measured_rtt_msec"] == 3.0
