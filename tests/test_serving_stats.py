@@ -186,3 +186,15 @@ def test_dashboard_page(spark):
                         regions=["ASIA"], years=(1990, 2024))
     assert wide["retention"].agg(F.sum("share")).first()[0] == pytest.approx(1.0)
     assert wide["staircase"].count() >= 1
+
+
+def test_density_with_counts_integrates_to_group_size(spark):
+    rng = np.random.default_rng(11)
+    rows = [("A", float(x)) for x in rng.normal(400, 60, 200)] + \
+           [("B", float(x)) for x in rng.normal(200, 30, 50)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    out = kernel_density(df, "x", (-200.0, 1100.0), 1000, group_by=["g"], counts=True).toPandas()
+    for g, n in (("A", 200), ("B", 50)):
+        d = out[out.g == g].sort_values("value")
+        area = np.trapezoid(d["density"].to_numpy(), d["value"].to_numpy())
+        assert area == pytest.approx(n, rel=1e-3)
