@@ -28,7 +28,8 @@ from ..sources.tables import load, read_table
 from . import fixtures
 from .jobs import ingest_months, to_bronze, write_sessions, write_silver
 
-# Dashboard selections used by the serving queries.
+# Selections of the registered serving queries, chosen for the test data
+# (regions of the lineitem adapter, its years, the events month).
 REGIONS = ("N/A", "ASIA", "EUROPE")
 YEARS = (1997, 2001)
 SESSION_YEARS = (2024, 2024)
