@@ -173,3 +173,21 @@ def test_text_in_numeric_field_fails(spark, tmp):
     # an integer where a double is declared is widened
     ok = dict(SAMPLE, measured_rtt_msec=3)
     assert read_landing(spark, _landing(tmp, [ok], "ok")).first()["measured_rtt_msec"] == 3.0
+
+
+def test_cli_months_and_run(spark, tmp):
+    from linkquality import cli
+    day = dt.date(2023, 10, 15)
+    assert cli.months_for(cli.parse(["monthly", "--landing", "l", "--bronze", "b"]), day) == \
+        ("2023-09", "2023-09")
+    assert cli.months_for(cli.parse(["monthly", "2022", "5", "--landing", "l", "--bronze", "b"]),
+                          day) == ("2022-05", "2022-05")
+    assert cli.months_for(cli.parse(["daily", "--landing", "l", "--bronze", "b"]), day) == \
+        ("2023-10", "2023-10")
+    recs = [dict(SAMPLE, measurement_id=i, measurement_time=t) for i, t in
+            [(1, "2023-01-10 10:00:00"), (2, "2023-02-10 10:00:00"), (3, "2023-04-10 10:00:00")]]
+    land, bronze = _landing(tmp, recs), os.path.join(tmp, "bronze")
+    cli.main(["backfill", "2023-01", "2023-03", "--landing", land, "--bronze", bronze])
+    assert sorted(os.listdir(os.path.join(bronze, "year=2023"))) == ["month=1", "month=2"]
+    out = cli.main(["refresh", "--bronze", bronze, "--warehouse", os.path.join(tmp, "wh")])
+    assert spark.read.parquet(out["tables"]["silver_user_sessions"]).count() == 2
