@@ -76,8 +76,8 @@ SESSIONS_CLUSTER = ("session_date", "user_id", "behavior_bucket")
 
 def write_silver(silver: DataFrame, path: str, replace_all: bool = True) -> None:
     """silver_measurements layout: folders by the bronze month keys when the
-    frame has them, files range-clustered and sorted by (day, user, regional
-    unit).  Day filters are answered from Parquet min/max statistics; one
+    frame has them, rows rebalanced on those keys and sorted by (day, user,
+    regional unit) inside each file.  Day filters are answered from Parquet min/max statistics; one
     folder per day would mean one file per day even when a day holds a few
     rows, and thousands of folders over the years."""
     parts = tuple(k for k in PARTITION_KEYS if k in silver.columns)
@@ -86,8 +86,9 @@ def write_silver(silver: DataFrame, path: str, replace_all: bool = True) -> None
 
 
 def write_sessions(sessions: DataFrame, path: str) -> None:
-    """silver_user_sessions layout: range-clustered, sorted by (day, user,
-    bucket), no folders (a session may cross any month boundary)."""
+    """silver_user_sessions layout: rebalanced and sorted by (day, user,
+    bucket) inside each file, no folders (a session may cross any month
+    boundary)."""
     write_table(sessions, path, cluster_by=SESSIONS_CLUSTER, dynamic=False)
 
 
