@@ -106,7 +106,10 @@ def _kth(vals: DataFrame, k: int, first, buckets: int, accuracy: int) -> float:
         low = cuts[r["b"] - 1] if r["b"] > 0 else low
         high = cuts[r["b"]] if r["b"] < len(cuts) else high
         mn, mx = float(r["mn"]), float(r["mx"])
-        nxt = sorted({mn + (mx - mn) * i / buckets for i in range(1, buckets)} | {mn})
+        if math.isfinite(mx - mn):
+            nxt = sorted({mn + (mx - mn) * i / buckets for i in range(1, buckets)} | {mn})
+        else:                                             # span overflows a double
+            nxt = [mn, mn / 2 + mx / 2]
         nxt = [c for c in nxt if mn <= c < mx]            # mn alone in bucket 0: progress
         cuts, rows = _round(vals, low, high, nxt, buckets, accuracy)
 

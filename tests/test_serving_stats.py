@@ -198,3 +198,10 @@ def test_density_with_counts_integrates_to_group_size(spark):
         d = out[out.g == g].sort_values("value")
         area = np.trapezoid(d["density"].to_numpy(), d["value"].to_numpy())
         assert area == pytest.approx(n, rel=1e-3)
+
+
+def test_exact_quantile_extreme_range(spark):
+    data = [-1e308, -5.0, 0.0, 3.0, 1e308]
+    df = spark.createDataFrame([(x,) for x in data], "x double")
+    assert exact_quantile_value(df, "x", 0.5, buckets=4, accuracy=100) == 0.0
+    assert exact_quantile_value(df, "x", 0.75, buckets=4, accuracy=100) == 3.0
