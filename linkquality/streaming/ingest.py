@@ -19,7 +19,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..plans.jobs import to_bronze
+from ..plans.jobs import refresh_warehouse, to_bronze
 from ..schema import PARTITION_KEYS, RAW_SCHEMA
 from ..sinks import write_table
 from ..sources.landing import nan_to_null
@@ -32,19 +32,37 @@ def ingest_new_files(spark: SparkSession, landing: str, bronze: str, checkpoint:
     """Process the landing files not seen before, then stop.  ``checkpoint``
     must be on shared storage (it is the record of processed files).
     Returns the finished ``StreamingQuery`` (its ``recentProgress`` lists the
-    batches)."""
+    batches) and the sorted ``YYYY-MM`` bronze months the run replaced."""
     reader = spark.readStream.schema(RAW_SCHEMA).option("mode", "FAILFAST")
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_batch))
     stream = reader.json(landing)
 
+    touched: set[str] = set()
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = to_bronze(nan_to_null(batch), tz=tz, ambiguous=ambiguous, ingested_at=ingested_at)
         write_table(rows, bronze, partition_by=PARTITION_KEYS, cluster_by=("measurement_time",))
+        # the months this batch replaced: a distinct over (year, month), a few rows
+        months = rows.select("year", "month").distinct().collect()
+        touched.update(f"{r['year']:04d}-{r['month']:02d}" for r in months
+                       if r["year"] is not None)
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
-    return q
+    return q, sorted(touched)
+
+
+def ingest_and_refresh(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
+                       warehouse: str, **kw) -> list[str]:
+    """New landing files -> bronze, then, if any month changed, the warehouse:
+    only the changed silver months are re-cleaned, sessions and gold are
+    rebuilt (the reference's "a finished ingest triggers the transform").
+    Returns the months that changed."""
+    _, months = ingest_new_files(spark, landing, bronze, checkpoint, **kw)
+    if months:
+        refresh_warehouse(spark, bronze, warehouse, months=months)
+    return months

@@ -123,11 +123,12 @@ def test_streaming_ingest_picks_up_only_new_files(spark, tmp):
                 f.write(json.dumps(r, ensure_ascii=False) + "\n")
 
     drop("2023-09.json", [dict(SAMPLE, measurement_id=1, measurement_time="2023-09-10 10:00:00")])
-    ingest_new_files(spark, land, bronze, ck, ingested_at=dt.datetime(2024, 1, 1))
+    _, m1 = ingest_new_files(spark, land, bronze, ck, ingested_at=dt.datetime(2024, 1, 1))
     drop("2023-10.json", [dict(SAMPLE, measurement_id=i, measurement_time=f"2023-10-1{i} 10:00:00")
                           for i in (2, 3)])
-    ingest_new_files(spark, land, bronze, ck, ingested_at=dt.datetime(2024, 2, 1))
-    ingest_new_files(spark, land, bronze, ck, ingested_at=dt.datetime(2024, 3, 1))  # nothing new
+    _, m2 = ingest_new_files(spark, land, bronze, ck, ingested_at=dt.datetime(2024, 2, 1))
+    _, m3 = ingest_new_files(spark, land, bronze, ck, ingested_at=dt.datetime(2024, 3, 1))
+    assert (m1, m2, m3) == (["2023-09"], ["2023-10"], [])          # nothing new the third time
     b = read_bronze(spark, bronze)
     got = {(r.month, r.n, r.s) for r in b.groupBy("month").agg(
         F.count(F.lit(1)).alias("n"),
@@ -191,3 +192,17 @@ def test_cli_months_and_run(spark, tmp):
     assert sorted(os.listdir(os.path.join(bronze, "year=2023"))) == ["month=1", "month=2"]
     out = cli.main(["refresh", "--bronze", bronze, "--warehouse", os.path.join(tmp, "wh")])
     assert spark.read.parquet(out["tables"]["silver_user_sessions"]).count() == 2
+
+
+def test_ingest_and_refresh(spark, tmp):
+    from linkquality.streaming.ingest import ingest_and_refresh
+    land = os.path.join(tmp, "land")
+    os.makedirs(land)
+    bronze, ck, wh = (os.path.join(tmp, n) for n in ("bronze", "ck", "wh"))
+    with open(os.path.join(land, "a.json"), "w", encoding="utf-8") as f:
+        for i, t in [(1, "2023-09-10 10:00:00"), (2, "2023-09-10 10:20:00")]:
+            f.write(json.dumps(dict(SAMPLE, measurement_id=i, measurement_time=t)) + "\n")
+    assert ingest_and_refresh(spark, land, bronze, ck, wh) == ["2023-09"]
+    s = spark.read.parquet(os.path.join(wh, "silver_user_sessions"))
+    assert s.count() == 1 and s.first()["test_count"] == 2
+    assert ingest_and_refresh(spark, land, bronze, ck, wh) == []
