@@ -12,6 +12,7 @@ zone-independent.
 from __future__ import annotations
 
 import datetime as _dt
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -174,3 +175,23 @@ def default_month(today: _dt.date, mode: str = "monthly") -> tuple[int, int]:
     if mode != "monthly":
         raise ValueError("mode must be 'monthly' or 'daily'")
     return (today.year - 1, 12) if today.month == 1 else (today.year, today.month - 1)
+
+
+def has_fall_back(tz: str, start: str, end: str) -> bool:
+    """Whether zone ``tz`` turns its clocks back (a repeated wall-clock hour)
+    on some day of the months ``start`` .. ``end`` (``YYYY-MM``).  A calendar
+    computation on the parameters only, for deciding whether the ordered
+    overlap inference of ``localize`` is needed at all."""
+    zone = ZoneInfo(tz)
+    y0, m0 = (int(x) for x in start.split("-"))
+    y1, m1 = (int(x) for x in end.split("-"))
+    day = _dt.date(y0, m0, 1)
+    stop = _dt.date(y1 + (m1 == 12), m1 % 12 + 1, 1)
+    prev = _dt.datetime(day.year, day.month, day.day, 12, tzinfo=zone).utcoffset()
+    while day < stop:
+        nxt = day + _dt.timedelta(days=1)
+        off = _dt.datetime(nxt.year, nxt.month, nxt.day, 12, tzinfo=zone).utcoffset()
+        if off < prev:
+            return True
+        prev, day = off, nxt
+    return False

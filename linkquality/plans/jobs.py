@@ -11,7 +11,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.time import localize, utc_wallclock, wall_micros
+from ..functions.time import has_fall_back, localize, utc_wallclock, wall_micros
 from ..operators.gold import frustration_staircase, regional_metrics, user_retention
 from ..operators.sessions import create_user_sessions
 from ..operators.silver import clean_measurements
@@ -28,7 +28,14 @@ def to_bronze(raw: DataFrame, tz: str = "Europe/Athens", ambiguous: str = "infer
               start: str | None = None, end: str | None = None) -> DataFrame:
     """Raw records -> typed bronze rows with ``year`` / ``month`` of the local
     measurement month.  ``start`` / ``end`` (``YYYY-MM``) keep only the
-    requested months.  ``ingested_at`` defaults to the query start time."""
+    requested months.  ``ingested_at`` defaults to the query start time.
+
+    Overlap (autumn) wall clocks lie on the day the clocks go back, so when
+    the requested months contain no such day every row that could need the
+    ordered inference is filtered out anyway: the inference (a full shuffle)
+    is then skipped, with the same result for the rows kept."""
+    if ambiguous == "infer" and start and end and not has_fall_back(tz, start, end):
+        ambiguous = "earlier"
     df = localize(raw, "measurement_time", tz=tz, ambiguous=ambiguous)
     # a given stamp is a UTC wall clock; turned into an instant zone-independently
     stamp = F.current_timestamp() if ingested_at is None else F.timestamp_micros(

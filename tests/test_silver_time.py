@@ -104,3 +104,23 @@ def test_month_bounds(spark):
     got = [tuple(r) for r in df.select(*month_bounds("d")).collect()]
     assert got == [(dt.date(2023, 10, 1), dt.date(2023, 10, 31)),
                    (dt.date(2024, 2, 1), dt.date(2024, 2, 29))]
+
+
+def test_has_fall_back():
+    from linkquality.functions.time import has_fall_back
+    assert has_fall_back("Europe/Athens", "2026-10", "2026-10")
+    assert not has_fall_back("Europe/Athens", "2026-09", "2026-09")
+    assert not has_fall_back("Europe/Athens", "2026-03", "2026-03")      # spring: no repeat
+    assert has_fall_back("Europe/Athens", "2025-01", "2026-12")
+    assert not has_fall_back("UTC", "2020-01", "2026-12")
+    assert has_fall_back("Australia/Sydney", "2026-04", "2026-04")
+
+
+def test_monthly_ingest_skips_overlap_window(spark):
+    from linkquality.plans.inspect import count_nodes
+    from linkquality.plans.jobs import to_bronze
+    from linkquality.schema import RAW_SCHEMA
+    raw = spark.createDataFrame([], RAW_SCHEMA)
+    assert count_nodes(to_bronze(raw, start="2023-09", end="2023-09"), "Window") == 0
+    assert count_nodes(to_bronze(raw, start="2023-10", end="2023-10"), "Window") >= 1
+    assert count_nodes(to_bronze(raw), "Window") >= 1
