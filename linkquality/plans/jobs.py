@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.time import has_fall_back, localize, utc_wallclock, wall_micros
 from ..operators.gold import frustration_staircase, regional_metrics, user_retention
-from ..operators.sessions import create_user_sessions
+from ..operators.sessions import bucket_partials, create_user_sessions, sessions_from_partials
 from ..operators.silver import clean_measurements
 from ..schema import BRONZE_SCHEMA, PARTITION_KEYS, RAW_SCHEMA, SchemaMismatch, conform
 from ..sinks import write_table
@@ -21,6 +21,9 @@ from ..sources.landing import landing_keys, read_bronze, read_landing
 
 TABLES = ("silver_measurements", "silver_user_sessions", "gold_regional_metrics",
           "gold_user_retention", "gold_frustration_staircase")
+# Helper table: per (user, month, 30-minute bucket) partials of silver, so a
+# monthly refresh aggregates only the new months' rows.
+PARTIALS = "silver_session_buckets"
 
 
 def to_bronze(raw: DataFrame, tz: str = "Europe/Athens", ambiguous: str = "infer",
@@ -109,15 +112,17 @@ def refresh_warehouse(spark: SparkSession, bronze: str, warehouse: str,
     does each run).  With ``months`` (``["YYYY-MM", ...]``, e.g. the months
     just ingested) only those silver month partitions are re-cleaned - the
     bronze scan is pruned to their folders and the other silver months are
-    left untouched - while sessions and gold, which span months, are rebuilt
-    from the whole silver table.
+    left untouched - and, with the bucket method, only their session-bucket
+    partials are re-aggregated (``silver_session_buckets``, partitioned like
+    silver).  Sessions and gold, which span months, are rebuilt: sessions
+    from the partials table, not from the measurement rows.
     """
     paths = {t: os.path.join(warehouse, t) for t in TABLES}
+    partials_path = os.path.join(warehouse, PARTIALS)
     bronze_df = read_bronze(spark, bronze, merge_schema)
     if months:
-        keys = [tuple(int(p) for p in m.split("-")) for m in months]
         cond = None
-        for y, m in keys:
+        for y, m in (tuple(int(p) for p in mm.split("-")) for mm in months):
             c = (F.col("year") == y) & (F.col("month") == m)
             cond = c if cond is None else cond | c
         bronze_df = bronze_df.filter(cond)
@@ -125,8 +130,18 @@ def refresh_warehouse(spark: SparkSession, bronze: str, warehouse: str,
                  replace_all=not months)
     silver = spark.read.parquet(paths["silver_measurements"])
 
-    sessions = create_user_sessions(silver, session_timeout_minutes,
-                                    max_days_between_sessions, method=method)
+    if method == "buckets":
+        fresh = silver
+        if months:
+            fresh = silver.filter(cond)                   # pruned to the refreshed folders
+        keys = tuple(k for k in PARTITION_KEYS if k in silver.columns)
+        write_table(bucket_partials(fresh, session_timeout_minutes, keys), partials_path,
+                    partition_by=keys, dynamic=bool(months and keys))
+        sessions = sessions_from_partials(spark.read.parquet(partials_path),
+                                          session_timeout_minutes, max_days_between_sessions)
+    else:
+        sessions = create_user_sessions(silver, session_timeout_minutes,
+                                        max_days_between_sessions, method=method)
     write_sessions(sessions, paths["silver_user_sessions"])
     sessions = spark.read.parquet(paths["silver_user_sessions"])
 

@@ -116,10 +116,10 @@ def test_timeout_equal_to_bucket_edges(spark):
 
 
 def test_hot_user_window_is_bounded(spark):
-    from linkquality.operators.sessions import _bucket_sessions
+    from linkquality.operators.sessions import bucket_partials
     silver = clean_measurements(m_events(spark, "/root/testdata/sf0.01"))
     hot = silver.withColumn("user_id", F.lit(None).cast("string"))     # every row one user
-    b = _bucket_sessions(hot, 1800, partials=False)
+    b = bucket_partials(hot, 30)
     span = hot.agg((F.max(F.unix_timestamp("measurement_time"))
                     - F.min(F.unix_timestamp("measurement_time"))) / 1800 + 1).first()[0]
     assert b.count() <= span < hot.count()
