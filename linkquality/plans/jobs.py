@@ -102,6 +102,38 @@ def write_sessions(sessions: DataFrame, path: str) -> None:
     write_table(sessions, path, cluster_by=SESSIONS_CLUSTER, dynamic=False)
 
 
+def _month_shift(ym: tuple[int, int], k: int) -> tuple[int, int]:
+    n = ym[0] * 12 + ym[1] - 1 + k
+    return n // 12, n % 12 + 1
+
+
+def _in_months(year_col, month_col, months) -> F.Column:
+    return (year_col * 100 + month_col).isin(sorted({y * 100 + m for y, m in months}))
+
+
+def write_regional(silver: DataFrame, path: str, months: list[str] | None = None) -> None:
+    """gold_regional_metrics, stored in month folders of ``measurement_date``
+    (extra columns ``year``, ``month``).
+
+    With ``months`` (refreshed silver months) only the gold months whose days
+    those silver rows can reach are rebuilt: a day's rows lie in the same or
+    a neighbouring local month, so gold months M-1..M+1 are recomputed from
+    silver months M-2..M+2 (folder-pruned scan) and replaced by dynamic
+    overwrite; every other gold month is left as it is."""
+    d = F.col("measurement_date")
+    if months and all(k in silver.columns for k in PARTITION_KEYS):
+        base = [tuple(int(p) for p in m.split("-")) for m in months]
+        gold_m = {_month_shift(b, k) for b in base for k in (-1, 0, 1)}
+        silver_m = {_month_shift(g, k) for g in gold_m for k in (-1, 0, 1)}
+        src = silver.filter(_in_months(F.col("year"), F.col("month"), silver_m))
+        src = src.filter(_in_months(F.year(d), F.month(d), gold_m))
+        dynamic = True
+    else:
+        src, dynamic = silver, False
+    out = regional_metrics(src).withColumns({"year": F.year(d), "month": F.month(d)})
+    write_table(out, path, partition_by=("year", "month"), dynamic=dynamic)
+
+
 def refresh_warehouse(spark: SparkSession, bronze: str, warehouse: str,
                       session_timeout_minutes: int = 30, max_days_between_sessions: float = 14,
                       merge_schema: bool = False, method: str = "buckets",
@@ -145,7 +177,7 @@ def refresh_warehouse(spark: SparkSession, bronze: str, warehouse: str,
     write_sessions(sessions, paths["silver_user_sessions"])
     sessions = spark.read.parquet(paths["silver_user_sessions"])
 
-    write_table(regional_metrics(silver), paths["gold_regional_metrics"])
+    write_regional(silver, paths["gold_regional_metrics"], months)
     write_table(user_retention(sessions), paths["gold_user_retention"])
     write_table(frustration_staircase(sessions), paths["gold_frustration_staircase"])
     return paths

@@ -206,3 +206,28 @@ def test_ingest_and_refresh(spark, tmp):
     s = spark.read.parquet(os.path.join(wh, "silver_user_sessions"))
     assert s.count() == 1 and s.first()["test_count"] == 2
     assert ingest_and_refresh(spark, land, bronze, ck, wh) == []
+
+
+def test_incremental_refresh_equals_full_rebuild(spark, tmp):
+    recs = [dict(SAMPLE, measurement_id=i, measurement_time=t, client_ip=f"10.0.{i % 3}")
+            for i, t in enumerate(["2023-08-31 23:40:00", "2023-09-01 00:30:00",
+                                   "2023-09-15 10:00:00", "2023-09-30 23:50:00",
+                                   "2023-10-01 01:10:00", "2023-10-20 12:00:00",
+                                   "2023-11-05 08:00:00"])]
+    bronze = os.path.join(tmp, "bronze")
+    ingest_months(spark, _landing(tmp, recs), bronze)
+    wh_inc, wh_full = os.path.join(tmp, "inc"), os.path.join(tmp, "full")
+    refresh_warehouse(spark, bronze, wh_inc)
+    late = [dict(SAMPLE, measurement_id=100 + i, measurement_time=t, client_ip="10.0.9",
+                 measured_downstream_mbps=50.0 + i)
+            for i, t in enumerate(["2023-10-01 00:05:00", "2023-10-31 23:30:00"])]
+    ingest_months(spark, _landing(tmp, recs + late, "land2"), bronze,
+                  start="2023-10", end="2023-10")
+    refresh_warehouse(spark, bronze, wh_inc, months=["2023-10"])
+    refresh_warehouse(spark, bronze, wh_full)
+    for t in TABLES:
+        a = spark.read.parquet(os.path.join(wh_inc, t))
+        b = spark.read.parquet(os.path.join(wh_full, t))
+        assert sorted(a.columns) == sorted(b.columns), t
+        a, b = a.select(*sorted(a.columns)), b.select(*sorted(b.columns))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, t
