@@ -72,21 +72,29 @@ def build_session(master: str | None = None, app: str = "linkquality",
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and written intermediate tables.
+    """Shared folder for written intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
     and the master is local is a temporary folder created and registered
     (the situation of tests); on a cluster a missing setting is an error,
-    because a machine-local folder would not survive executor loss.
+    because a machine-local folder would not survive executor loss.  Works
+    without a SparkContext handle (Spark Connect sessions).
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+        d = d or sc.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no JVM context behind this session
+        pass
     if d:
         return d.rstrip("/")
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not str(master).startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder on the cluster")
     d = tempfile.mkdtemp(prefix="linkquality-")
-    sc.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     spark.conf.set("spark.checkpoint.dir", d)
     return d
 
