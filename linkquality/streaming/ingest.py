@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.jobs import refresh_warehouse, to_bronze
@@ -41,10 +42,17 @@ def ingest_new_files(spark: SparkSession, landing: str, bronze: str, checkpoint:
     touched: set[str] = set()
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = to_bronze(nan_to_null(batch), tz=tz, ambiguous=ambiguous, ingested_at=ingested_at)
-        write_table(rows, bronze, partition_by=PARTITION_KEYS, cluster_by=("measurement_time",))
-        # the months this batch replaced: a distinct over (year, month), a few rows
-        months = rows.select("year", "month").distinct().collect()
+        # the batch feeds two actions (the write and the month list): keep it
+        # so its files are parsed once; a lost block is recomputed from them
+        rows = to_bronze(nan_to_null(batch), tz=tz, ambiguous=ambiguous,
+                         ingested_at=ingested_at).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_table(rows, bronze, partition_by=PARTITION_KEYS,
+                        cluster_by=("measurement_time",))
+            # the months this batch replaced: a distinct over (year, month), a few rows
+            months = rows.select("year", "month").distinct().collect()
+        finally:
+            rows.unpersist()
         touched.update(f"{r['year']:04d}-{r['month']:02d}" for r in months
                        if r["year"] is not None)
 
