@@ -99,3 +99,16 @@ def test_bucket_sessions_shuffle_only_aggregates(spark, tmp):
     for i in ex:
         assert "HashAggregate" in tree[i + 1], tree[i + 1]
     assert count_nodes(s, "Window") >= 2
+
+
+def test_month_selection_prunes_folders(spark, tmp):
+    from pyspark.sql import functions as F
+    from linkquality.plans.jobs import _in_months
+    path = os.path.join(tmp, "t")
+    spark.createDataFrame([(2023, m, m) for m in range(1, 13)], "year int, month int, v int") \
+        .write.partitionBy("year", "month").parquet(path)
+    s = spark.read.parquet(path).filter(
+        _in_months(F.col("year"), F.col("month"), {(2023, 9), (2023, 10)}))
+    assert any(ln.startswith("PartitionFilters") and "IN (202309,202310)" in ln
+               for ln in plan_text(s).splitlines())
+    assert s.count() == 2
