@@ -112,3 +112,30 @@ def test_month_selection_prunes_folders(spark, tmp):
     assert any(ln.startswith("PartitionFilters") and "IN (202309,202310)" in ln
                for ln in plan_text(s).splitlines())
     assert s.count() == 2
+
+
+def test_scratch_root_refuses_local_temp_on_a_cluster():
+    from linkquality.conf import scratch_root
+
+    class Conf(dict):
+        def get(self, k, default=None):
+            return dict.get(self, k, default)
+
+        def set(self, k, v):
+            self[k] = v
+
+    class Ctx:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session())
+    s = Session()
+    s.conf = Conf({"spark.checkpoint.dir": "hdfs://nn/shared/ck/"})
+    assert scratch_root(s) == "hdfs://nn/shared/ck"
