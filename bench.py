@@ -110,10 +110,14 @@ def main() -> None:
             fn()
             ts.append(time.perf_counter() - t)
         times[name] = round(statistics.median(ts), 3)
+    name = os.path.basename(sf_dir.rstrip("/"))
+    try:
+        sf = float(name[2:]) if name.startswith("sf") else name
+    except ValueError:
+        sf = name
     print(json.dumps({"metric": "sum_of_median_query_seconds",
                       "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")),
-                      "cpus": cpus, "runs": runs}))
+                      "queries": times, "sf": sf, "cpus": cpus, "runs": runs}))
 
 
 if __name__ == "__main__":
