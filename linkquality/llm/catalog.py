@@ -4,25 +4,70 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import load
+from .decontaminate import contamination_report
 from .exact_dedup import exact_duplicates
+from .packing import pack_documents, piece_digest
+from .simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    rep = contamination_report(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+    return rep.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return piece_digest(pack_documents(load(spark, sf, "documents")))
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_duplicates(load(spark, sf, "documents"), keep="largest")
 
 
+def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    rep = near_duplicates(load(spark, sf, "documents"))
+    return rep.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                      "component_id")
+
+
 QUERIES: dict[str, Query] = {
+    "op2_decontaminate": op2_decontaminate,
+    "op3_packing": op3_packing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op10_simhash": op10_simhash,
 }
 
 _LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_decontaminate": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                          regexp_extract_all({_LOWER_AZ}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+                   FROM documents),
+        i AS (SELECT CAST(item_id AS VARCHAR) AS item,
+                     regexp_extract_all({_LOWER_AZ}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+              FROM benchmark),
+        win AS (SELECT DISTINCT item, least(len(w), 10) AS n,
+                       array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS g
+                FROM (SELECT *, unnest(range(1, greatest(len(w) - 8, 2))) AS p FROM i WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT n FROM win),
+        grams AS (SELECT r, n, p, array_to_string(w[p:p + n - 1], ' ') AS g
+                  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, sizes)),
+        hits AS (SELECT r, item, p, n FROM grams JOIN win USING (n, g)),
+        words AS (SELECT r, count(DISTINCT q) AS n_hit
+                  FROM (SELECT r, unnest(range(p, p + n)) AS q FROM hits) GROUP BY r),
+        found AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                  FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (r) LEFT JOIN found USING (r)""",
     "op6_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_LOWER_AZ} AS t FROM documents),
         c AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
