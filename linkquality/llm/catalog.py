@@ -4,17 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.tables import load
+from . import langid, quality, toxicity
+from .chat import perspectives
 from .decontaminate import contamination_report
 from .exact_dedup import exact_duplicates
 from .packing import pack_documents, piece_digest
 from .simhash import near_duplicates
+from .token_counts import encoded_lengths, length_histogram
+from .url_filter import SOFT, STRICT, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def id_hash(mod: int) -> Column:
+    """CRC-32 of doc_id as text, modulo ``mod``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string")) % mod
+
+
+def toxicity_training() -> Column:
+    """Ids whose labels the toxicity model may learn from."""
+    return id_hash(3) != 1
+
+
+def op1_chat_perspectives(spark: SparkSession, sf: str) -> DataFrame:
+    return perspectives(load(spark, sf, "conversations"))
+
+
 def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     rep = contamination_report(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
     return rep.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -26,26 +44,109 @@ def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
     return piece_digest(pack_documents(load(spark, sf, "documents")))
 
 
+def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = load(spark, sf, "documents")
+    model = langid.fit(docs, id_hash(5) != 0)
+    return (langid.identify(docs.select("doc_id", "text"), model)
+            .select("doc_id", F.coalesce(id_hash(5) == 0, F.lit(False)).alias("held_out"), "language.*"))
+
+
+def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    lengths = encoded_lengths(load(spark, sf, "documents").select("text"))
+    return length_histogram(lengths.select("n_tokens"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_duplicates(load(spark, sf, "documents"), keep="largest")
 
 
+def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return (judge_urls(load(spark, sf, "pages"))
+            .select("page_id", "host", "path", "rule", "verdict",
+                    (F.col("strict_hits") > 0).alias("strict"), "soft_terms"))
+
+
+def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    scored = toxicity.score_documents(load(spark, sf, "documents"), load(spark, sf, "labels"),
+                                      toxicity_training())
+    return scored.select("doc_id", F.coalesce(id_hash(3) == 1, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = load(spark, sf, "documents")
+    model = quality.fit(docs, load(spark, sf, "labels"), id_hash(5) != 0)
+    return (quality.score(docs.select("doc_id", "text"), model)
+            .select("doc_id", F.coalesce(id_hash(5) == 0, F.lit(False)).alias("held_out"), "score",
+                    (F.col("score") >= 0.3).cast("int").alias("predicted")))
+
+
 def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     rep = near_duplicates(load(spark, sf, "documents"))
     return rep.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                       "component_id")
 
 
-QUERIES: dict[str, Query] = {
-    "op2_decontaminate": op2_decontaminate,
-    "op3_packing": op3_packing,
-    "op6_exact_dedup": op6_exact_dedup,
-    "op10_simhash": op10_simhash,
-}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_chat_perspectives, op2_decontaminate, op3_packing, op4_language_id, op5_token_counts,
+    op6_exact_dedup, op7_url_filter, op8_toxicity, op9_quality, op10_simhash)}
 
 _LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _term_list(terms) -> str:
+    """The terms a url has between boundaries, as a DuckDB list expression."""
+    quoted = ", ".join(f"'{t}'" for t in terms)
+    return ("list_filter([" + quoted + "], lambda x: regexp_matches(t, '(^|[^\\p{L}\\p{N}])' || x "
+            "|| '($|[^\\p{L}\\p{N}])'))")
+
+
+_SOFT_WEIGHTS = "MAP {" + ", ".join(f"'{t}': {w}" for t, w in SOFT.items()) + "}"
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_chat_perspectives": """
+        WITH m AS (SELECT DISTINCT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS who,
+                          coalesce(text, '') AS text, floor(turn / 256)::BIGINT AS part
+                   FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+        s AS (SELECT DISTINCT conv_id, who AS perspective FROM m WHERE who <> 'system'),
+        p AS (SELECT *, CASE WHEN who = 'system' THEN '<|system|>'
+                             WHEN who = perspective THEN '<|assistant|>'
+                             ELSE '<|user:' || who || '|>' END || chr(10) AS head,
+                     text || '<|end|>' || chr(10) AS body
+              FROM m JOIN s USING (conv_id)),
+        q AS (SELECT *, sum(length(head) + length(body)) OVER (
+                        PARTITION BY conv_id, perspective, part ORDER BY turn, who, text) AS stop FROM p)
+        SELECT conv_id, perspective, part, count(*) AS n_messages,
+               count(*) FILTER (WHERE who = perspective) AS n_trained,
+               string_agg(head || body, '' ORDER BY turn, who, text) AS rendered,
+               coalesce(string_agg((stop - length(body))::BIGINT || '-' || stop::BIGINT, ','
+                        ORDER BY turn, who, text) FILTER (WHERE who = perspective), '') AS mask
+        FROM q GROUP BY conv_id, perspective, part""",
+    "op7_url_filter": f"""
+        WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                          regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+                   FROM pages),
+        t AS (SELECT *, lower(host || path) AS t,
+                     CASE WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com')
+                               AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+                          WHEN (host = 'example.com' OR host LIKE '%.example.com')
+                               AND starts_with(path, '/en/') THEN 'example.com/en/'
+                          WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
+                          WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+                          WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/'
+                     END AS rule FROM u),
+        h AS (SELECT *, {_term_list(STRICT)} AS strict, {_term_list(SOFT)} AS soft FROM t),
+        c AS (SELECT *, list_sum([0.0] || list_transform(soft, lambda x: ({_SOFT_WEIGHTS})[x])) AS weight
+              FROM h)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+                    WHEN rule IS NOT NULL THEN 'block'
+                    WHEN len(strict) > 0 OR (len(soft) >= 2 AND weight >= 2.0) THEN 'block'
+                    ELSE 'allow' END AS verdict,
+               len(strict) > 0 AS strict, CAST(len(soft) AS BIGINT) AS soft_terms
+        FROM c""",
     "op2_decontaminate": f"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id,
                           regexp_extract_all({_LOWER_AZ}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
