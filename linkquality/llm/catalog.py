@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..sources.tables import load
 from . import langid, quality, toxicity
 from .chat import perspectives
+from .common import table
 from .decontaminate import contamination_report
 from .exact_dedup import exact_duplicates
 from .packing import pack_documents, piece_digest
@@ -30,59 +30,60 @@ def toxicity_training() -> Column:
 
 
 def op1_chat_perspectives(spark: SparkSession, sf: str) -> DataFrame:
-    return perspectives(load(spark, sf, "conversations"))
+    return perspectives(table(spark, sf, "conversations"))
 
 
 def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
-    rep = contamination_report(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+    rep = contamination_report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return rep.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
-    return piece_digest(pack_documents(load(spark, sf, "documents")))
+    return piece_digest(pack_documents(table(spark, sf, "documents")))
 
 
 def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
-    docs = load(spark, sf, "documents")
+    docs = table(spark, sf, "documents")
     model = langid.fit(docs, id_hash(5) != 0)
     return (langid.identify(docs.select("doc_id", "text"), model)
             .select("doc_id", F.coalesce(id_hash(5) == 0, F.lit(False)).alias("held_out"), "language.*"))
 
 
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
-    lengths = encoded_lengths(load(spark, sf, "documents").select("text"))
+    lengths = encoded_lengths(table(spark, sf, "documents").select("text"))
     return length_histogram(lengths.select("n_tokens"))
 
 
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return exact_duplicates(load(spark, sf, "documents"), keep="largest")
+    return exact_duplicates(table(spark, sf, "documents"), keep="largest")
 
 
 def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return (judge_urls(load(spark, sf, "pages"))
+    return (judge_urls(table(spark, sf, "pages"))
             .select("page_id", "host", "path", "rule", "verdict",
                     (F.col("strict_hits") > 0).alias("strict"), "soft_terms"))
 
 
 def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
-    scored = toxicity.score_documents(load(spark, sf, "documents"), load(spark, sf, "labels"),
-                                      toxicity_training())
+    docs = table(spark, sf, "documents")
+    model = toxicity.fit(docs, table(spark, sf, "labels"), toxicity_training())
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", F.coalesce(id_hash(3) == 1, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
-    docs = load(spark, sf, "documents")
-    model = quality.fit(docs, load(spark, sf, "labels"), id_hash(5) != 0)
+    docs = table(spark, sf, "documents")
+    model = quality.fit(docs, table(spark, sf, "labels"), id_hash(5) != 0)
     return (quality.score(docs.select("doc_id", "text"), model)
             .select("doc_id", F.coalesce(id_hash(5) == 0, F.lit(False)).alias("held_out"), "score",
                     (F.col("score") >= 0.3).cast("int").alias("predicted")))
 
 
 def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
-    rep = near_duplicates(load(spark, sf, "documents"))
+    rep = near_duplicates(table(spark, sf, "documents"))
     return rep.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                       "component_id")
 

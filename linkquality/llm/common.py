@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..conf import scratch_root
+from ..sources.tables import load
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of a test-data folder; the session's Python workers find this
+    package where the driver has it.  (On a cluster whose executors don't
+    share that path, submit the package with ``--py-files``.)"""
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, *paths]))
+    return load(spark, sf_dir, name)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only, every other character as it is; null stays null.
 

@@ -32,20 +32,18 @@ def ngram_buckets(data: bytes, n: int, bits: int):
     return h >> np.uint32(32 - bits)
 
 
-def word_buckets(data: bytes, bits: int):
-    """Bucket of every word of ``data``, words parted by single blanks."""
+def word_hashes(data: bytes):
+    """64-bit hash of every word of ``data``, words parted by single blanks."""
     import numpy as np
     b = np.frombuffer(data, np.uint8)
     if not len(b):
-        return np.zeros(0, np.uint32)
+        return np.zeros(0, np.uint64)
     gaps = np.flatnonzero(b == 32)
     starts = np.concatenate([[0], gaps + 1])
     starts = starts[starts < len(b)]
     at = np.arange(len(b)) - np.repeat(starts, np.diff(np.append(starts, len(b))))
     with np.errstate(over="ignore"):
         power = np.cumprod(np.full(int(at.max()) + 1, 0x100000001B3, np.uint64))
-        mixed = np.where(b == 32, 0, (b + np.uint64(1)) * power[at])
-        h = np.add.reduceat(mixed, starts)
+        h = np.add.reduceat(np.where(b == 32, 0, (b + np.uint64(1)) * power[at]), starts)
         h ^= h >> np.uint64(31)
-        h *= np.uint64(0x9E3779B97F4A7C15)
-    return (h >> np.uint64(64 - bits)).astype(np.uint32)
+        return h * np.uint64(0x9E3779B97F4A7C15)

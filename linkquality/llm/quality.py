@@ -21,14 +21,17 @@ SAMPLE = 4000
 
 def features(raw: bytes | None):
     """Buckets (sorted, distinct) and counts of the words and n-grams of a
-    whole UTF-8 text, A-Z lower-cased, white space as single blanks."""
+    whole UTF-8 text, A-Z lower-cased, white space as single blanks.  Pairs of
+    the same word count as one more word, whichever word it is (bucket 0)."""
     import numpy as np
 
-    from .ngrams import ngram_buckets, pieces, word_buckets
+    from .ngrams import ngram_buckets, pieces, word_hashes
     total = np.zeros(1 << BITS, np.int64)
     data = b" ".join(raw.lower().split()) if raw else b""
     for part in pieces(data):
-        total += np.bincount(word_buckets(part.strip(b" "), BITS), minlength=1 << BITS)
+        words = word_hashes(part.strip(b" "))
+        total += np.bincount((words >> np.uint64(64 - BITS)).astype(np.int64), minlength=1 << BITS)
+        total[0] += int((words[1:] == words[:-1]).sum())
         for n in NGRAMS:
             total += np.bincount(ngram_buckets(b" " + part.strip(b" ") + b" ", n, BITS),
                                  minlength=1 << BITS)
