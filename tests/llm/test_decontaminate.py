@@ -1,0 +1,84 @@
+import random
+import re
+
+from linkquality.llm.decontaminate import contamination_report, decontaminate
+
+
+def words(t):
+    t = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t)
+
+
+def brute(docs, items, k=10):
+    out = []
+    for i, t in docs:
+        w, hit, found = words(t), set(), set()
+        for item, text in items:
+            v = words(text)
+            n = min(len(v), k)
+            for a in range(len(v) - n + 1 if v else 0):
+                for p in range(len(w) - n + 1):
+                    if w[p:p + n] == v[a:a + n]:
+                        hit.update(range(p, p + n))
+                        found.add(str(item) if item is not None else "")
+        out.append((i, len(w), len(hit), sorted(found)))
+    return sorted(out, key=repr)
+
+
+def data(seed):
+    rng = random.Random(seed)
+    vocab = ["a", "b", "c", "É", "é", "7"]
+    make = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
+    items = [(j, make(rng.choice([1, 2, 3, 5, 9, 10, 11, 14, 30]))) for j in range(12)]
+    items += [(50, None), (51, ""), (52, "?!"), (None, make(12)), (3, make(11)), (60, items[4][1] + " a b"),
+              (61, items[8][1])]
+    docs = [(j, make(rng.randint(0, 40))) for j in range(60)]
+    docs += [(100 + j, make(6) + ". " + (t or "").upper() + "; " + make(4)) for j, (_, t) in enumerate(items)]
+    return docs + [(200, None), (201, ""), (202, "..."), (203, "q" * 100_000), (5, docs[5][1]), (None, "a b")], items
+
+
+def report(df):
+    return sorted(((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in df.collect()), key=repr)
+
+
+def test_report_equals_brute_force(docs_of, spark):
+    for seed, k in ((1, 10), (2, 10), (3, 4)):
+        docs, items = data(seed)
+        bench = spark.createDataFrame(items, "item_id long, text string")
+        assert report(contamination_report(docs_of(docs), bench, min_words=k)) == brute(docs, items, k)
+
+
+def test_blocks_give_the_same(docs_of, spark):
+    docs, items = data(4)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = report(contamination_report(docs_of(docs), bench, min_words=4, block_words=30))
+    assert got == brute(docs, items, 4)
+
+
+def test_long_text_streams(docs_of, spark):
+    item = " ".join(f"w{i}" for i in range(12))
+    text = ("lorem ipsum " * 120_000) + item + (" dolor" * 200_000) + " " + item
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert report(contamination_report(docs_of([(1, text)]), bench)) == [
+        (1, 240_000 + 200_000 + 24, 24, ["1"])]
+
+
+def test_spans_are_cut_and_columns_kept(docs_of, spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    bench = spark.createDataFrame([(1, item), (2, "short one")], "item_id long, text string")
+    docs = docs_of([(1, "Keep this text here, and that one too. ALPHA, " + item[6:] + "! The end of it is here."),
+                    (2, item), (3, "clean text"), (4, None), (5, ""), (6, "a b c d e Short One f g")])
+    out = decontaminate(docs, bench, length_col="n_chars")
+    assert out.columns == docs.columns
+    got = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
+    assert got[1][0] == "Keep this text here, and that one too.  ! The end of it is here."
+    assert got[1][1] == len(got[1][0])
+    assert 2 not in got and got[3][0] == "clean text" and got[4][0] is None and got[5][0] == ""
+    assert got[6][0] == "a b c d e   f g"
+
+
+def test_empty_tables(docs_of, spark):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert report(contamination_report(docs_of([(1, "a b")]), none)) == [(1, 2, 0, [])]
+    assert contamination_report(docs_of([]), none).count() == 0
+    assert decontaminate(docs_of([(1, "a b"), (2, None)]), none).count() == 2

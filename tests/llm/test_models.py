@@ -1,0 +1,134 @@
+"""Language, toxicity and quality: held-out accuracy and edge cases."""
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from linkquality.llm import catalog, langid, quality, toxicity
+
+EDGES = [(9001, None), (9002, ""), (9003, "12 !!"), (9004, "word " * 60_000), (9005, "é"), (9006, " \n")]
+
+
+def labelled(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    return docs, labels
+
+
+@pytest.fixture(scope="module")
+def sf():
+    return "/root/testdata/sf0.01"
+
+
+def test_code_words_are_apart():
+    for k in (2, 3, 4, 6, 9, 30):
+        m = langid.code_matrix(k)
+        dist = [(m[i] != m[j]).sum() for i in range(k) for j in range(i)]
+        assert min(dist) >= max(1, m.shape[1] // 4) and set(np.unique(m)) == {-1, 1}
+
+
+def test_languages_held_out(spark, sf):
+    got = catalog.op4_language_id(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id")
+    held = got.where("held_out").select(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert held > 0.97 and got.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
+
+
+def test_language_edges(docs_of):
+    rows = [(i, t) for i, t in enumerate(["the cat sat", "a dog ran"] * 5)]
+    df = docs_of(rows).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "en").otherwise("xx"))
+    model = langid.fit(df, F.lit(True))
+    got = {r.doc_id: r.language for r in langid.identify(docs_of(EDGES + [(1, "the cat sat"), (1, "the cat sat")]), model).collect()}
+    assert [got[i].lang_pred for i in (9001, 9002, 9003, 9006)] == ["und"] * 4
+    assert got[9005].lang_pred in ("en", "xx") and got[1].lang_pred == "en"
+    none = langid.fit(df, F.lit(False))
+    assert {r.language.lang_pred for r in langid.identify(df, none).collect()} == {"und"}
+    one = langid.fit(df.withColumn("lang", F.lit("en")), F.lit(True))
+    assert {r.language.lang_pred for r in langid.identify(df, one).collect()} == {"en"}
+    assert langid.identify(docs_of([]), model).count() == 0
+
+
+def test_features_of_blocks_equal_whole(monkeypatch):
+    from linkquality.llm import ngrams
+    text = ("some words here and there " * 400).encode()
+    whole = dict(zip(*map(np.ndarray.tolist, quality.features(text))))
+    cut = list(ngrams.pieces(text, 100))
+    assert b"".join(cut) == text and max(map(len, cut)) <= 100
+    assert sum(whole.values()) > 0
+
+
+def test_quality_held_out(spark, sf):
+    docs, labels = labelled(spark, sf)
+    got = catalog.op9_quality(spark, sf).join(labels, "doc_id").where("held_out").collect()
+    right = np.mean([r.predicted == r.quality for r in got])
+    assert right > 0.9 and all(0 <= r.score <= 1 for r in got)
+
+
+def test_quality_edges(docs_of, spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(None, 1), (3, None)], "doc_id long, quality int")
+    rows = [(i, "fine plain words" if i % 2 else "&&& ### &&&") for i in range(40)] + EDGES
+    model = quality.fit(docs_of(rows), labels, F.lit(True))
+    got = {r.doc_id: r.p for r in quality.score(docs_of(rows), model, out="p").collect()}
+    assert got[1] > 0.7 > 0.3 > got[0]
+    assert got[9001] == got[9002] == got[9006] and 0 <= got[9001] <= 1
+    untrained = quality.fit(docs_of(rows), labels, F.lit(False))
+    assert {r.p for r in quality.score(docs_of(rows), untrained, out="p").collect()} == {0.5}
+    assert quality.score(docs_of([]), model, out="p").count() == 0
+
+
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_automaton_equals_edit_distance():
+    rng = random.Random(1)
+    terms = ("idiot", "idiots", "trash", "scum", "worthless", "disgusting", "worthy")
+    lex = toxicity.FuzzyLexicon(terms)
+    words = list(terms)
+    for _ in range(3000):
+        w = list(rng.choice(terms))
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(w) + 1)
+            w[k:k + rng.randint(0, 1)] = rng.choice(["", "x", "t", "é"])
+        words.append("".join(w))
+    for w in words:
+        near = sorted((levenshtein(w, t), t) for t in terms if levenshtein(w, t) <= lex.edits(t))
+        assert lex.match(w) == ((near[0][1], near[0][0]) if near else None), w
+
+
+def test_context_tells_quotation_from_abuse():
+    scan = toxicity.Scanner(("idiot",)).matches
+    kinds = lambda t: sorted(k for _, k in scan(t)[0])
+    assert kinds("you are an idiot") == [toxicity.REINFORCED]
+    assert kinds("the word \"idiot\" is old") == [toxicity.QUOTED]
+    assert kinds("he said \"what an idiot\" and left") == [toxicity.QUOTED]
+    assert kinds("some idi0t here") == [toxicity.MISSPELLED]
+    assert kinds("some IDIOT, here") == [0]
+    assert scan(None) == ({}, 0) and scan("") == ({}, 0) and kinds("\" ?! .") == []
+
+
+def test_toxicity_held_out(spark, sf):
+    docs, labels = labelled(spark, sf)
+    got = catalog.op8_toxicity(spark, sf).join(labels, "doc_id").where("held_out").collect()
+    caught = [r.predicted for r in got if r.toxic == 1]
+    false = [r.predicted for r in got if r.toxic == 0]
+    assert np.mean(caught) > 0.5 and np.mean(false) < 0.02 and all(0 <= r.score <= 1 for r in got)
+
+
+def test_toxicity_edges(docs_of, spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    rows = [(i, f"you idiot and moron {i}" if i % 2 else f"fine plain words {i}") for i in range(40)] + EDGES
+    rows += [(1, rows[1][1])]
+    df = docs_of(rows)
+    for cond in (F.lit(True), F.lit(False)):
+        model = toxicity.fit(df, labels, cond)
+        kept = toxicity.drop_toxic(df, model)
+        assert kept.columns == df.columns
+        ids = sorted(r.doc_id for r in kept.collect())
+        assert ids == sorted([i for i in range(40) if i % 2 == 0] + [i for i, _ in EDGES])
+    assert toxicity.drop_toxic(docs_of([]), model).count() == 0

@@ -1,0 +1,76 @@
+import re
+
+from linkquality.llm.chat import perspectives
+from linkquality.llm.url_filter import judge_urls, term_hits
+
+URLS = ["https://WWW.Example.com/en/1?x", "http://a.example.com/en/2", "http://example.com/fr/", "http://x.net/es/",
+        "http://net/fr/q", "http://notexample.com/en/", "http://x.org/casino", "http://x.org/casinos",
+        "http://free-bets.org/", "http://x.org/free/free", "http://x.org/win/deal", "http://x.com", "no url", "", None,
+        "http://example.com:80/en/", "ftp://a://b/c", "http://x.org/" + "a" * 100_000, "http://x.org/casino?sex#adult",
+        "http://x.org/#casino", "http://x.net/ES/"]
+
+
+def test_urls(spark):
+    df = spark.createDataFrame([(i, u, "z", "z") for i, u in enumerate(URLS)] + [(0, URLS[0], "z", "z")],
+                               "page_id long, url string, host string, rule string")
+    got = {r.page_id: r for r in judge_urls(df).collect()}
+    verdicts = [got[i].verdict for i in range(len(URLS))]
+    assert judge_urls(df).count() == len(URLS) + 1
+    assert got[0].host == "www.example.com" and got[0].path == "/en/1" and got[0].rule == "www.example.com/en/"
+    assert verdicts == ["allow", "block", "allow", "block", "block", "allow", "block", "allow", "block", "allow",
+                        "allow", "allow", "allow", "allow", "allow", "allow", "allow", "allow", "block", "allow",
+                        "allow"]
+    assert got[11].rule is None and got[11].path == "" and got[14].host == "" and got[16].host == "a:"
+    assert got[5].rule == "com/" and got[20].rule is None
+    assert judge_urls(df.limit(0)).count() == 0
+    assert {r.verdict for r in judge_urls(df, rules=(), strict=(), soft={}).collect()} == {"allow"}
+
+
+def test_term_hits_equal_brute_force():
+    import ahocorasick
+    a = ahocorasick.Automaton()
+    terms = ["bet", "bets", "free bets", "sex"]
+    for t in terms:
+        a.add_word(t, t)
+    a.make_automaton()
+    for text in ("bet bets free bets", "bet-bet.bet", "essex sex sex", "Bets", "", "xbet betx 7bet", "ésex sex"):
+        want = {t: len(re.findall(rf"(?<![^\W_]){t}(?![^\W_])", text.lower())) for t in terms}
+        assert term_hits(text, a) == {t: n for t, n in want.items() if n}
+    assert term_hits(None, a) == {}
+
+
+def render(rows, me):
+    text, mask = "", []
+    for _, who, t in rows:
+        head = "<|system|>\n" if who == "system" else "<|assistant|>\n" if who == me else f"<|user:{who}|>\n"
+        text += head
+        if who == me:
+            mask.append(f"{len(text)}-{len(text) + len(t) + 8}")
+        text += t + "<|end|>\n"
+    return text, ",".join(mask)
+
+
+def test_perspectives(spark):
+    rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", "hé"), (1, 3, "ann", None),
+            (1, 3, "ann", None), (1, 2, "bob", "also"), (1, 4, None, "who?"), (1, 5, "", "me"),
+            (2, 0, "system", "alone"), (None, 1, "ann", "lost"), (3, None, "bob", "lost too")]
+    rows += [(4, t, ("x", "y", "z")[t % 3], f"m{t}") for t in range(20)] + [(5, 0, "ann", "w " * 100_000)]
+    df = spark.createDataFrame([(*r, "c", "c") for r in rows],
+                               "conv_id long, turn long, role string, text string, part string, who string")
+    got = perspectives(df, part_turns=7).collect()
+    by = {(r.conv_id, r.perspective, r.part): r for r in got}
+    assert len(by) == len(got) and not any(r.conv_id == 2 for r in got)
+    full = sorted({(t, w or "unknown", x or "") for c, t, w, x in rows if c == 1})
+    for me in ("ann", "bob", "unknown"):
+        r = by[1, me, 0]
+        assert (r.rendered, r.mask) == render(full, me)
+        assert r.n_messages == 7 and r.n_trained == sum(w == me for _, w, _ in full)
+        for span in r.mask.split(","):
+            a, b = map(int, span.split("-"))
+            assert r.rendered[a:b].endswith("<|end|>\n")
+    for me in "xyz":
+        text = "".join(by[4, me, p].rendered for p in range(3))
+        assert text == render([(t, w, x) for c, t, w, x in rows if c == 4], me)[0]
+    assert by[None, "ann", None].n_messages == 1 and by[3, "bob", None].n_trained == 1
+    assert len(by[5, "ann", 0].rendered) > 200_000
+    assert perspectives(df.limit(0)).count() == 0
