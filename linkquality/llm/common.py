@@ -64,3 +64,17 @@ def blocks(data: bytes, size: int, cut) -> list[bytes]:
         out.append(data[start:end])
         start = end
     return out
+
+
+_HELD: dict = {}
+
+
+def held(key, build):
+    """The one large object (automaton, memo) that a Python worker keeps.
+
+    Workers outlive a query and serve the next one, so another key first lets
+    go of what the last operator left."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]

@@ -12,8 +12,10 @@ against each other.
 
 from __future__ import annotations
 
-import functools
 import os
+from array import array
+
+from .common import held
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -24,6 +26,17 @@ def default_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: the
+    visible Latin-1 characters for themselves, the rest from U+0100 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+BYTE_LETTERS = byte_letters()
+
+
 def _plain(ch: str) -> bool:
     return "!" <= ch <= "~" or ch.isalnum()
 
@@ -58,20 +71,28 @@ class _Memo(dict):
 class Encoder:
     """``encode(text)``: the ids of a text as little-endian uint32 bytes.
 
-    ``memo_words`` bounds the memory of the memo (about 220 bytes a word);
-    a full memo starts anew.
+    ``memo_words`` bounds the memory of the memo (about 200 bytes a word);
+    a full memo starts anew.  Words of letters only are one piece to the
+    vocabulary's pre-tokenizer and go straight to its BPE model.  A vocabulary
+    that does not cut texts like this (tried on a sample) is used plainly.
     """
 
-    def __init__(self, path: str, memo_words: int = 800_000):
+    def __init__(self, path: str, memo_words: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True   # their strings are ordinary text
-        self.memo_words = memo_words
-        self._reset()
+        self.memo_words, self.model = memo_words, self.tokenizer.model
+        sample = "Plain words, and É ones.\nIt's 2 (two) \"lines\" of x1."
+        self.memo = True
+        try:
+            self._reset()
+            self.memo = self.encode(sample) == self.whole(sample)
+        except Exception:       # another kind of model: its own way of failing
+            self.memo = False
 
     def _reset(self) -> None:
-        self.bare, self.spaced = _Memo(self.whole, ""), _Memo(self.whole, " ")
+        self.bare, self.spaced = _Memo(self.piece, ""), _Memo(self.piece, " ")
         self.spaced.bare = self.bare
         self.bare.feed = self.whole("\n")
 
@@ -80,9 +101,18 @@ class Encoder:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.asarray(ids, dtype="<u4").tobytes()
 
+    def piece(self, text: str) -> bytes:
+        """Ids of a word, with or without a blank in front."""
+        if text.lstrip(" ").isalpha():
+            letters = text.encode().decode("latin-1").translate(BYTE_LETTERS)
+            return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        return self.whole(text)
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if not self.memo:
+            return self.whole(text)
         if len(self.spaced) + len(self.bare) > self.memo_words:
             self._reset()
         pieces = text.split(" ")
@@ -94,7 +124,6 @@ class Encoder:
             return self.whole(text)
 
 
-@functools.lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """One encoder per Python worker and vocabulary file."""
-    return Encoder(path)
+    return held(("encoder", path), lambda: Encoder(path))

@@ -18,7 +18,6 @@ not turn its words into terms.
 
 from __future__ import annotations
 
-import functools
 import math
 import re
 from collections import Counter
@@ -26,6 +25,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import held
+
 #: Abusive terms to start from.
 SEED = ("bastard", "blockhead", "brainless", "buffoon", "clown", "coward", "creep", "cretin",
         "degenerate", "despicable", "dimwit", "disgusting", "dumbass", "garbage", "halfwit",
@@ -72,9 +73,12 @@ class FuzzyLexicon:
                 self.most[node] = max(self.most[node], allowed)
             self.end[node] = k
         self.alphabet = {ch for c in self.child for ch in c}
+        self._forget()
+
+    def _forget(self) -> None:
         self.steps: list[dict[str, int]] = []    # the product's transitions, made on demand
-        self.sets: list[frozenset] = []
-        self.number: dict[frozenset, int] = {}
+        self.sets: list[tuple] = []
+        self.number: dict[tuple, int] = {}
         self.start = self._state({0: 0})
 
     @staticmethod
@@ -82,6 +86,8 @@ class FuzzyLexicon:
         """Edits that a term of this length tolerates."""
         return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
+    MAX_STATES = 40_000                          # then they are made anew
+
     def _state(self, least: dict[int, int]) -> int:
         """Number of the state with these nodes and least edits, letters of
         a term that the word leaves out included; -1 if none is left."""
@@ -92,7 +98,7 @@ class FuzzyLexicon:
                 if e + 1 <= self.most[nxt] and e + 1 < least.get(nxt, 9):
                     least[nxt] = e + 1
                     todo.append((nxt, e + 1))
-        key = frozenset(least.items())
+        key = tuple(sorted(least.items()))
         if not key:
             return -1
         if key not in self.number:
@@ -115,6 +121,8 @@ class FuzzyLexicon:
     def match(self, word: str) -> tuple[str, int] | None:
         """(term, edits) of the nearest term within its edits; of equally near
         ones the first in the alphabet."""
+        if len(self.sets) > self.MAX_STATES:
+            self._forget()
         state, steps, known = self.start, self.steps, self.alphabet
         for ch in word:
             if ch not in known:
@@ -136,7 +144,7 @@ class FuzzyLexicon:
 class Scanner(dict):
     """Memo from a raw token to None or (term, edits, quoted by itself)."""
 
-    def __init__(self, terms, memo_words: int = 400_000):
+    def __init__(self, terms, memo_words: int = 250_000):
         super().__init__()
         self.lexicon, self.memo_words = FuzzyLexicon(terms), memo_words
 
@@ -198,9 +206,8 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-@functools.lru_cache(maxsize=1)
 def _scanner(terms: tuple[str, ...]) -> Scanner:
-    return Scanner(terms)
+    return held(("lexicon", terms), lambda: Scanner(terms))
 
 
 def _sample(df: DataFrame, labels: DataFrame, training: Column, id_col: str, text_col: str,
