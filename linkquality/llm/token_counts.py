@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .common import checkpointed
 from .tokens import default_path
 
 BLOCK = 1024
@@ -48,8 +49,9 @@ def length_histogram(lengths: DataFrame, length_col: str = "n_tokens",
     Null lengths count as 0; an empty table gives no rows.
     """
     length = F.coalesce(F.col(length_col), F.lit(0)).cast("long")
-    hist = (lengths.select(length.alias("length")).groupBy("length")
-            .agg(F.count(F.lit(1)).alias("n_docs"))
+    # written once: everything below reads one row per length, not the texts again
+    hist = (checkpointed(lengths.select(length.alias("length")).groupBy("length")
+                         .agg(F.count(F.lit(1)).alias("n_docs")))
             .withColumn("n_tokens", F.col("length") * F.col("n_docs"))
             .withColumn("block", F.floor(F.col("length") / F.lit(block))))
     # at most max length / block rows meet in this window
