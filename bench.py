@@ -25,7 +25,7 @@ from linkquality.conf import build_session, scratch_path  # noqa: E402
 from linkquality.operators import serving as sv  # noqa: E402
 from linkquality.operators.gold import (frustration_staircase, regional_metrics,  # noqa: E402
                                         user_retention)
-from linkquality.operators.sessions import create_user_sessions  # noqa: E402
+from linkquality.operators.sessions import create_user_sessions, sessions_by_session_window  # noqa: E402
 from linkquality.operators.silver import clean_measurements  # noqa: E402
 from linkquality.operators.stats import correlation_matrix, kernel_density  # noqa: E402
 from linkquality.plans import fixtures  # noqa: E402
@@ -82,7 +82,7 @@ def main() -> None:
     plan = {
         "clean_measurements": lambda: noop(clean_measurements(li)),
         "create_user_sessions_buckets": lambda: noop(create_user_sessions(silver_ev)),
-        "create_user_sessions_window": lambda: noop(create_user_sessions(silver_ev, method="window")),
+        "create_user_sessions_window": lambda: noop(sessions_by_session_window(silver_ev)),
         "sessions_on_lineitem": lambda: noop(create_user_sessions(silver_li)),
         "regional_metrics": lambda: noop(regional_metrics(silver_li)),
         "user_retention": lambda: noop(user_retention(sessions)),

@@ -13,7 +13,7 @@ Public entry points (all DataFrame -> DataFrame unless noted):
   ``frustration_staircase``
 * ``operators.serving``: filters, ``kpis``, ``rolling_mean``, roll-ups,
   ``gap_quantile``, ``gap_density``, ``dashboard`` (dict of frames)
-* ``operators.stats``: ``exact_quantile_value`` (float), ``correlation_matrix``,
+* ``operators.stats``: ``exact_quantile``, ``correlation_matrix``,
   ``kernel_density``
 * ``sinks.write_table``; ``plans.jobs``: ``ingest_months``,
   ``refresh_warehouse`` (jobs, write tables)

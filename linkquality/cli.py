@@ -7,7 +7,8 @@
 
 Each command is one Spark job over all the months it covers (a backfill is
 not a loop of per-month jobs).  Run it with ``spark-submit`` on a cluster;
-``spark.checkpoint.dir`` must then name a shared folder.
+``spark.checkpoint.dir`` must then name a shared folder, and ``--input-bytes`` with ``--cores``
+sizes input splits and shuffle partitions for the run.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import argparse
 import datetime as _dt
 import json
 
-from .conf import build_session
+from .conf import build_session, scale_conf
 from .functions.time import default_month
 from .plans.jobs import ingest_months, refresh_warehouse
 
@@ -34,7 +35,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         q.add_argument("--bronze", required=True)
         q.add_argument("--tz", default="Europe/Athens")
         q.add_argument("--ambiguous", default="infer", choices=["infer", "earlier", "later"])
-        q.add_argument("--require-fields", action="store_true")
+        q.add_argument("--allow-missing-fields", action="store_true")
 
     b = sub.add_parser("backfill", help="ingest every month from START to END (YYYY-MM)")
     b.add_argument("start")
@@ -50,7 +51,11 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     r.add_argument("--bronze", required=True)
     r.add_argument("--warehouse", required=True)
     r.add_argument("--months", nargs="*")
-    r.add_argument("--method", default="buckets", choices=["buckets", "window"])
+    r.add_argument("--silver-by", default="month", choices=["month", "day"])
+    r.add_argument("--sessions-by", default="none", choices=["none", "day"])
+    for q in (b, m, d, r):
+        q.add_argument("--input-bytes", type=int, help="size of the input, to size splits and shuffles")
+        q.add_argument("--cores", type=int, help="cores of the cluster")
     return p.parse_args(argv)
 
 
@@ -70,15 +75,18 @@ def months_for(args: argparse.Namespace, today: _dt.date) -> tuple[str, str]:
 
 def main(argv: list[str] | None = None, today: _dt.date | None = None) -> dict:
     args = parse(argv)
-    spark = build_session()
+    if bool(args.input_bytes) != bool(args.cores):
+        raise SystemExit("--input-bytes and --cores go together")
+    spark = build_session(extra=scale_conf(args.input_bytes, args.cores) if args.cores else None)
     if args.cmd == "refresh":
         paths = refresh_warehouse(spark, args.bronze, args.warehouse,
-                                  months=args.months or None, method=args.method)
+                                  months=args.months or None,
+                                  silver_by=args.silver_by, sessions_by=args.sessions_by)
         out = {"cmd": "refresh", "tables": paths}
     else:
         start, end = months_for(args, today or _dt.date.today())
         ingest_months(spark, args.landing, args.bronze, start=start, end=end, tz=args.tz,
-                      ambiguous=args.ambiguous, require_fields=args.require_fields)
+                      ambiguous=args.ambiguous, require_fields=not args.allow_missing_fields)
         out = {"cmd": args.cmd, "start": start, "end": end}
     print(json.dumps(out))
     return out

@@ -21,12 +21,13 @@ from pyspark.sql import SparkSession
 SESSION_CONF = {
     # Dates are taken in the session zone (reference behaviour); fix it.
     "spark.sql.session.timeZone": "UTC",
-    # Replace only the month / day partitions present in the written frame.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Checkpointed session tables are removed once no longer referenced.
+    # Sketch aggregates (medians per day and region) keep hashing up to this
+    # many groups a task instead of sorting their input above 128.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
+    # Checkpointed frames are removed once no longer referenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 

@@ -2,26 +2,17 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, functions as F
 
-# Whole words removed from metric names before display.
-NOISE_WORDS = ("avg", "mbps", "msec", "percentage", "total")
-
-_NOISE_RE = r"\b(" + "|".join(NOISE_WORDS) + r")\b"
+# Fixed value: whole words removed from metric names before display.
+NOISE = r"(?i)\b(avg|mbps|msec|percentage|total)\b"
 
 
 def clean_label_col(c) -> Column:
     """Column form: underscores -> spaces, noise words dropped (any case),
     runs of blanks squeezed, then first letter upper and the rest lower."""
     c = F.col(c) if isinstance(c, str) else c
-    s = F.regexp_replace(F.translate(c, "_", " "), "(?i)" + _NOISE_RE, "")
+    s = F.regexp_replace(F.translate(c, "_", " "), NOISE, "")
     s = F.trim(F.regexp_replace(s, r"\s+", " "))
     return F.concat(F.upper(F.substring(s, 1, 1)), F.lower(F.substring(s, 2, 1 << 20)))
 
-
-def clean_label(label: str) -> str:
-    """Plain-Python twin of ``clean_label_col`` for tests and chart code."""
-    s = re.sub(_NOISE_RE, "", label.replace("_", " "), flags=re.IGNORECASE)
-    return " ".join(s.split()).capitalize()

@@ -12,14 +12,14 @@ zone-independent.
 from __future__ import annotations
 
 import datetime as _dt
-from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 _EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
 _DAY_US = 86_400_000_000
-# A text ends with a zone designator: Z, +hh, +hhmm or +hh:mm.
-_OFFSET_RE = r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+# A text ends with a time and a zone designator: Z, +hh, +hhmm or +hh:mm.  The
+# time in front tells the sign of an offset from the dash of a date.
+_OFFSET_RE = r":[0-9]{2}([.,][0-9]+)? ?(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
 
 
 def _c(col) -> Column:
@@ -62,15 +62,16 @@ def localize(df: DataFrame, col: str = "measurement_time", tz: str = "Europe/Ath
     * a wall clock inside the spring gap moves forward to the first valid
       instant (the transition itself: 03:30 on the change day -> 04:00 local);
     * a wall clock inside the autumn overlap occurs twice.  With
-      ``ambiguous="infer"`` the arrival order (``order_col``) decides: among the
-      ambiguous rows of one transition date, ordered by ``order_col``, rows
-      before the first step that does not move forward take the summer
-      offset, rows from that step on the winter offset.  Exactly one such step
-      is required, otherwise the job fails, as the order cannot tell the two
-      passes apart.  Rows are grouped per transition date among the ambiguous
-      rows only; rows of other hours that arrive in between do not split a
-      group.  ``ambiguous="earlier"`` / ``"later"`` pick one offset without
-      looking at order (no window, no shuffle).
+      ``ambiguous="infer"`` the arrival order (``order_col``, a number that
+      grows with arrival; rows that tie are ordered by wall clock, rows without
+      one come first) decides: among the ambiguous rows of one transition
+      date, rows before the one step that does not move forward take the
+      summer offset, rows from that step on the winter offset.  Exactly one
+      such step is required, otherwise the job fails, as the order cannot tell
+      the two passes apart.  Rows of other hours that arrive in between do not
+      split a date's rows.  Only the ambiguous rows are ordered
+      (``_second_pass_starts``); the others are never shuffled.
+      ``ambiguous="earlier"`` / ``"later"`` pick one offset without looking.
 
     The gap rule assumes the transition happens on a whole hour and the gap
     lasts one hour, which holds for all European zones.
@@ -110,21 +111,12 @@ def localize(df: DataFrame, col: str = "measurement_time", tz: str = "Europe/Ath
     })
 
     if ambiguous == "infer":
-        # Only overlap rows take part; every other row is its own window
-        # partition (spread by hash), so the window is a plain sort.
-        key = F.when(c("__amb"), F.to_date("__w").cast("string"))
-        spread = F.when(c("__amb"), F.lit(0)).otherwise(F.xxhash64(c(order_col), c("__ua")))
-        w = Window.partitionBy(key.alias("__k"), spread.alias("__s")).orderBy(order_col)
-        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        step = F.when(c("__ua") - F.lag("__ua").over(w) <= 0, 1).otherwise(0)
-        out = out.withColumn("__step", F.when(c("__amb"), step).otherwise(0))
-        out = out.withColumns({
-            "__side": F.max("__step").over(w.rowsBetween(Window.unboundedPreceding, 0)),
-            "__nsw": F.sum("__step").over(whole),
-        })
+        # a few dates (clocks go back once or twice a year): a bounded broadcast
+        switch = _second_pass_starts(out, order_col)
+        out = out.join(F.broadcast(switch), F.when(c("__amb"), F.to_date("__w")) == c("__date"), "left")
+        second = c(order_col) >= c("__from")
         resolved = F.when(
-            c("__nsw") == 1,
-            F.when(c("__side") == 1, c("__ub")).otherwise(c("__ua")),
+            c("__steps") == 1, F.when(F.coalesce(second, F.lit(False)), c("__ub")).otherwise(c("__ua"))
         ).otherwise(F.raise_error(F.concat(
             F.lit("cannot infer the daylight-saving offset of "),
             F.coalesce(c("__w").cast("string"), F.lit("?")),
@@ -140,6 +132,38 @@ def localize(df: DataFrame, col: str = "measurement_time", tz: str = "Europe/Ath
     return out.drop(*[x for x in out.columns if x.startswith("__")])
 
 
+# Overlap rows of one date are ordered in ranges of this many arrival numbers.
+_ORDER_BLOCK = 1 << 16
+
+
+def _second_pass_starts(out: DataFrame, order_col: str) -> DataFrame:
+    """Per date on which clocks go back: ``__steps``, how often the wall clock
+    of its overlap rows does not move forward in arrival order, and ``__from``,
+    the arrival number at which it last does not.
+
+    Only overlap rows (an hour a year) and three narrow columns take part; all
+    other rows pass by without a shuffle.  The order is looked at in ranges of
+    arrival numbers, and then between the ranges' first and last rows, so one
+    crowded hour is not one task."""
+    c = F.col
+    rows = (out.filter(c("__amb"))
+            .select(F.to_date("__w").alias("__date"), c(order_col).alias("__o"), c("__e").alias("__t"),
+                    F.floor(c(order_col) / F.lit(_ORDER_BLOCK)).alias("__blk")))
+    inside = Window.partitionBy("__date", "__blk").orderBy("__o", "__t")
+    steps = rows.withColumn("__back", c("__t") <= F.lag("__t").over(inside))
+    blocks = steps.groupBy("__date", "__blk").agg(
+        # a step back at a row without an arrival number can't be placed: counts twice
+        F.sum(F.when(c("__back"), F.when(c("__o").isNull(), 2).otherwise(1)).otherwise(0)).alias("__n"),
+        F.max(F.when(c("__back"), c("__o"))).alias("__at"),
+        F.min(F.struct("__o", "__t")).alias("__first"), F.max(F.struct("__o", "__t")).alias("__last"))
+    between = Window.partitionBy("__date").orderBy(F.col("__blk").asc_nulls_first())
+    back = c("__first.__t") <= F.lag("__last.__t").over(between)
+    blocks = blocks.withColumn("__b", F.coalesce(back, F.lit(False)))
+    return blocks.groupBy("__date").agg(
+        (F.sum("__n") + F.count(F.when(c("__b"), 1))).alias("__steps"),
+        F.max(F.greatest("__at", F.when(c("__b"), c("__first.__o")))).alias("__from"))
+
+
 # ---------------------------------------------------------------- months
 
 def month_bounds(d) -> tuple[Column, Column]:
@@ -167,6 +191,14 @@ def month_range(spark: SparkSession, start: str, end: str) -> DataFrame:
         F.col("month_start").alias("first_day"), F.last_day("month_start").alias("last_day"))
 
 
+def default_month_of(day, mode: str = "monthly") -> Column:
+    """Column form of ``default_month``: first day of the month that a run on
+    ``day`` works on."""
+    if mode not in ("monthly", "daily"):
+        raise ValueError("mode must be 'monthly' or 'daily'")
+    return F.trunc(F.add_months(_c(day), -1 if mode == "monthly" else 0), "MM")
+
+
 def default_month(today: _dt.date, mode: str = "monthly") -> tuple[int, int]:
     """Month a scheduled run works on: the previous month for ``monthly``,
     the current month for ``daily``."""
@@ -176,22 +208,3 @@ def default_month(today: _dt.date, mode: str = "monthly") -> tuple[int, int]:
         raise ValueError("mode must be 'monthly' or 'daily'")
     return (today.year - 1, 12) if today.month == 1 else (today.year, today.month - 1)
 
-
-def has_fall_back(tz: str, start: str, end: str) -> bool:
-    """Whether zone ``tz`` turns its clocks back (a repeated wall-clock hour)
-    on some day of the months ``start`` .. ``end`` (``YYYY-MM``).  A calendar
-    computation on the parameters only, for deciding whether the ordered
-    overlap inference of ``localize`` is needed at all."""
-    zone = ZoneInfo(tz)
-    y0, m0 = (int(x) for x in start.split("-"))
-    y1, m1 = (int(x) for x in end.split("-"))
-    day = _dt.date(y0, m0, 1)
-    stop = _dt.date(y1 + (m1 == 12), m1 % 12 + 1, 1)
-    prev = _dt.datetime(day.year, day.month, day.day, 12, tzinfo=zone).utcoffset()
-    while day < stop:
-        nxt = day + _dt.timedelta(days=1)
-        off = _dt.datetime(nxt.year, nxt.month, nxt.day, 12, tzinfo=zone).utcoffset()
-        if off < prev:
-            return True
-        prev, day = off, nxt
-    return False

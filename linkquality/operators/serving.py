@@ -8,9 +8,10 @@ partitioned); windows and aggregations run on what is left.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.time import epoch_seconds
 
@@ -19,8 +20,8 @@ STREAM_METRIC = {"Download": "avg_downstream_mbps", "Upload": "avg_upstream_mbps
 
 
 def _year_range(col: str, start_year: int, end_year: int):
-    """``year(col)`` in [start, end] written as a date range, so that a date
-    partition column is pruned instead of scanned."""
+    """``year(col)`` in [start, end] written as a date range, which reaches
+    the scan: it prunes day folders and skips row groups by their statistics."""
     return F.col(col).between(F.lit(_dt.date(int(start_year), 1, 1)),
                               F.lit(_dt.date(int(end_year), 12, 31)))
 
@@ -127,16 +128,36 @@ def gap_quantile(sessions: DataFrame, q: float = 0.8) -> DataFrame:
 
 def gap_density(sessions: DataFrame, q: float = 0.8, bandwidth: float = 1000.0,
                 steps: int = 100) -> DataFrame:
-    """Density of the session gap in seconds over ``[0, q-quantile]``
-    with a fixed bandwidth.  Gaps are whole seconds and repeat a lot, so
-    equal values are combined before the kernel sum."""
-    from .stats import exact_quantile_value, kernel_density
-    gaps = session_gap_seconds(sessions)
-    hi = exact_quantile_value(gaps, "time_since_last_session_seconds", q)
-    if hi is None:
-        return sessions.sparkSession.createDataFrame([], "value double, density double")
-    return kernel_density(gaps, "time_since_last_session_seconds", (0.0, hi), steps,
-                          bandwidth=bandwidth, pre_aggregate=True)
+    """Density of the session gap in seconds, at ``steps + 1`` points of
+    ``[0, q-quantile]``, with a fixed bandwidth; no rows without a gap.
+
+    One lazy plan.  Gaps are whole seconds and repeat a lot, so equal ones are
+    counted first; a gap then meets only the points at which its kernel is
+    not zero in a double (39 bandwidths to either side)."""
+    from .stats import SQRT_2PI, exact_quantile
+    name = "time_since_last_session_seconds"
+    gaps = session_gap_seconds(sessions).filter(F.col(name).isNotNull())
+    hi = exact_quantile(gaps, name, q).scalar().cast("double")
+    counted = gaps.groupBy(name).agg(F.count(F.lit(1)).cast("double").alias("w"))
+    j, x = F.col("j"), F.col("x")
+    rows = (counted.select(F.col(name).cast("double").alias("x"), "w")
+            .withColumn("hi", hi).withColumn("step", F.col("hi") / F.lit(steps)))
+    reach = F.lit(39.0 * bandwidth)
+    first = F.greatest(F.lit(0.0), F.try_divide(x - reach, F.col("step")))
+    last = F.least(F.lit(float(steps)), F.try_divide(x + reach, F.col("step")))
+    some = F.col("step") > 0
+    start = F.when(some, F.floor(first)).otherwise(F.lit(0)).cast("int")
+    stop = F.when(some, F.ceil(last)).otherwise(F.lit(steps)).cast("int")
+    grid_value = F.when(j == steps, F.col("hi")).otherwise((j / F.lit(steps)) * F.col("hi"))
+    near = (rows.filter(start <= stop).select("x", "w", "hi", F.explode(F.sequence(start, stop)).alias("j"))
+            .withColumn("value", grid_value))
+    z = (F.col("value") - x) / F.lit(bandwidth)
+    sums = near.groupBy("j").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("s"))
+    total = counted.agg(F.sum("w").alias("n")).filter(F.col("n").isNotNull())     # one row
+    grid = (total.withColumn("hi", hi).select("n", "hi", F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("j"))
+            .withColumn("value", grid_value))
+    return grid.join(sums, "j", "left").select(
+        "value", (F.coalesce("s", F.lit(0.0)) / F.lit(SQRT_2PI) / F.lit(bandwidth) / F.col("n")).alias("density"))
 
 
 def brush_filter(df: DataFrame, x: str, x_range: tuple[float, float], y: str,
@@ -159,6 +180,13 @@ def scatter(df: DataFrame, x: str, y: str, color: str = "connection_periphery")
     return df.select(x, y, color)
 
 
+def with_timestamps(df: DataFrame) -> DataFrame:
+    """Date columns as midnight timestamps (without zone), the type a
+    chart's time axis takes."""
+    return df.withColumns({f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema.fields
+                           if isinstance(f.dataType, T.DateType)})
+
+
 # The regions the dashboard page preselects.
 DEFAULT_REGIONS = ("N/A", "ΑΤΤΙΚΗΣ", "ΚΕΝΤΡΙΚΗΣ ΜΑΚΕΔΟΝΙΑΣ")
 # The marginal-density extents and sample count of the scatter page.
@@ -170,18 +198,27 @@ DENSITY_STEPS = 250
 def dashboard(regional: DataFrame, retention: DataFrame, staircase: DataFrame,
               regions: Sequence[str] | None = DEFAULT_REGIONS,
               years: tuple[int, int] | None = None,
-              stream: str = "Download") -> dict[str, DataFrame]:
+              stream: str = "Download",
+              brush: tuple[tuple[float, float], tuple[float, float]] | None = None,
+              highlight: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Every chart's data for one page view, from the three gold tables.
 
     ``years`` defaults to the slider's default (last year - 4 .. last year),
-    read from ``year_bounds`` (one small aggregate).  The selections are
-    applied first; each frame is lazy and independent."""
+    read from ``year_bounds`` (one small aggregate).  ``brush`` (ranges of
+    upstream and downstream drawn on the scatter chart) and ``highlight``
+    (regions picked in its legend) narrow the density charts beside it.  The
+    selections are applied first; each frame is lazy and independent."""
     from .stats import correlation_matrix, kernel_density
     if years is None:
         b = year_bounds(regional).first()
         years = (b["default_start_year"], b["default_end_year"]) \
             if b["max_year"] is not None else (0, 0)
     sub = filter_regional(regional, regions, *years)
+    drawn = sub
+    if brush or highlight:
+        everything = (-math.inf, math.inf)
+        x, y = brush or (everything, everything)
+        drawn = brush_filter(sub, "avg_upstream_mbps", x, "avg_downstream_mbps", y, highlight)
     st = filter_sessions_gold(staircase, regions, *years)
     rt = filter_sessions_gold(retention, regions, *years)
     return {
@@ -190,10 +227,10 @@ def dashboard(regional: DataFrame, retention: DataFrame, staircase: DataFrame,
         "tests_volume": tests_volume(sub),
         "correlation": correlation_matrix(sub),
         "scatter": scatter(sub, "avg_upstream_mbps", "avg_downstream_mbps"),
-        "density_upstream": kernel_density(sub, "avg_upstream_mbps", UPSTREAM_EXTENT,
+        "density_upstream": kernel_density(drawn, "avg_upstream_mbps", UPSTREAM_EXTENT,
                                            DENSITY_STEPS, group_by=["connection_periphery"],
                                            counts=True),
-        "density_downstream": kernel_density(sub, "avg_downstream_mbps", DOWNSTREAM_EXTENT,
+        "density_downstream": kernel_density(drawn, "avg_downstream_mbps", DOWNSTREAM_EXTENT,
                                              DENSITY_STEPS, group_by=["connection_periphery"],
                                              counts=True),
         "staircase": staircase_rollup(st),

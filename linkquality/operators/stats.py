@@ -6,7 +6,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.labels import clean_label_col
 
@@ -31,107 +31,43 @@ def _clean(c: str) -> Column:
 
 # ------------------------------------------------------------ quantiles
 
-def exact_quantile_value(df: DataFrame, col: str, q: float, buckets: int = 512,
-                         accuracy: int = 100_000) -> float | None:
-    """Exact linearly interpolated ``q``-quantile of ``col`` (NULL / NaN
-    skipped), the definition of Spark ``percentile`` and DuckDB
-    ``quantile_cont``, without holding the values in one place.
-
-    The ranks needed are located by narrowing a value interval: each round
-    cuts the interval at approximate quantiles (a mergeable sketch), counts
-    rows per bucket with a distributed aggregation and keeps the bucket that
-    holds the rank.  Only ``buckets`` rows of counts per round reach the
-    driver.  A bucket whose minimum equals its maximum ends the search, so
-    one value repeated across a third of the rows costs no more than any
-    other; when the sketch cannot split a bucket the round bisects its value
-    range instead.
+def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "quantile",
+                   blocks: int = 512, accuracy: int = 10_000) -> DataFrame:
+    """One row with the exact, linearly interpolated ``q``-quantile of ``col``
+    (NULL / NaN skipped; NULL when nothing is left), the definition of Spark
+    ``percentile`` and DuckDB ``quantile_cont``, as one lazy plan.
+
+    Rows are first counted per distinct value, so a value repeated across a
+    third of the rows is one row.  Sketch quantiles cut the values into
+    ``blocks`` blocks of about as many rows; running totals over the blocks
+    tell which one or two hold the wanted ranks, and only their distinct
+    values are put in order.  The sketch only balances the blocks; the result
+    does not depend on it.
     """
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
-    vals = df.select(_clean(col).alias("x")).filter(F.col("x").isNotNull())
-    first = _round(vals, None, None, None, buckets, accuracy)
-    n = sum(r["n"] for r in first[1])
-    if n == 0:
-        return None
-    pos = (n - 1) * q
-    lo_rank, hi_rank = math.floor(pos), math.ceil(pos)
-    v_lo = _kth(vals, lo_rank, first, buckets, accuracy)
-    if hi_rank == lo_rank:
-        return v_lo
-    # the next rank is v_lo again while copies of it remain, else the next value
-    r = vals.agg(F.count(F.when(F.col("x") <= v_lo, 1)).alias("le"),
-                 F.min(F.when(F.col("x") > v_lo, F.col("x"))).alias("nxt")).first()
-    v_hi = v_lo if r["le"] > hi_rank else float(r["nxt"])
-    return v_lo + (pos - lo_rank) * (v_hi - v_lo)
-
-
-def _round(vals: DataFrame, low, high, cuts, buckets: int, accuracy: int):
-    """Bucket counts of the values in (low, high]: cut points, then
-    (b, n, mn, mx) rows ordered by bucket; bucket b is cuts[b-1] < x <= cuts[b].
-    Without given ``cuts`` they are sketch quantiles of the interval (one
-    extra job)."""
-    cond = F.lit(True)
-    if low is not None:
-        cond = cond & (F.col("x") > F.lit(low))
-    if high is not None:
-        cond = cond & (F.col("x") <= F.lit(high))
-    sub = vals.filter(cond)
-    if cuts is None:
-        probs = [i / buckets for i in range(1, buckets)]
-        cuts = sub.agg(F.percentile_approx("x", probs, accuracy).alias("c")).first()["c"]
-        cuts = sorted(set(float(c) for c in (cuts or [])))
-    arr = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-    b = F.size(F.filter(arr, lambda c: c < F.col("x")))
-    rows = (sub.groupBy(b.alias("b"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-            .orderBy("b").collect())
-    return cuts, rows
-
-
-def _kth(vals: DataFrame, k: int, first, buckets: int, accuracy: int) -> float:
-    """k-th smallest (0-based) value of column ``x``.  After the first
-    (sketch-cut) round the chosen bucket's own [min, max] is cut into equal
-    widths, so each further round is a single counting job."""
-    low, high, before = None, None, 0          # current interval (low, high]
-    cuts, rows = first
-    while True:
-        for r in rows:
-            if before + r["n"] > k:
-                break
-            before += r["n"]
-        else:  # pragma: no cover - k is always inside the data
-            raise RuntimeError("rank outside the data")
-        if r["mn"] == r["mx"]:
-            return float(r["mn"])
-        low = cuts[r["b"] - 1] if r["b"] > 0 else low
-        high = cuts[r["b"]] if r["b"] < len(cuts) else high
-        mn, mx = float(r["mn"]), float(r["mx"])
-        if math.isfinite(mx - mn):
-            nxt = sorted({mn + (mx - mn) * i / buckets for i in range(1, buckets)} | {mn})
-        else:                                             # span overflows a double
-            nxt = [mn, mn / 2 + mx / 2]
-        nxt = [c for c in nxt if mn <= c < mx]            # mn alone in bucket 0: progress
-        cuts, rows = _round(vals, low, high, nxt, buckets, accuracy)
-
-
-def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "quantile") -> DataFrame:
-    """One-row frame with the exact quantile (see ``exact_quantile_value``)."""
-    v = exact_quantile_value(df, col, q)
-    spark = df.sparkSession
-    return spark.range(1).select(F.lit(v).cast("double").alias(alias))
+    values = df.select(_clean(col).alias("x")).filter(F.col("x").isNotNull())
+    probs = [i / blocks for i in range(1, blocks)]
+    cuts = values.agg(F.array_distinct(F.percentile_approx("x", probs, accuracy)).alias("c")).scalar()
+    counts = (values.groupBy("x").agg(F.count(F.lit(1)).alias("n")).withColumn("c", cuts)
+              .select("x", "n", F.size(F.filter("c", lambda c: c < F.col("x"))).alias("b")))
+    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)      # ``blocks`` rows
+    totals = counts.groupBy("b").agg(F.sum("n").alias("m")).select(
+        "b", "m", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("before"),
+        ((F.sum("m").over(Window.partitionBy()) - 1) * F.lit(float(q))).alias("pos"))
+    held = totals.filter((F.col("before") <= F.ceil("pos")) & (F.col("before") + F.col("m") > F.floor("pos")))
+    inside = Window.partitionBy("b").orderBy("x")
+    ranked = (counts.join(F.broadcast(held), "b")                                # two rows at most
+              .withColumn("upto", F.col("before") + F.sum("n").over(inside)))
+    ends = ranked.agg(F.min(F.when(F.col("upto") > F.floor("pos"), F.col("x"))).alias("lo"),
+                      F.min(F.when(F.col("upto") > F.ceil("pos"), F.col("x"))).alias("hi"),
+                      F.max(F.col("pos") - F.floor("pos")).alias("part"))
+    return ends.select(F.when(F.col("hi") == F.col("lo"), F.col("lo")).otherwise(
+        F.col("lo") + F.col("part") * (F.col("hi") - F.col("lo"))).alias(alias))
 
 
 # ------------------------------------------------------------ correlation
 
-def _pair_corr(x: str, y: str) -> Column:
-    """Pearson correlation on the rows where both are present; NULL when a
-    side is constant (ANSI-safe: no division by zero is evaluated)."""
-    cx, cy = _clean(x), _clean(y)
-    xs = F.when(cy.isNotNull(), cx)
-    ys = F.when(cx.isNotNull(), cy)
-    return F.try_divide(F.covar_pop(xs, ys), F.stddev_pop(xs) * F.stddev_pop(ys))
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATION_COLUMNS) -> DataFrame:
     """Long-form matrix ``(variable_1, variable_2, correlation)``
     with cleaned labels, Pearson on pairwise-complete rows; NULL for a
@@ -199,8 +135,7 @@ def kernel_density(df: DataFrame, col: str, extent: tuple[float, float], steps:
     Default bandwidth: grouped, one aggregation per group (``stddev_samp`` and
     exact ``percentile`` quartiles, which hold a group's distinct values:
     meant for gold-sized groups) joined on the group keys; ungrouped, the
-    quartiles come from the distributed ``exact_quantile_value`` and the
-    bandwidth is a literal.
+    quartiles come from ``exact_quantile``, as scalar subqueries of the plan.
     """
     keys = list(group_by or [])
     lo, hi = float(extent[0]), float(extent[1])
@@ -218,14 +153,10 @@ def kernel_density(df: DataFrame, col: str, extent: tuple[float, float], steps:
         # one row per group; AQE broadcasts it only when it measures it small
         pts = w.join(stats, on=keys, how="inner")
     else:
-        m = v.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("_x").alias("sd")).first()
-        if not m["n"]:
-            return df.sparkSession.createDataFrame([], "value double, density double")
-        q1 = exact_quantile_value(v, "_x", 0.25)
-        q3 = exact_quantile_value(v, "_x", 0.75)
-        h = v.sparkSession.range(1).select(bandwidth_expr(
-            F.lit(m["n"]), F.lit(m["sd"]).cast("double"), F.lit(q1), F.lit(q3))).first()[0]
-        pts = w.withColumn("_h", F.lit(float(h)))
+        m = v.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("_x").alias("sd"))
+        pts = w.withColumn("_h", bandwidth_expr(
+            m.select("n").scalar(), m.select("sd").scalar(),
+            exact_quantile(v, "_x", 0.25).scalar(), exact_quantile(v, "_x", 0.75).scalar()))
 
     grid_value = F.when(F.col("_j") == steps, F.lit(hi)).otherwise(
         F.lit(lo) + (F.col("_j") / F.lit(steps)) * F.lit(span))

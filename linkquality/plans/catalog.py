@@ -2,7 +2,8 @@
 the DuckDB SQL that must give the same rows on the same parquet tables.
 
 Inputs are the adapters of ``sources.adapters`` (events -> one month of
-measurements, lineitem -> seven years).  Every query reads whole tables.
+measurements, lineitem -> seven years).  Serving queries come twice: for a
+selection of regions and years, and (``_all``) over the whole gold table.
 Doubles are rounded to 6 places on both sides: the engines add in different
 orders, so means, correlations and densities differ in the last bits.
 """
@@ -10,23 +11,26 @@ orders, so means, correlations and densities differ in the last bits.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..conf import scratch_path
-from ..functions.time import localize, month_series, utc_wallclock
+from ..functions.time import default_month_of, localize, month_series, utc_wallclock
 from ..operators import serving as sv
 from ..operators.gold import frustration_staircase, regional_metrics, user_retention
-from ..operators.sessions import create_user_sessions, flag_sessions, session_stats
+from ..operators.sessions import (create_user_sessions, flag_sessions, session_stats,
+                                  sessions_by_session_window)
 from ..operators.silver import clean_measurements
 from ..operators.stats import correlation_matrix, kernel_density
-from ..sinks import write_table
 from ..sources.adapters import m_events, m_lineitem
-from ..sources.landing import read_bronze, read_landing
+from ..sources.landing import FETCH_MONTH, read_bronze, read_landing
 from ..sources.tables import load, read_table
 from . import fixtures
-from .jobs import ingest_months, to_bronze, write_sessions, write_silver
+from ..streaming.ingest import ingest_new_files
+from .jobs import (ingest_months, refresh_warehouse, to_bronze, write_regional, write_sessions,
+                   write_silver)
 
 # Selections of the registered serving queries, chosen for the test data
 # (regions of the lineitem adapter, its years, the events month).
@@ -88,14 +92,8 @@ def regional(spark, sf):
     return regional_metrics(silver_lineitem(spark, sf))
 
 
-def filtered_regional(spark, sf):
-    return sv.filter_regional(regional(spark, sf), REGIONS, *YEARS)
-
-
-def _materialize(spark, df, name, **kw) -> DataFrame:
-    path = scratch_path(spark, name)
-    write_table(df, path, **kw)
-    return read_table(spark, path)
+def filtered_regional(spark, sf, regions=REGIONS):
+    return sv.filter_regional(regional(spark, sf), regions, *YEARS)
 
 
 def _bronze_lineitem(spark, sf) -> str:
@@ -109,7 +107,7 @@ def _bronze_lineitem(spark, sf) -> str:
 
 def q_raw_json_roundtrip(spark, sf):
     landing = fixtures.events_landing(spark, sf)
-    return read_landing(spark, landing)
+    return read_landing(spark, landing).drop(FETCH_MONTH)
 
 
 def q_bronze_typed(spark, sf):
@@ -195,7 +193,7 @@ def q_sessions_enriched(spark, sf):
 
 
 def q_sessions_enriched_window(spark, sf):
-    return sessions(spark, sf, method="window")
+    return sessions_by_session_window(silver_events(spark, sf))
 
 
 def q_sessions_short_decay(spark, sf):
@@ -221,11 +219,11 @@ def q_gold_frustration_staircase(spark, sf):
 
 
 def q_serve_regional(spark, sf):
-    return _materialize(spark, regional(spark, sf), "gold-regional").orderBy("measurement_date")
+    return q_gold_write_read(spark, sf).orderBy("measurement_date")
 
 
-def q_serve_filtered(spark, sf):
-    return filtered_regional(spark, sf)
+def q_serve_filtered(spark, sf, regions=REGIONS):
+    return filtered_regional(spark, sf, regions)
 
 
 def q_serve_filtered_sessions(spark, sf):
@@ -233,21 +231,21 @@ def q_serve_filtered_sessions(spark, sf):
     return sv.filter_sessions_gold(st, REGIONS, *SESSION_YEARS)
 
 
-def _rolling(spark, sf, case):
-    r = sv.rolling_mean(filtered_regional(spark, sf), case)
+def _rolling(spark, sf, case, regions):
+    r = sv.rolling_mean(filtered_regional(spark, sf, regions), case)
     return r.select("measurement_date", "connection_periphery", sv.STREAM_METRIC[case], "rolling_mean")
 
 
-def q_serve_rolling_download(spark, sf):
-    return _rolling(spark, sf, "Download")
+def q_serve_rolling_download(spark, sf, regions=REGIONS):
+    return _rolling(spark, sf, "Download", regions)
 
 
-def q_serve_rolling_upload(spark, sf):
-    return _rolling(spark, sf, "Upload")
+def q_serve_rolling_upload(spark, sf, regions=REGIONS):
+    return _rolling(spark, sf, "Upload", regions)
 
 
-def q_serve_kpis(spark, sf):
-    return sv.kpis(filtered_regional(spark, sf))
+def q_serve_kpis(spark, sf, regions=REGIONS):
+    return sv.kpis(filtered_regional(spark, sf, regions))
 
 
 def q_serve_regions(spark, sf):
@@ -258,8 +256,8 @@ def q_serve_year_bounds(spark, sf):
     return sv.year_bounds(regional(spark, sf))
 
 
-def q_serve_tests_volume(spark, sf):
-    return sv.tests_volume(filtered_regional(spark, sf))
+def q_serve_tests_volume(spark, sf, regions=REGIONS):
+    return sv.tests_volume(filtered_regional(spark, sf, regions))
 
 
 def q_serve_staircase(spark, sf):
@@ -280,36 +278,36 @@ def q_serve_gap_quantile(spark, sf):
     return sv.gap_quantile(sessions(spark, sf), 0.8)
 
 
-def q_serve_brush_filter(spark, sf):
-    b = sv.brush_filter(filtered_regional(spark, sf), "avg_upstream_mbps", BRUSH_X,
+def q_serve_brush_filter(spark, sf, regions=REGIONS):
+    b = sv.brush_filter(filtered_regional(spark, sf, regions), "avg_upstream_mbps", BRUSH_X,
                         "avg_downstream_mbps", BRUSH_Y, BRUSH_REGIONS)
     return b.select("measurement_date", "connection_periphery",
                     "avg_upstream_mbps", "avg_downstream_mbps")
 
 
-def q_serve_scatter_clamped(spark, sf):
-    r = filtered_regional(spark, sf)
+def q_serve_scatter_clamped(spark, sf, regions=REGIONS):
+    r = filtered_regional(spark, sf, regions)
     return r.select("measurement_date", "connection_periphery",
                     sv.clamp("avg_rtt_msec").alias("rtt_clamped"),
                     sv.clamp("avg_downstream_mbps").alias("downstream_clamped"),
                     "avg_jitter_msec")
 
 
-def q_serve_scatter(spark, sf):
-    return sv.scatter(filtered_regional(spark, sf), "avg_upstream_mbps", "avg_downstream_mbps")
+def q_serve_scatter(spark, sf, regions=REGIONS):
+    return sv.scatter(filtered_regional(spark, sf, regions), "avg_upstream_mbps", "avg_downstream_mbps")
 
 
-def q_serve_correlation(spark, sf):
-    return correlation_matrix(filtered_regional(spark, sf))
+def q_serve_correlation(spark, sf, regions=REGIONS):
+    return correlation_matrix(filtered_regional(spark, sf, regions))
 
 
-def q_serve_density_upstream(spark, sf):
-    return kernel_density(filtered_regional(spark, sf), "avg_upstream_mbps", UPSTREAM_EXTENT,
+def q_serve_density_upstream(spark, sf, regions=REGIONS):
+    return kernel_density(filtered_regional(spark, sf, regions), "avg_upstream_mbps", UPSTREAM_EXTENT,
                           DENSITY_STEPS, group_by=["connection_periphery"], counts=True)
 
 
-def q_serve_density_downstream(spark, sf):
-    return kernel_density(filtered_regional(spark, sf), "avg_downstream_mbps", DOWNSTREAM_EXTENT,
+def q_serve_density_downstream(spark, sf, regions=REGIONS):
+    return kernel_density(filtered_regional(spark, sf, regions), "avg_downstream_mbps", DOWNSTREAM_EXTENT,
                           DENSITY_STEPS, group_by=["connection_periphery"], counts=True)
 
 
@@ -317,10 +315,98 @@ def q_serve_density_gap(spark, sf):
     return sv.gap_density(sessions(spark, sf), 0.8, GAP_BANDWIDTH, GAP_STEPS)
 
 
+def q_serve_density_brushed(spark, sf):
+    drawn = sv.brush_filter(regional(spark, sf), "avg_upstream_mbps", BRUSH_X, "avg_downstream_mbps",
+                            BRUSH_Y, BRUSH_REGIONS)
+    return kernel_density(drawn, "avg_upstream_mbps", UPSTREAM_EXTENT, DENSITY_STEPS,
+                          group_by=["connection_periphery"], counts=True)
+
+
+def q_serve_retention_years(spark, sf):
+    gold = user_retention(create_user_sessions(silver_lineitem(spark, sf)))
+    return sv.filter_sessions_gold(gold, REGIONS, *YEARS)
+
+
+def q_serve_timestamps(spark, sf):
+    return sv.with_timestamps(regional(spark, sf)).select("measurement_date", "connection_periphery",
+                                                          "total_tests")
+
+
+def q_default_month(spark, sf):
+    days = load(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("day")).distinct()
+    return days.select("day", default_month_of("day", "monthly").alias("monthly"),
+                       default_month_of("day", "daily").alias("daily"))
+
+
+def _month_counts(df):
+    return df.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_gold_write_read(spark, sf):
+    path = scratch_path(spark, "gold")
+    write_regional(silver_lineitem(spark, sf), path)
+    return read_table(spark, path)
+
+
+def q_landing_month(spark, sf):
+    """One month of a landing laid out by fetch month."""
+    bronze = scratch_path(spark, "bronze")
+    ingest_months(spark, fixtures.lineitem_landing_by_month(spark, sf), bronze, start=REINGEST_MONTH,
+                  end=REINGEST_MONTH, ingested_at=INGEST_STAMP_1)
+    return read_bronze(spark, bronze).select("measurement_id", "measured_downstream_mbps", "year", "month")
+
+
+def q_ingest_empty_month(spark, sf):
+    """A month without records writes nothing: bronze keeps what it has."""
+    bronze = _bronze_lineitem(spark, sf)
+    landing = fixtures.lineitem_landing_by_month(spark, sf)
+    ingest_months(spark, landing, bronze, start="2031-01", end="2031-01", ingested_at=INGEST_STAMP_2)
+    return read_bronze(spark, bronze).groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max(utc_wallclock("ingested_at")).alias("ingested_at"))
+
+
+def q_stream_ingest_many_files(spark, sf):
+    """Every month spread over several files, one file a micro-batch."""
+    bronze = scratch_path(spark, "bronze")
+    ingest_new_files(spark, fixtures.lineitem_landing(spark, sf, files=4), bronze,
+                     scratch_path(spark, "seen"), max_files_per_batch=1)
+    return _month_counts(read_bronze(spark, bronze))
+
+
+def _refreshed(spark, sf, **kw):
+    """A warehouse built at another timeout, then one month re-ingested with
+    unusable rows only and refreshed."""
+    bronze, warehouse = _bronze_lineitem(spark, sf), scratch_path(spark, "warehouse")
+    refresh_warehouse(spark, bronze, warehouse, session_timeout_minutes=90)
+    ingest_months(spark, fixtures.unusable_month(spark, sf, REINGEST_MONTH), bronze, start=REINGEST_MONTH,
+                  end=REINGEST_MONTH, ingested_at=INGEST_STAMP_2)
+    return refresh_warehouse(spark, bronze, warehouse, **kw)
+
+
+def q_refresh_full_replaces(spark, sf):
+    paths = _refreshed(spark, sf)
+    return read_table(spark, paths["gold_user_retention"])
+
+
+def q_refresh_incremental_equals_full(spark, sf):
+    paths = _refreshed(spark, sf, months=[REINGEST_MONTH])
+    return read_table(spark, paths["gold_user_retention"])
+
+
+def q_refresh_empties_silver_month(spark, sf):
+    paths = _refreshed(spark, sf, months=[REINGEST_MONTH])
+    return _month_counts(read_table(spark, paths["silver_measurements"]))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
 }
+# The same without a selection of regions: nothing is filtered.
+WHOLE = ("serve_filtered", "serve_kpis", "serve_tests_volume", "serve_rolling_download",
+         "serve_rolling_upload", "serve_scatter", "serve_scatter_clamped", "serve_brush_filter",
+         "serve_correlation", "serve_density_upstream", "serve_density_downstream")
+QUERIES |= {f"{name}_all": functools.partial(QUERIES[name], regions=None) for name in WHOLE}
 
 
 def queries() -> dict[str, Query]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..conf import scratch_path
 from ..functions.time import ntz_from_micros, utc_wallclock, wall_micros
 from ..sources.adapters import m_events, m_lineitem
+from ..sources.landing import FETCH_MONTH
 
 # The autumn 2026 change of Europe/Athens (04:00 local summer
 # time -> 03:00 winter time, at 01:00 UTC).  The events month is squeezed
@@ -65,9 +66,26 @@ def local_text(utc_ntz, tz: str = "Europe/Athens", with_offset: bool = False):
     return F.concat(txt, sign, hh, F.lit(":"), mm)
 
 
-def lineitem_landing(spark: SparkSession, sf_dir: str) -> str:
-    """``m_lineitem`` as landing JSON (ship dates are local midnights)."""
-    return write_landing(spark, as_api_records(m_lineitem(spark, sf_dir)), "landing-lineitem")
+def lineitem_landing(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
+    """``m_lineitem`` as landing JSON (ship dates are local midnights), over
+    ``files`` files if given."""
+    records = as_api_records(m_lineitem(spark, sf_dir))
+    return write_landing(spark, records.repartition(files) if files else records, "landing-lineitem")
+
+
+def lineitem_landing_by_month(spark: SparkSession, sf_dir: str) -> str:
+    """The same in folders of the month that was asked of the source."""
+    path = scratch_path(spark, "landing-months")
+    rows = as_api_records(m_lineitem(spark, sf_dir))
+    (rows.withColumn(FETCH_MONTH, F.substring("measurement_time", 1, 7)).hint("rebalance", FETCH_MONTH)
+     .write.partitionBy(FETCH_MONTH).json(path))
+    return path
+
+
+def unusable_month(spark: SparkSession, sf_dir: str, month: str) -> str:
+    """One month delivered anew, every row with an impossible speed."""
+    rows = as_api_records(m_lineitem(spark, sf_dir)).where(F.col("measurement_time").startswith(month))
+    return write_landing(spark, rows.withColumn("measured_downstream_mbps", F.lit(-1.0)), "landing-unusable")
 
 
 def events_landing(spark: SparkSession, sf_dir: str) -> str:

@@ -9,15 +9,17 @@ from __future__ import annotations
 import datetime as _dt
 import os
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..functions.time import has_fall_back, localize, utc_wallclock, wall_micros
+from ..conf import scratch_root
+from ..functions.time import localize, utc_wallclock, wall_micros
 from ..operators.gold import frustration_staircase, regional_metrics, user_retention
-from ..operators.sessions import bucket_partials, create_user_sessions, sessions_from_partials
+from ..operators.sessions import bucket_partials, sessions_from_partials, timeout_seconds
 from ..operators.silver import clean_measurements
-from ..schema import BRONZE_SCHEMA, PARTITION_KEYS, RAW_SCHEMA, SchemaMismatch, conform
-from ..sinks import write_table
-from ..sources.landing import landing_keys, read_bronze, read_landing
+from ..schema import BRONZE_SCHEMA, PARTITION_KEYS, SchemaMismatch, conform
+from ..sinks import replace_months, write_table
+from ..sources.landing import FETCH_MONTH, missing_fields, read_bronze, read_landing
 
 TABLES = ("silver_measurements", "silver_user_sessions", "gold_regional_metrics",
           "gold_user_retention", "gold_frustration_staircase")
@@ -26,33 +28,47 @@ TABLES = ("silver_measurements", "silver_user_sessions", "gold_regional_metrics"
 PARTIALS = "silver_session_buckets"
 
 
+def _ym(month: str) -> tuple[int, int]:
+    y, m = month.split("-")
+    return int(y), int(m)
+
+
+def _in_months(year_col, month_col, months) -> F.Column:
+    """The (year, month) columns are one of ``months``; a plain comparison of
+    folder keys, so it prunes."""
+    found = F.lit(False)
+    for y, m in sorted(set(months)):
+        found = found | ((year_col == y) & (month_col == m))
+    return found
+
+
 def to_bronze(raw: DataFrame, tz: str = "Europe/Athens", ambiguous: str = "infer",
               ingested_at: _dt.datetime | None = None,
               start: str | None = None, end: str | None = None) -> DataFrame:
-    """Raw records -> typed bronze rows with ``year`` / ``month`` of the local
-    measurement month.  ``start`` / ``end`` (``YYYY-MM``) keep only the
-    requested months.  ``ingested_at`` defaults to the query start time.
-
-    Overlap (autumn) wall clocks lie on the day the clocks go back, so when
-    the requested months contain no such day every row that could need the
-    ordered inference is filtered out anyway: the inference (a full shuffle)
-    is then skipped, with the same result for the rows kept."""
-    if ambiguous == "infer" and start and end and not has_fall_back(tz, start, end):
-        ambiguous = "earlier"
+    """Raw records -> typed bronze rows with the ``year`` / ``month`` they are
+    stored under.
+
+    That is the month that was asked of the source, where the landing says so
+    (``fetch_month``): a stray row from another month, or one without a time,
+    stays with the month it came with.  Else it is the month of the local
+    time, and for a row without a time the first requested month (``start``).
+    ``start`` / ``end`` (``YYYY-MM``) keep only the requested months.
+    ``ingested_at`` defaults to the query start time."""
     df = localize(raw, "measurement_time", tz=tz, ambiguous=ambiguous)
     # a given stamp is a UTC wall clock; turned into an instant zone-independently
     stamp = F.current_timestamp() if ingested_at is None else F.timestamp_micros(
         wall_micros(F.lit(ingested_at.isoformat(sep=" ")).cast("timestamp_ntz")))
-    local = utc_wallclock(F.from_utc_timestamp(F.col("measurement_time"), tz))
-    df = df.withColumns({"ingested_at": stamp,
-                         "year": F.year(local), "month": F.month(local)})
+    asked = F.to_date(F.col(FETCH_MONTH), "yyyy-MM") if FETCH_MONTH in raw.columns \
+        else F.lit(None).cast("date")
+    local = F.to_date(utc_wallclock(F.from_utc_timestamp(F.col("measurement_time"), tz)))
+    first = F.lit(start + "-01" if start else None).cast("date")
+    month = F.coalesce(asked, local, first)
+    df = df.withColumns({"ingested_at": stamp, "year": F.year(month), "month": F.month(month)})
     ym = F.col("year") * 100 + F.col("month")
-    if start:
-        y, m = start.split("-")
-        df = df.filter(ym >= int(y) * 100 + int(m))
-    if end:
-        y, m = end.split("-")
-        df = df.filter(ym <= int(y) * 100 + int(m))
+    for bound, keep in ((start, lambda v: ym >= v), (end, lambda v: ym <= v)):
+        if bound:
+            y, m = _ym(bound)
+            df = df.filter(keep(y * 100 + m))
     return conform(df, BRONZE_SCHEMA, keep=PARTITION_KEYS)
 
 
@@ -61,45 +77,76 @@ def ingest_months(spark: SparkSession, landing: str | list[str], bronze: str,
                   tz: str = "Europe/Athens", ambiguous: str = "infer",
                   multiline: bool = False,
                   ingested_at: _dt.datetime | None = None,
-                  require_fields: bool = False) -> None:
+                  require_fields: bool = True) -> None:
     """Landing JSON -> bronze, one Spark job for all months of a backfill.
-    Only the month partitions present in the data are replaced; an empty
-    landing writes nothing.
-
-    ``require_fields`` fails the run when a declared field occurs in no
-    landing record at all (a NULL value is fine).  It costs one extra pass
-    over the landing text, a distributed distinct of the keys."""
+    Only the month partitions that the landing has rows for are replaced; a
+    month without any record, like an empty landing, writes nothing and keeps
+    what bronze has.
+
+    With ``start`` / ``end`` only those months' landing folders are parsed
+    (see ``read_landing``).  The run fails when a declared field occurs in no
+    landing record at all (a NULL value is fine); ``require_fields=False``
+    loads such a field as NULL and saves the extra pass."""
     if require_fields:
-        present = {r["key"] for r in landing_keys(spark, landing).collect()}
-        missing = [f.name for f in RAW_SCHEMA.fields if f.name not in present]
-        if present and missing:
+        missing = missing_fields(spark, landing, multiline, start=start, end=end)
+        if missing:
             raise SchemaMismatch(f"fields missing from every landing record: {missing}")
-    raw = read_landing(spark, landing, multiline=multiline)
+    raw = read_landing(spark, landing, multiline=multiline, start=start, end=end)
     bronze_df = to_bronze(raw, tz, ambiguous, ingested_at, start, end)
     write_table(bronze_df, bronze, partition_by=PARTITION_KEYS,
                 cluster_by=("measurement_time",))
 
 
+def newest_records(raw: DataFrame) -> DataFrame:
+    """Of a test that was delivered more than once (same measurement id,
+    connection and time text, same fetch month) the rows of the newest file
+    that has it.  Rows repeated within one file, and rows without an id, all
+    stay."""
+    file = F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"))
+    rows = raw.select("*", file.alias("__file"))
+    same = Window.partitionBy("measurement_id", "connection_id", "measurement_time", FETCH_MONTH)
+    named = rows.where("measurement_id IS NOT NULL").withColumn("__newest", F.max("__file").over(same))
+    newest = named.where(F.col("__file") == F.col("__newest")).drop("__newest")
+    return newest.unionByName(rows.where("measurement_id IS NULL")).drop("__file")
+
+
 SILVER_CLUSTER = ("measurement_date", "user_id", "connection_regional_unit")
 SESSIONS_CLUSTER = ("session_date", "user_id", "behavior_bucket")
 
 
-def write_silver(silver: DataFrame, path: str, replace_all: bool = True) -> None:
+def write_silver(silver: DataFrame, path: str, months: list[tuple[int, int]] | None = None,
+                 granularity: str = "month") -> None:
     """silver_measurements layout: folders by the bronze month keys when the
-    frame has them, rows rebalanced on those keys and sorted by (day, user,
-    regional unit) inside each file.  Day filters are answered from Parquet min/max statistics; one
-    folder per day would mean one file per day even when a day holds a few
-    rows, and thousands of folders over the years."""
+    frame has them, and with ``granularity="day"`` below them by
+    ``measurement_date``; rows rebalanced on the folder keys and sorted by
+    (day, user, regional unit) inside each file.
+
+    Day folders prune day filters at listing time, for tables whose days fill
+    files; with month folders Parquet min/max statistics answer them.  With
+    ``months`` exactly those months are replaced (one without rows is
+    emptied), else the whole table."""
+    if granularity not in ("month", "day"):
+        raise ValueError("granularity must be 'month' or 'day'")
+    days = ("measurement_date",) if granularity == "day" else ()
     parts = tuple(k for k in PARTITION_KEYS if k in silver.columns)
-    write_table(silver, path, partition_by=parts, cluster_by=SILVER_CLUSTER,
-                dynamic=not replace_all and bool(parts))
+    if months and parts:
+        replace_months(silver, path, months, SILVER_CLUSTER, days)
+    else:
+        write_table(silver, path, partition_by=(*parts, *days), cluster_by=SILVER_CLUSTER, dynamic=False)
+
 
+def write_sessions(sessions: DataFrame, path: str, granularity: str = "none") -> None:
+    """silver_user_sessions layout: sorted by (day, user, bucket) inside each
+    file; with ``granularity="day"`` in folders of ``session_date``."""
+    if granularity not in ("none", "day"):
+        raise ValueError("granularity must be 'none' or 'day'")
+    write_table(sessions, path, partition_by=("session_date",) if granularity == "day" else (),
+                cluster_by=SESSIONS_CLUSTER, dynamic=False)
 
-def write_sessions(sessions: DataFrame, path: str) -> None:
-    """silver_user_sessions layout: rebalanced and sorted by (day, user,
-    bucket) inside each file, no folders (a session may cross any month
-    boundary)."""
-    write_table(sessions, path, cluster_by=SESSIONS_CLUSTER, dynamic=False)
+
+def write_gold(gold: DataFrame, path: str) -> None:
+    """A gold table: its columns as they are, no folders, replaced whole."""
+    write_table(gold, path, dynamic=False)
 
 
 def _month_shift(ym: tuple[int, int], k: int) -> tuple[int, int]:
@@ -107,77 +154,85 @@ def _month_shift(ym: tuple[int, int], k: int) -> tuple[int, int]:
     return n // 12, n % 12 + 1
 
 
-def _in_months(year_col, month_col, months) -> F.Column:
-    return (year_col * 100 + month_col).isin(sorted({y * 100 + m for y, m in months}))
-
+def write_regional(silver: DataFrame, path: str, months: list[tuple[int, int]] | None = None) -> None:
+    """gold_regional_metrics from silver.
+
+    With ``months`` (refreshed silver months, given month folders) only days
+    that those months' rows can have are computed anew: a day's rows lie in
+    the same or a neighbouring local month, so days of months M-1..M+1 come
+    from silver months M-2..M+2 (pruned scan).  The table's other days, one
+    row per day and region, are read and written back."""
+    if not months or not all(k in silver.columns for k in PARTITION_KEYS):
+        write_gold(regional_metrics(silver), path)
+        return
+    spark = silver.sparkSession
+    try:
+        old = spark.read.parquet(path)
+    except AnalysisException:               # no table yet
+        write_gold(regional_metrics(silver), path)
+        return
+    d = F.col("measurement_date")
+    days = {_month_shift(b, k) for b in months for k in (-1, 0, 1)}
+    source = {_month_shift(g, k) for g in days for k in (-1, 0, 1)}
+    inside = _in_months(F.year(d), F.month(d), days)
+    fresh = regional_metrics(silver.filter(_in_months(F.col("year"), F.col("month"), source)).filter(inside))
+    scratch_root(spark)
+    # a copy on shared storage: the table is read and replaced in one go
+    kept = old.filter(~F.coalesce(inside, F.lit(False))).checkpoint()
+    write_gold(kept.unionByName(fresh), path)
 
-def write_regional(silver: DataFrame, path: str, months: list[str] | None = None) -> None:
-    """gold_regional_metrics, stored in month folders of ``measurement_date``
-    (extra columns ``year``, ``month``).
 
-    With ``months`` (refreshed silver months) only the gold months whose days
-    those silver rows can reach are rebuilt: a day's rows lie in the same or
-    a neighbouring local month, so gold months M-1..M+1 are recomputed from
-    silver months M-2..M+2 (folder-pruned scan) and replaced by dynamic
-    overwrite; every other gold month is left as it is."""
-    d = F.col("measurement_date")
-    if months and all(k in silver.columns for k in PARTITION_KEYS):
-        base = [tuple(int(p) for p in m.split("-")) for m in months]
-        gold_m = {_month_shift(b, k) for b in base for k in (-1, 0, 1)}
-        silver_m = {_month_shift(g, k) for g in gold_m for k in (-1, 0, 1)}
-        src = silver.filter(_in_months(F.col("year"), F.col("month"), silver_m))
-        src = src.filter(_in_months(F.year(d), F.month(d), gold_m))
-        dynamic = True
-    else:
-        src, dynamic = silver, False
-    out = regional_metrics(src).withColumns({"year": F.year(d), "month": F.month(d)})
-    write_table(out, path, partition_by=("year", "month"), dynamic=dynamic)
+def _stored_timeout(spark: SparkSession, path: str) -> int | None:
+    """The timeout, in seconds, that the partials table was built for."""
+    try:
+        row = spark.read.parquet(path).select("timeout_seconds").first()
+    except AnalysisException:               # no table yet, or one without the column
+        return None
+    return row and row[0]
 
 
 def refresh_warehouse(spark: SparkSession, bronze: str, warehouse: str,
-                      session_timeout_minutes: int = 30, max_days_between_sessions: float = 14,
-                      merge_schema: bool = False, method: str = "buckets",
-                      months: list[str] | None = None) -> dict[str, str]:
+                      session_timeout_minutes: float = 30, max_days_between_sessions: float = 14,
+                      merge_schema: bool = False, months: list[str] | None = None,
+                      silver_by: str = "month", sessions_by: str = "none") -> dict[str, str]:
     """Recompute the five tables.  Returns table name -> path.
 
-    Without ``months`` everything is rebuilt from bronze (as the reference
-    does each run).  With ``months`` (``["YYYY-MM", ...]``, e.g. the months
-    just ingested) only those silver month partitions are re-cleaned - the
-    bronze scan is pruned to their folders and the other silver months are
-    left untouched - and, with the bucket method, only their session-bucket
-    partials are re-aggregated (``silver_session_buckets``, partitioned like
-    silver).  Sessions and gold, which span months, are rebuilt: sessions
-    from the partials table, not from the measurement rows.
+    Without ``months`` everything is rebuilt from bronze and every table is
+    replaced whole.  With ``months`` (``["YYYY-MM", ...]``, e.g. the months
+    just ingested) exactly those silver months are replaced - the bronze scan
+    is pruned to their folders, a month without usable rows is emptied - and
+    so are their session-bucket partials (``silver_session_buckets``,
+    partitioned like silver).  Sessions and gold, which span months, are
+    rebuilt: sessions from the partials table, not from measurement rows.  The
+    partials carry the session timeout they were built for; another one
+    rebuilds them all.
     """
     paths = {t: os.path.join(warehouse, t) for t in TABLES}
     partials_path = os.path.join(warehouse, PARTIALS)
     bronze_df = read_bronze(spark, bronze, merge_schema)
-    if months:
-        cond = None
-        for y, m in (tuple(int(p) for p in mm.split("-")) for mm in months):
-            c = (F.col("year") == y) & (F.col("month") == m)
-            cond = c if cond is None else cond | c
-        bronze_df = bronze_df.filter(cond)
-    write_silver(clean_measurements(bronze_df), paths["silver_measurements"],
-                 replace_all=not months)
-    silver = spark.read.parquet(paths["silver_measurements"])
-
-    if method == "buckets":
-        fresh = silver
-        if months:
-            fresh = silver.filter(cond)                   # pruned to the refreshed folders
-        keys = tuple(k for k in PARTITION_KEYS if k in silver.columns)
-        write_table(bucket_partials(fresh, session_timeout_minutes, keys), partials_path,
-                    partition_by=keys, dynamic=bool(months and keys))
-        sessions = sessions_from_partials(spark.read.parquet(partials_path),
-                                          session_timeout_minutes, max_days_between_sessions)
+    keyed = all(k in bronze_df.columns for k in PARTITION_KEYS)
+    wanted = [_ym(m) for m in months] if months and keyed else None
+    if wanted:
+        bronze_df = bronze_df.filter(_in_months(F.col("year"), F.col("month"), wanted))
+    cleaned = clean_measurements(bronze_df)
+    write_silver(cleaned, paths["silver_measurements"], wanted, silver_by)
+    silver = spark.read.schema(cleaned.schema).parquet(paths["silver_measurements"])
+
+    seconds = timeout_seconds(session_timeout_minutes)
+    partial = wanted and _stored_timeout(spark, partials_path) == seconds
+    rows = silver.filter(_in_months(F.col("year"), F.col("month"), wanted)) if partial else silver
+    keys = PARTITION_KEYS if keyed else ()
+    fresh = bucket_partials(rows, session_timeout_minutes, keys).withColumn("timeout_seconds", F.lit(seconds))
+    if partial:
+        replace_months(fresh, partials_path, wanted)
     else:
-        sessions = create_user_sessions(silver, session_timeout_minutes,
-                                        max_days_between_sessions, method=method)
-    write_sessions(sessions, paths["silver_user_sessions"])
+        write_table(fresh, partials_path, partition_by=keys, dynamic=False)
+    partials = spark.read.schema(fresh.schema).parquet(partials_path)
+    write_sessions(sessions_from_partials(partials, session_timeout_minutes, max_days_between_sessions),
+                   paths["silver_user_sessions"], sessions_by)
     sessions = spark.read.parquet(paths["silver_user_sessions"])
 
-    write_regional(silver, paths["gold_regional_metrics"], months)
-    write_table(user_retention(sessions), paths["gold_user_retention"])
-    write_table(frustration_staircase(sessions), paths["gold_frustration_staircase"])
+    write_regional(silver, paths["gold_regional_metrics"], wanted)
+    write_gold(user_retention(sessions), paths["gold_user_retention"])
+    write_gold(frustration_staircase(sessions), paths["gold_frustration_staircase"])
     return paths

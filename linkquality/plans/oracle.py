@@ -11,7 +11,7 @@ from ..operators.stats import CORRELATION_COLUMNS
 from ..schema import MEASURES
 from .catalog import (BRUSH_REGIONS, BRUSH_X, BRUSH_Y, DENSITY_STEPS, DOWNSTREAM_EXTENT,
                       GAP_BANDWIDTH, GAP_STEPS, INGEST_STAMP_1, INGEST_STAMP_2, REGIONS,
-                      REINGEST_MONTH, SCAN_YEAR, SESSION_YEARS, UPSTREAM_EXTENT, YEARS)
+                      REINGEST_MONTH, SCAN_YEAR, SESSION_YEARS, UPSTREAM_EXTENT, WHOLE, YEARS)
 from .fixtures import AUTUMN_WINDOW_START_UTC, SQUEEZE
 from ..sources.adapters import M_EVENTS_SQL, M_LINEITEM_SQL
 
@@ -350,3 +350,39 @@ WHERE avg_upstream_mbps BETWEEN {BRUSH_X[0]} AND {BRUSH_X[1]}
                                              DENSITY_STEPS),
     "serve_density_gap": _gap_density_sql(),
 }
+
+# The lineitem landing after one month became unusable; its times are local.
+_AFTER = [LI, f"""m_rest AS (
+SELECT * REPLACE ({_athens_to_utc('measurement_time')} AS measurement_time),
+  CAST(year(measurement_time) AS INTEGER) AS year, CAST(month(measurement_time) AS INTEGER) AS month
+FROM m_li WHERE NOT (year(measurement_time) = {_re_y} AND month(measurement_time) = {_re_m}))""",
+          silver_cte("silver_rest", "m_rest")]
+
+ORACLE_SQL |= {
+    "gold_write_read": ORACLE_SQL["gold_regional_metrics"],
+    "serve_density_brushed": ORACLE_SQL["serve_density_upstream"].replace(FR, f"""fr AS (
+SELECT * FROM regional WHERE avg_upstream_mbps BETWEEN {BRUSH_X[0]} AND {BRUSH_X[1]}
+  AND avg_downstream_mbps BETWEEN {BRUSH_Y[0]} AND {BRUSH_Y[1]}
+  AND connection_periphery IN ({_in(BRUSH_REGIONS)}))"""),
+    "serve_retention_years": _with(LI, SILVER_LI, *session_ctes("silver_li"), RETENTION)
+    + f"""SELECT * FROM retention
+WHERE session_date BETWEEN DATE '{YEARS[0]}-01-01' AND DATE '{YEARS[1]}-12-31'""",
+    "serve_timestamps": _with(*REG) + """SELECT CAST(measurement_date AS TIMESTAMP) AS measurement_date,
+  connection_periphery, total_tests FROM regional""",
+    "default_month": """SELECT day, CAST(date_trunc('month', day - INTERVAL 1 MONTH) AS DATE) AS monthly,
+  CAST(date_trunc('month', day) AS DATE) AS daily
+FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem)""",
+    "landing_month": _bronze_sql(f"WHERE year = {_re_y} AND month = {_re_m}",
+                                 f"measurement_id, {_r('measured_downstream_mbps')} AS "
+                                 "measured_downstream_mbps, year, month"),
+    "ingest_empty_month": _bronze_sql("", f"year, month, count(*) AS n_rows, TIMESTAMP '{INGEST_STAMP_1}' "
+                                          "AS ingested_at", "GROUP BY year, month"),
+    "stream_ingest_many_files": _bronze_sql("", "year, month, count(*) AS n_rows", "GROUP BY year, month"),
+    "refresh_full_replaces": _with(*_AFTER, *session_ctes("silver_rest"), RETENTION) + "SELECT * FROM retention",
+    "refresh_incremental_equals_full": _with(*_AFTER, *session_ctes("silver_rest"), RETENTION)
+    + "SELECT * FROM retention",
+    "refresh_empties_silver_month": _with(*_AFTER)
+    + "SELECT year, month, count(*) AS n_rows FROM silver_rest GROUP BY 1, 2",
+}
+ORACLE_SQL |= {f"{name}_all": ORACLE_SQL[name].replace(FR, "fr AS (SELECT * FROM regional)")
+               for name in WHOLE}

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
@@ -16,6 +17,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     * ``partition_by`` -> folder partitions.  With ``dynamic`` (default) an
       overwrite replaces only the partitions present in ``df`` and leaves
       the others untouched; with ``dynamic=False`` the whole table is replaced.
+      The choice is written as an option, so the session's setting has no say.
     * ``cluster_by`` -> rows are sorted by (partition keys, cluster keys)
       inside each write task, so every file holds row groups with narrow
       key ranges (Parquet min/max statistics then skip row groups on day /
@@ -35,6 +37,28 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     w = out.write.format(fmt).mode(mode).options(**(options or {}))
     if parts:
         w = w.partitionBy(*parts)
-        if dynamic:
-            w = w.option("partitionOverwriteMode", "dynamic")
-    w.save(path)
+    w.option("partitionOverwriteMode", "dynamic" if parts and dynamic else "static").save(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system that Spark itself uses."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def replace_months(df: DataFrame, path: str, months: Sequence[tuple[int, int]],
+                   cluster_by: Sequence[str] = (), also_by: Sequence[str] = ()) -> None:
+    """Replace exactly ``months`` ((year, month) pairs) of a table in folders
+    of ``year`` and ``month`` (and below them ``also_by``).
+
+    ``df`` must hold rows of these months only.  A month without rows loses its
+    folder, so nothing stale stays; a narrow pass over the key columns tells
+    which months those are."""
+    spark, keys = df.sparkSession, ("year", "month")
+    present = {tuple(r) for r in df.select(*keys).distinct().collect()}     # a few months
+    for y, m in set(months):
+        # with days below a month, a day that is gone must not survive in it
+        if also_by or (y, m) not in present:
+            delete(spark, os.path.join(path, f"year={y}", f"month={m}"))
+    write_table(df, path, partition_by=(*keys, *also_by), cluster_by=cluster_by)

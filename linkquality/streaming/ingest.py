@@ -1,74 +1,93 @@
 """Incremental landing ingest.
 
-The reference runs its ingest on a schedule and lets a finished ingest
+A scheduled ingest runs on a schedule and lets a finished ingest
 trigger the transform.  Here the "which landing files are new" part is a
 Structured Streaming file source: its checkpoint records every file already
-processed, so a run picks up exactly the files that arrived since the last
-one (exactly once, also across failures), and an ``availableNow`` trigger
-processes them and stops, which suits a scheduled job.
+seen, so a run picks up exactly the files that arrived since the last one,
+and an ``availableNow`` trigger takes them and stops, which suits a scheduled
+job.
 
-Each micro-batch goes through the same ``to_bronze`` plan as the batch job
-and replaces the bronze month partitions it contains (dynamic overwrite).
-Like the reference's monthly fetch, a landing drop is expected to hold
-whole months: a month split across two drops would keep only the later one.
+The stream only learns which months the new files touch (a row count of
+months, written beside the checkpoint before a batch is committed).  Then one
+batch job replaces those months in bronze from *all* their landing records,
+so it makes no difference over how many files, batches or drops a month is
+spread, and a stray row can't replace its month.  Of a record delivered again
+the newest file's form counts.  A run that fails in between leaves its months
+noted, and the next run takes them along.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import os
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..plans.jobs import refresh_warehouse, to_bronze
+from ..plans.jobs import _in_months, newest_records, refresh_warehouse, to_bronze
 from ..schema import PARTITION_KEYS, RAW_SCHEMA
-from ..sinks import write_table
-from ..sources.landing import nan_to_null
+from ..sinks import delete, write_table
+from ..sources.landing import FETCH_MONTH, nan_to_null, read_landing
+
+
+def _noted(spark: SparkSession, pending: str) -> list[tuple[int | None, int | None]]:
+    try:
+        rows = spark.read.schema("year int, month int").json(pending + "/*").distinct().collect()
+    except AnalysisException:                       # nothing noted
+        return []
+    return [(r["year"], r["month"]) for r in rows]
 
 
 def ingest_new_files(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
                      tz: str = "Europe/Athens", ambiguous: str = "infer",
                      ingested_at: _dt.datetime | None = None,
                      max_files_per_batch: int | None = None):
-    """Process the landing files not seen before, then stop.  ``checkpoint``
-    must be on shared storage (it is the record of processed files).
-    Returns the finished ``StreamingQuery`` (its ``recentProgress`` lists the
-    batches) and the sorted ``YYYY-MM`` bronze months the run replaced."""
-    reader = spark.readStream.schema(RAW_SCHEMA).option("mode", "FAILFAST")
+    """Bring bronze up to date with the landing files not seen before, then
+    stop.  ``checkpoint`` must be on shared storage (it is the record of seen
+    files).  ``max_files_per_batch`` only bounds a micro-batch of the month
+    scan; the result doesn't depend on it.  Returns the finished
+    ``StreamingQuery`` and the sorted ``YYYY-MM`` bronze months replaced."""
+    pending = os.path.join(checkpoint, "pending-months")
+    wide = T.StructType([*RAW_SCHEMA.fields, T.StructField(FETCH_MONTH, T.StringType())])
+    reader = spark.readStream.schema(wide).option("mode", "FAILFAST")
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_batch))
-    stream = reader.json(landing)
 
-    touched: set[str] = set()
+    def note_months(batch: DataFrame, batch_id: int) -> None:
+        # which offset an overlap hour takes can't move a row to another month
+        rows = to_bronze(nan_to_null(batch), tz=tz, ambiguous="earlier")
+        (rows.select("year", "month").distinct().coalesce(1)
+         .write.mode("overwrite").option("ignoreNullFields", "false")
+         .json(os.path.join(pending, f"batch={batch_id}")))
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # the batch feeds two actions (the write and the month list): keep it
-        # so its files are parsed once; a lost block is recomputed from them
-        rows = to_bronze(nan_to_null(batch), tz=tz, ambiguous=ambiguous,
-                         ingested_at=ingested_at).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            write_table(rows, bronze, partition_by=PARTITION_KEYS,
-                        cluster_by=("measurement_time",))
-            # the months this batch replaced: a distinct over (year, month), a few rows
-            months = rows.select("year", "month").distinct().collect()
-        finally:
-            rows.unpersist()
-        touched.update(f"{r['year']:04d}-{r['month']:02d}" for r in months
-                       if r["year"] is not None)
-
-    q = (stream.writeStream.foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint)
+    q = (reader.json(landing).writeStream.foreachBatch(note_months)
+         .option("checkpointLocation", os.path.join(checkpoint, "files"))
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
-    return q, sorted(touched)
+
+    months = _noted(spark, pending)                 # a few rows: months, not records
+    if not months:
+        return q, []
+    dated = [m for m in months if m[0] is not None]
+    raw = newest_records(read_landing(spark, landing))
+    if dated and len(dated) == len(months):         # prunes the folders of a landing by months
+        asked = F.col(FETCH_MONTH)
+        raw = raw.filter(asked.isNull() | asked.isin([f"{y:04d}-{m:02d}" for y, m in dated]))
+    rows = to_bronze(raw, tz=tz, ambiguous=ambiguous, ingested_at=ingested_at)
+    wanted = _in_months(F.col("year"), F.col("month"), dated)
+    if len(dated) < len(months):
+        wanted = F.coalesce(wanted, F.lit(False)) | F.col("year").isNull()
+    write_table(rows.filter(wanted), bronze, partition_by=PARTITION_KEYS, cluster_by=("measurement_time",))
+    delete(spark, pending)
+    return q, sorted(f"{y:04d}-{m:02d}" for y, m in dated)
 
 
 def ingest_and_refresh(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
                        warehouse: str, **kw) -> list[str]:
     """New landing files -> bronze, then, if any month changed, the warehouse:
     only the changed silver months are re-cleaned, sessions and gold are
-    rebuilt (the reference's "a finished ingest triggers the transform").
+    rebuilt (a finished ingest triggers the transform).
     Returns the months that changed."""
     _, months = ingest_new_files(spark, landing, bronze, checkpoint, **kw)
     if months:

@@ -8,7 +8,7 @@ sys.path.insert(0, ROOT)
 from linkquality.conf import build_session
 from linkquality.plans.inspect import plan_text
 from linkquality.operators.silver import clean_measurements
-from linkquality.operators.sessions import create_user_sessions, flag_sessions
+from linkquality.operators.sessions import create_user_sessions, flag_sessions, sessions_by_session_window
 from linkquality.operators.gold import regional_metrics, frustration_staircase
 from linkquality.operators import serving as sv
 from linkquality.operators.stats import correlation_matrix, kernel_density
@@ -34,7 +34,7 @@ def main():
      ("clean_measurements (silver)", clean_measurements(li)),
      ("regional_metrics (gold)", regional_metrics(silver_li)),
      ("create_user_sessions, buckets (default)", create_user_sessions(silver_ev)),
-     ("create_user_sessions, window form", create_user_sessions(silver_ev, method="window")),
+     ("sessions_by_session_window", sessions_by_session_window(silver_ev)),
      ("flag_sessions, buckets (row-level ids)", flag_sessions(silver_ev)),
      ("frustration_staircase (gold)", frustration_staircase(sessions)),
      ("rolling_mean after the region/year filter", sv.rolling_mean(fr, "Download")),

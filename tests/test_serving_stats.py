@@ -6,15 +6,18 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from linkquality.functions.labels import clean_label, clean_label_col
+from linkquality.functions.labels import clean_label_col
 from linkquality.operators import serving as sv
 from linkquality.operators.stats import (bandwidth_expr, correlation_matrix,
-                                         exact_quantile_value, kernel_density)
+                                         exact_quantile, kernel_density)
 
 COLS = "measurement_date date, connection_periphery string, total_tests long, " \
        "avg_downstream_mbps double, avg_upstream_mbps double, p50_downstream_mbps double, " \
        "avg_rtt_msec double, avg_loss_percentage double, avg_jitter_msec double"
 
+LABELS = {"avg_downstream_mbps": "Downstream", "avg_upstream_mbps": "Upstream", "avg_rtt_msec": "Rtt",
+          "avg_loss_percentage": "Loss", "avg_jitter_msec": "Jitter", "total_tests": "Tests"}
+
 
 def gold(spark, rows):
     return spark.createDataFrame(rows, COLS)
@@ -86,7 +89,7 @@ def test_clamp_and_year_bounds(spark):
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.8, 1.0])
 def test_exact_quantile(spark, data, q):
     df = spark.createDataFrame([(float(x),) for x in data] + [(None,), (float("nan"),)], "x double")
-    got = exact_quantile_value(df, "x", q, buckets=8, accuracy=100)
+    got = exact_quantile(df, "x", q, blocks=8, accuracy=100).first()[0]
     assert got == pytest.approx(float(np.quantile(np.array(data, dtype=float), q)), rel=1e-12)
 
 
@@ -104,7 +107,7 @@ def test_correlation_matrix(spark):
     for a in pdf.columns:
         for b in pdf.columns:
             e = ref.loc[a, b]
-            g = out[(clean_label(a), clean_label(b))]
+            g = out[LABELS[a], LABELS[b]]
             if math.isnan(e):
                 assert g is None                          # constant column
             else:
@@ -114,8 +117,7 @@ def test_correlation_matrix(spark):
 def test_clean_label(spark):
     names = ["avg_downstream_mbps", "avg_loss_percentage", "total_tests", "AVG_Rtt_msec"]
     df = spark.createDataFrame([(n,) for n in names], "n string")
-    assert [r[0] for r in df.select(clean_label_col("n")).collect()] == \
-        [clean_label(n) for n in names] == ["Downstream", "Loss", "Tests", "Rtt"]
+    assert [r[0] for r in df.select(clean_label_col("n")).collect()] == ["Downstream", "Loss", "Tests", "Rtt"]
 
 
 def _kde(xs, grid, h, counts):
@@ -203,5 +205,60 @@ def test_density_with_counts_integrates_to_group_size(spark):
 def test_exact_quantile_extreme_range(spark):
     data = [-1e308, -5.0, 0.0, 3.0, 1e308]
     df = spark.createDataFrame([(x,) for x in data], "x double")
-    assert exact_quantile_value(df, "x", 0.5, buckets=4, accuracy=100) == 0.0
-    assert exact_quantile_value(df, "x", 0.75, buckets=4, accuracy=100) == 3.0
+    assert exact_quantile(df, "x", 0.5, blocks=4, accuracy=100).first()[0] == 0.0
+    assert exact_quantile(df, "x", 0.75, blocks=4, accuracy=100).first()[0] == 3.0
+
+
+def test_quantile_of_nothing_is_null(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),)], "x double")
+    assert exact_quantile(df, "x", 0.5).collect()[0][0] is None
+
+
+def test_gap_density_equals_plain_kernel_sum(spark):
+    import datetime as dt
+    rng = np.random.default_rng(3)
+    t0 = dt.datetime(2024, 1, 1)
+    gaps = [0, 0, 5] + rng.integers(0, 4_000_000, 80).tolist()
+    rows = [(t0 + dt.timedelta(seconds=int(g)), t0) for g in gaps] + [(t0, None)]
+    s = spark.createDataFrame(rows, "session_start timestamp, prev_session_end timestamp")
+    got = sorted((r.value, r.density) for r in sv.gap_density(s, 0.8, 1000.0, 100).collect())
+    hi = float(np.quantile(gaps, 0.8))
+    grid = np.array([hi * j / 100 for j in range(101)])
+    want = _kde(gaps, grid, 1000.0, False)
+    assert [v for v, _ in got] == pytest.approx(grid.tolist())
+    assert [d for _, d in got] == pytest.approx(want.tolist(), rel=1e-9, abs=1e-300)
+    same = spark.createDataFrame([(t0, t0)] * 3, s.schema)          # every gap and the quantile are zero
+    assert {round(r.density, 9) for r in sv.gap_density(same, 0.8).collect()} == {round(1 / math.sqrt(2 * math.pi) / 1000, 9)}
+    assert sv.gap_density(s.where("prev_session_end IS NULL")).count() == 0
+
+
+def test_ungrouped_default_bandwidth(spark):
+    x = [1.0, 2.0, 2.5, 4.0, 10.0]
+    df = spark.createDataFrame([(v,) for v in x], "x double")
+    q1, q3 = np.quantile(x, [0.25, 0.75])
+    h = 1.06 * min(np.std(x, ddof=1), (q3 - q1) / 1.34) * len(x) ** -0.2
+    got = sorted((r.value, r.density) for r in kernel_density(df, "x", (0.0, 12.0), 24).collect())
+    grid = np.array([v for v, _ in got])
+    assert [d for _, d in got] == pytest.approx(_kde(x, grid, h, False).tolist())
+
+
+def test_brush_narrows_the_density_charts(spark):
+    import datetime as dt
+    g = gold(spark, [_row(dt.date(2024, 1, d), r, 1, 10.0 * d, up=float(d)) for d in range(1, 9) for r in ("A", "B")])
+    none = spark.createDataFrame([], "session_date date, user_type string, total_sessions long")
+    steps = spark.createDataFrame([], "session_date date, behavior_bucket string, total_sessions long, median_loss_pct double")
+    page = sv.dashboard(g, none, steps, regions=["A", "B"], years=(2024, 2024),
+                        brush=((2.0, 6.0), (0.0, 1000.0)), highlight=["A"])
+    want = kernel_density(g.where("connection_periphery = 'A' AND avg_upstream_mbps BETWEEN 2 AND 6"),
+                          "avg_upstream_mbps", sv.UPSTREAM_EXTENT, sv.DENSITY_STEPS,
+                          group_by=["connection_periphery"], counts=True)
+    rows = lambda df: sorted((r.connection_periphery, r.value, round(r.density, 12)) for r in df.collect())
+    assert rows(page["density_upstream"]) == rows(want)
+    assert page["scatter"].count() == 16
+
+
+def test_dates_as_timestamps(spark):
+    import datetime as dt
+    df = sv.with_timestamps(spark.createDataFrame([(dt.date(2024, 1, 2), 1)], "d date, n int"))
+    assert df.dtypes == [("d", "timestamp_ntz"), ("n", "int")]
+    assert df.first()["d"] == dt.datetime(2024, 1, 2)

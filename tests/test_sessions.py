@@ -3,60 +3,56 @@ from pyspark.sql import functions as F
 
 from helpers import meas
 from linkquality.operators.sessions import (SESSION_COLUMNS, create_user_sessions,
-                                            flag_sessions)
+                                            flag_sessions, sessions_by_session_window)
 from linkquality.operators.silver import clean_measurements
 from linkquality.sources.adapters import m_events
 
-METHODS = ["window", "buckets"]
-
-
-def sids(spark, rows, method, timeout):
-    f = flag_sessions(meas(spark, rows), timeout, method=method)
+def sids(spark, rows, timeout):
+    f = flag_sessions(meas(spark, rows), timeout)
     return {r["measurement_id"]: r["session_id"] for r in f.collect()}
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_strict_timeout(spark, method):
+def test_strict_timeout(spark):
     rows = [("u", 1, "2024-01-01 10:00:00", 1.0), ("u", 2, "2024-01-01 10:30:00", 1.0),
             ("u", 3, "2024-01-01 11:00:01", 1.0)]
-    assert sids(spark, rows, method, 30) == {1: 1, 2: 1, 3: 2}
+    assert sids(spark, rows, 30) == {1: 1, 2: 1, 3: 2}
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_subsecond_truncation(spark, method):
+def test_subsecond_truncation(spark):
     # 10:11:19.47 -> 10:41:20.36 is 1800.89 s, but 1801 whole seconds -> new session
     rows = [("u", 1, "2024-01-01 10:11:19.470000", 1.0),
             ("u", 2, "2024-01-01 10:41:20.360000", 1.0)]
-    assert sids(spark, rows, method, 30) == {1: 1, 2: 2}
+    assert sids(spark, rows, 30) == {1: 1, 2: 2}
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_ties_share_a_session(spark, method):
+def test_ties_share_a_session(spark):
     rows = [("u", 1, "2024-01-01 10:00:00", 1.0), ("u", 2, "2024-01-01 10:00:00", 1.0),
             ("u", 3, "2024-01-01 12:00:00", 1.0), ("u", 4, "2024-01-01 12:00:00", 1.0)]
-    assert sids(spark, rows, method, 30) == {1: 1, 2: 1, 3: 2, 4: 2}
+    assert sids(spark, rows, 30) == {1: 1, 2: 1, 3: 2, 4: 2}
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_session_across_midnight_and_empty_chunks(spark, method):
+def test_session_across_midnight_and_empty_chunks(spark):
     rows = [("u", 1, "2024-01-01 23:50:00", 1.0), ("u", 2, "2024-01-02 00:10:00", 1.0),
             ("u", 3, "2024-01-02 00:35:00", 1.0), ("u", 4, "2024-01-05 08:00:00", 1.0),
             ("v", 5, "2024-01-02 00:10:00", 1.0), (None, 6, "2024-01-02 00:10:00", 1.0),
             (None, 7, "2024-01-02 00:20:00", 1.0)]
-    assert sids(spark, rows, method, 30) == {1: 1, 2: 1, 3: 1, 4: 2, 5: 1, 6: 1, 7: 1}
+    assert sids(spark, rows, 30) == {1: 1, 2: 1, 3: 1, 4: 2, 5: 1, 6: 1, 7: 1}
+
+
+FORMS = [create_user_sessions, sessions_by_session_window]
 
 
-def enriched(spark, rows, method, max_days=14):
-    s = create_user_sessions(meas(spark, rows), 30, max_days, method=method)
+def enriched(spark, rows, build, max_days=14):
+    s = build(meas(spark, rows), 30, max_days)
     return {(r["user_id"], r["session_id"]): r for r in s.collect()}
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_decay_inclusive_and_zero_baseline(spark, method):
+@pytest.mark.parametrize("build", FORMS)
+def test_decay_inclusive_and_zero_baseline(spark, build):
     rows = [("u", 1, "2024-01-01 10:00:00", 0.0),     # previous mean 0
             ("u", 2, "2024-01-15 10:00:00", 5.0),     # exactly 14 days later
             ("u", 3, "2024-01-29 10:00:01", 4.0)]     # 14 days + 1 s
-    s = enriched(spark, rows, method)
+    s = enriched(spark, rows, build)
     assert s[("u", 1)]["has_valid_baseline"] is False
     assert s[("u", 2)]["has_valid_baseline"] is True
     assert s[("u", 2)]["days_since_prev_session"] == 14.0
@@ -66,13 +62,13 @@ def test_decay_inclusive_and_zero_baseline(spark, method):
     assert s[("u", 3)]["prev_session_downstream"] == 5.0
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_speed_drop_and_buckets(spark, method):
+@pytest.mark.parametrize("build", FORMS)
+def test_speed_drop_and_buckets(spark, build):
     rows = [("u", 1, "2024-01-01 10:00:00", 100.0), ("u", 2, "2024-01-01 10:10:00", 100.0),
             ("u", 3, "2024-01-02 10:00:00", 80.0), ("u", 4, "2024-01-02 10:05:00", 80.0),
             ("u", 5, "2024-01-02 10:06:00", 80.0), ("u", 6, "2024-01-02 10:07:00", 80.0),
             ("u", None, "2024-01-03 10:07:00", 80.0)]
-    s = enriched(spark, rows, method)
+    s = enriched(spark, rows, build)
     assert s[("u", 1)]["behavior_bucket"] == "2. Moderate (2-3)"
     assert s[("u", 2)]["behavior_bucket"] == "3. High (4+)"
     assert s[("u", 2)]["speed_drop_pct"] == pytest.approx(20.0)
@@ -80,21 +76,21 @@ def test_speed_drop_and_buckets(spark, method):
     assert list(next(iter(s.values())).asDict()) == SESSION_COLUMNS
 
 
+def same_sessions(a, b):
+    rnd = [F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in a.dtypes]
+    a, b = a.select(*rnd), b.select(*rnd)
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_forms_agree_on_events(spark):
     silver = clean_measurements(m_events(spark, "/root/testdata/sf0.01"))
-    rnd = [F.round(c, 9).alias(c) if t == "double" else F.col(c)
-           for c, t in create_user_sessions(silver, method="window").dtypes]
-    a = create_user_sessions(silver, method="window").select(*rnd)
-    b = create_user_sessions(silver, method="buckets").select(*rnd)
-    assert a.count() == b.count()
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    for t in (1, 7, 360):     # other timeouts: bucket widths change with them
-        x = create_user_sessions(silver, t, method="window").select(*rnd)
-        y = create_user_sessions(silver, t, method="buckets").select(*rnd)
-        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
-    fa = flag_sessions(silver, method="window").select("measurement_id", "session_id")
-    fb = flag_sessions(silver, method="buckets").select("measurement_id", "session_id")
-    assert fa.exceptAll(fb).count() == 0 and fb.exceptAll(fa).count() == 0
+    for t in (30, 1, 7, 360, 0.5, 2.5):     # bucket widths change with the timeout
+        assert same_sessions(create_user_sessions(silver, t), sessions_by_session_window(silver, t)), t
+
+
+def test_timeout_below_a_second_is_refused(spark):
+    with pytest.raises(ValueError):
+        create_user_sessions(meas(spark, [("u", 1, "2024-01-01 10:00:00", 1.0)]), 0.01)
 
 
 def test_invariants(spark):
@@ -111,8 +107,7 @@ def test_timeout_equal_to_bucket_edges(spark):
     # also when the pair straddles a bucket edge or skips an empty bucket
     rows = [("u", 1, "2024-01-01 10:00:59", 1.0), ("u", 2, "2024-01-01 10:01:59", 1.0),
             ("u", 3, "2024-01-01 10:03:00", 1.0), ("u", 4, "2024-01-01 10:03:01", 1.0)]
-    for m in METHODS:
-        assert sids(spark, rows, m, 1) == {1: 1, 2: 1, 3: 2, 4: 2}
+    assert sids(spark, rows, 1) == {1: 1, 2: 1, 3: 2, 4: 2}
 
 
 def test_hot_user_window_is_bounded(spark):
@@ -123,7 +118,4 @@ def test_hot_user_window_is_bounded(spark):
     span = hot.agg((F.max(F.unix_timestamp("measurement_time"))
                     - F.min(F.unix_timestamp("measurement_time"))) / 1800 + 1).first()[0]
     assert b.count() <= span < hot.count()
-    a = create_user_sessions(hot, method="window")
-    c = create_user_sessions(hot, method="buckets")
-    rnd = [F.round(x, 9).alias(x) if t == "double" else F.col(x) for x, t in a.dtypes]
-    assert a.select(*rnd).exceptAll(c.select(*rnd)).count() == 0
+    assert same_sessions(create_user_sessions(hot), sessions_by_session_window(hot))

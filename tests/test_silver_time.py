@@ -106,21 +106,52 @@ def test_month_bounds(spark):
                    (dt.date(2024, 2, 1), dt.date(2024, 2, 29))]
 
 
-def test_has_fall_back():
-    from linkquality.functions.time import has_fall_back
-    assert has_fall_back("Europe/Athens", "2026-10", "2026-10")
-    assert not has_fall_back("Europe/Athens", "2026-09", "2026-09")
-    assert not has_fall_back("Europe/Athens", "2026-03", "2026-03")      # spring: no repeat
-    assert has_fall_back("Europe/Athens", "2025-01", "2026-12")
-    assert not has_fall_back("UTC", "2020-01", "2026-12")
-    assert has_fall_back("Australia/Sydney", "2026-04", "2026-04")
-
-
-def test_monthly_ingest_skips_overlap_window(spark):
-    from linkquality.plans.inspect import count_nodes
-    from linkquality.plans.jobs import to_bronze
-    from linkquality.schema import RAW_SCHEMA
-    raw = spark.createDataFrame([], RAW_SCHEMA)
-    assert count_nodes(to_bronze(raw, start="2023-09", end="2023-09"), "Window") == 0
-    assert count_nodes(to_bronze(raw, start="2023-10", end="2023-10"), "Window") >= 1
-    assert count_nodes(to_bronze(raw), "Window") >= 1
+def test_date_only_text_is_local_midnight(spark):
+    rows = [(1, "2023-10-01"), (2, "2023-10-01 00:00:00"), (3, "2023-10-01T00:00:00+03")]
+    assert _loc(spark, rows) == ["2023-09-30 21:00:00"] * 3
+
+
+def test_spring_gap_and_two_transition_dates(spark):
+    rows = [(1, "2025-03-30 03:30:00"), (2, "2025-10-26 03:50:00"), (3, "2025-10-26 03:10:00"),
+            (4, "2026-10-25 03:40:00"), (5, "2026-10-25 03:45:00"), (6, "2026-10-25 03:05:00"),
+            (7, "2026-06-01 12:00:00")]
+    assert _loc(spark, rows) == ["2025-03-30 01:00:00", "2025-10-26 00:50:00", "2025-10-26 01:10:00",
+                                 "2026-10-25 00:40:00", "2026-10-25 00:45:00", "2026-10-25 01:05:00",
+                                 "2026-06-01 09:00:00"]
+
+
+def test_order_is_kept_across_ranges_of_arrival_numbers(spark):
+    ids = [5, 70_000, 200_000, 200_001, 10 ** 9]
+    times = ["03:10", "03:50", "03:20", "03:21", "03:59"]
+    rows = [(i, f"2026-10-25 {t}:00") for i, t in zip(ids, times)]
+    assert _loc(spark, rows) == ["2026-10-25 00:10:00", "2026-10-25 00:50:00", "2026-10-25 01:20:00",
+                                 "2026-10-25 01:21:00", "2026-10-25 01:59:00"]
+
+
+@pytest.mark.parametrize("times", [["03:10", "03:50"], ["03:50", "03:10", "03:40", "03:20"], ["03:30"]])
+def test_order_that_tells_nothing_fails(spark, times):
+    with pytest.raises(Exception, match="cannot infer"):
+        _loc(spark, [(i, f"2026-10-25 {t}:00") for i, t in enumerate(times)])
+
+
+def test_step_back_without_arrival_number_fails(spark):
+    with pytest.raises(Exception, match="cannot infer"):
+        _loc(spark, [(None, "2026-10-25 03:10:00"), (None, "2026-10-25 03:10:00"), (1, "2026-10-25 03:40:00")])
+
+
+def test_first_day_of_a_range_can_be_a_change(spark):
+    df = spark.createDataFrame([(1, "2026-11-01 01:50:00"), (2, "2026-11-01 01:10:00")],
+                               "measurement_id long, measurement_time string")
+    got = localize(df, tz="America/New_York").orderBy("measurement_id")
+    assert [str(r[0]) for r in got.select(F.date_format("measurement_time", "HH:mm")).collect()] == ["05:50", "06:10"]
+
+
+def test_only_overlap_rows_are_shuffled(spark, tmp):
+    import os
+    from linkquality.plans.inspect import plan_text
+    path = os.path.join(tmp, "raw")
+    spark.createDataFrame([(1, "2026-02-05 05:24:55", "payload")],
+                          "measurement_id long, measurement_time string, payload string").write.parquet(path)
+    text = plan_text(localize(spark.read.parquet(path)))
+    exchanges = [part for part in text.split("\n\n") if "Exchange" in part.split("\n")[0]]
+    assert exchanges and not any("payload" in part for part in exchanges)
