@@ -187,19 +187,20 @@ class ToxicityModel:
     logistic: list[float]
 
     def features(self, kinds: Counter, n: int) -> list[float]:
-        exact, near, quoted, pressed, count = {}, {}, {}, {}, 0
+        exact, near, quoted, pressed, count = Counter(), Counter(), Counter(), {}, 0
         for (term, kind), c in kinds.items():
             if kind & MISSPELLED and term not in self.fuzzy:
                 continue
-            w = self.weights.get(term, 0.0)
             into = quoted if kind & QUOTED else near if kind & MISSPELLED else exact
-            into[term] = w * math.log1p(c)
+            into[term] += c
             if not kind & QUOTED:
                 count += c
                 if kind & REINFORCED:
-                    pressed[term] = w
-        return [1.0, sum(exact.values()), sum(near.values()), sum(quoted.values()),
-                sum(pressed.values()), math.log1p(100 * count / max(1, n))]
+                    pressed[term] = self.weights.get(term, 0.0)
+        # fsum: the order in which terms occur can't show in the last bit
+        sides = [math.fsum(self.weights.get(t, 0.0) * math.log1p(c) for t, c in side.items())
+                 for side in (exact, near, quoted)]
+        return [1.0, *sides, math.fsum(pressed.values()), math.log1p(100 * count / max(1, n))]
 
     def score(self, kinds: Counter, n: int) -> float:
         z = sum(w * x for w, x in zip(self.logistic, self.features(kinds, n)))
