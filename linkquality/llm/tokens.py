@@ -6,7 +6,8 @@ does, and encodes the pieces one by one.  Texts repeat most of their words,
 so each Python worker remembers the ids of the words it has met and asks the
 ``tokenizers`` library only for new ones.  A text in which some piece begins
 or ends in anything unusual (double spaces, tabs, other white space, marks
-outside ASCII) is handed to the library whole.  ``tests/llm`` holds both ways
+outside ASCII), or that holds the string of an added token, is handed to the
+library whole.  ``tests/llm`` holds both ways
 against each other.
 """
 
@@ -81,7 +82,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True   # their strings are ordinary text
+        # texts with the string of an added token are never cut
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo_words, self.model = memo_words, self.tokenizer.model
         sample = "Plain words, and É ones.\nIt's 2 (two) \"lines\" of x1."
         self.memo = True
@@ -111,7 +113,7 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self.memo:
+        if not self.memo or any(t in text for t in self.added):
             return self.whole(text)
         if len(self.spaced) + len(self.bare) > self.memo_words:
             self._reset()
