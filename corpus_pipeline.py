@@ -6,8 +6,8 @@ columns of ``documents``:
 
 1. toxicity: documents that the model scores 0.7 or more go;
 2. exact dedup: of texts equal after lower-casing A-Z the largest id stays;
-3. near-dedup: of texts that links of five-word-shingle Jaccard 0.8 or more
-   connect, the smallest id stays;
+3. near-dedup: of texts that SimHash links (three-word shingles, two bits at
+   most apart) connect, the smallest id stays;
 4. decontamination: benchmark passages are cut out of the texts (``n_chars``
    follows), documents that are benchmark text for more than half go;
 5. packing: the pieces, with a digest of their token ids.
@@ -27,7 +27,7 @@ from linkquality.llm.common import table
 from linkquality.llm.decontaminate import decontaminate
 from linkquality.llm.exact_dedup import drop_exact_duplicates
 from linkquality.llm.packing import pack_documents, piece_digest
-from linkquality.llm.similar import drop_similar
+from linkquality.llm.simhash import drop_near_duplicates
 from linkquality.llm.toxicity import drop_toxic, fit
 
 ORACLE_SQL = None
@@ -42,7 +42,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_similar(docs, shingle=5, threshold=0.8)
+    return drop_near_duplicates(docs, radius=2, shingle=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
