@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..conf import scratch_path
 from . import langid, quality, toxicity
 from .chat import perspectives
-from .common import table
+from .common import checkpointed, table
 from .decontaminate import contamination_report
 from .exact_dedup import exact_duplicates
 from .packing import pack_documents, piece_digest
+from .phrases import collocations
 from .simhash import near_duplicates
 from .token_counts import encoded_lengths, length_histogram
+from .token_files import file_starts, read_token_files, write_token_files
 from .url_filter import SOFT, STRICT, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,9 +91,23 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
                       "component_id")
 
 
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations(table(spark, sf, "documents"))
+
+
+def op13_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_token_files(table(spark, sf, "documents"), path)
+    docs = checkpointed(read_token_files(spark, path)
+                        .select("file_no", F.col("id").alias("doc_id"), "file_start", "n_tokens",
+                                F.crc32("ids").alias("ids_crc32")))
+    return (docs.join(file_starts(docs), "file_no")
+            .select("doc_id", (F.col("base") + F.col("file_start")).alias("start"), "n_tokens", "ids_crc32"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_chat_perspectives, op2_decontaminate, op3_packing, op4_language_id, op5_token_counts,
-    op6_exact_dedup, op7_url_filter, op8_toxicity, op9_quality, op10_simhash)}
+    op6_exact_dedup, op7_url_filter, op8_toxicity, op9_quality, op10_simhash, op11_collocations, op13_token_files)}
 
 _LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -176,6 +193,34 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
                sha256(t) AS text_sha256
         FROM d JOIN c USING (t)""",
+    "op11_collocations": f"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                          unnest(regexp_split_to_array({_LOWER_AZ}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+                   FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+        g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+              FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                    FROM w, (VALUES (1), (2), (3), (4), (5)) AS sizes(k))),
+        f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+        t AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 100),
+        inside AS (SELECT lang, phrase, max(a) AS longer
+                   FROM (SELECT lang, a, array_to_string(w[i:i + j - 1], ' ') AS phrase
+                         FROM (SELECT *, unnest(range(1, k - j + 2)) AS i
+                               FROM (SELECT *, unnest(range(2, k)) AS j FROM c)))
+                   GROUP BY ALL),
+        cuts AS (SELECT lang, phrase, a, j, array_to_string(w[:j], ' ') AS head, array_to_string(w[j + 1:], ' ') AS rest
+                 FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+        scored AS (SELECT cuts.*, x.f AS l, y.f AS r, n,
+                          ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+                   FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = head
+                   JOIN f y ON y.lang = cuts.lang AND y.phrase = rest JOIN t ON t.lang = cuts.lang),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        ranked AS (SELECT best.*, row_number() OVER (PARTITION BY best.lang
+                                                     ORDER BY score DESC, a DESC, best.phrase) AS rank
+                   FROM best LEFT JOIN inside ON inside.lang = best.lang AND inside.phrase = best.phrase
+                   WHERE longer IS NULL OR 100 * longer < 100 * a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
 }
 
 
