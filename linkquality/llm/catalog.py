@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..conf import scratch_path
-from . import langid, quality, toxicity
+from . import dialogue_repair, langid, quality, toxicity
 from .chat import perspectives
 from .common import checkpointed, table
 from .decontaminate import contamination_report
@@ -95,6 +95,20 @@ def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations(table(spark, sf, "documents"))
 
 
+def op12_dialogue_repair(spark: SparkSession, sf: str) -> DataFrame:
+    chats = table(spark, sf, "conversations")
+    rows = dialogue_repair.faults(dialogue_repair.damaged(chats))
+    counts = dialogue_repair.fault_counts(rows).withColumnRenamed("conv", "c1")
+    texts = dialogue_repair.transcripts(dialogue_repair.repair(rows)).withColumnRenamed("conv", "c2")
+    every = chats.select("conv_id").distinct()
+    return (every.join(counts, every["conv_id"].eqNullSafe(counts["c1"]), "left")
+            .join(texts, every["conv_id"].eqNullSafe(texts["c2"]), "left")
+            .select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in (
+                "gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+                F.coalesce("audit", F.lit("")).alias("audit"),
+                F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
 def op13_token_files(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_token_files(table(spark, sf, "documents"), path)
@@ -107,7 +121,8 @@ def op13_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_chat_perspectives, op2_decontaminate, op3_packing, op4_language_id, op5_token_counts,
-    op6_exact_dedup, op7_url_filter, op8_toxicity, op9_quality, op10_simhash, op11_collocations, op13_token_files)}
+    op6_exact_dedup, op7_url_filter, op8_toxicity, op9_quality, op10_simhash, op11_collocations,
+    op12_dialogue_repair, op13_token_files)}
 
 _LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

@@ -66,6 +66,6 @@ def test_stages_on_an_empty_table(spark):
 
 def test_all_queries_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert set(entry.oracle_sql()) <= set(names)
