@@ -25,11 +25,13 @@ task that runs again leaves nothing behind.
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .common import held
+from .tokens import BYTE_LETTERS
 
 TOKENIZER = "word_bpe_49k.json"
 FRAME_IDS = 1 << 16
@@ -42,53 +44,77 @@ FOOTER = struct.Struct("<IBI")
 
 # ----------------------------------------------------------------- encoding
 
+class _Memo(dict):
+    """Ids, as bytes, of words.  Two generations of ``size`` words at most: a
+    word met again moves to the younger one, the older one is let go."""
+
+    def __init__(self, ids_of, size: int):
+        super().__init__({"": b""})
+        self.ids_of, self.size, self.old = ids_of, size, {}
+
+    def __missing__(self, word: str) -> bytes:
+        if word.endswith((".", ",")) and word[-2:-1].isalpha():
+            return self[word[:-1]] + self[word[-1]]             # not worth a place of its own
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.ids_of(word)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """``encode(text)``: ids as little-endian uint32 bytes.
 
     A vocabulary that drops white space encodes a text word by word, and texts
     repeat most words, so ids of words are remembered (``memo_words`` bounds
-    the memory).  Words are cut at blanks and line feeds only; every other
-    character is left to the tokenizer.  Texts with the string of an added
-    token, and all texts where a trial shows that the vocabulary does not
-    encode by words, are encoded whole."""
-
-    def __init__(self, path: str, memo_words: int = 500_000):
+    the memory, about 200 bytes a word).  Words are cut at blanks, line feeds
+    and before a last stop behind a letter; every other character is left to the tokenizer, but words of
+    Latin letters, one piece to a normaliser and pre-tokenizer that pass the
+    trial, go straight to its BPE model.  Texts with the string of
+    an added token, and all texts where the trial shows that the vocabulary
+    does not encode by words, are encoded whole."""
+
+    def __init__(self, path: str, memo_words: int = 400_000):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo_words, self.memo = memo_words, {"": b""}
-        sample = "Plain words,  and É ones.\nIt's 2 (two) \"lines\" of x1."
-        self.by_words = b"".join(map(self.whole, sample.replace("\n", " ").split(" "))) == self.whole(sample)
+        self.memo = _Memo(self.word, memo_words)
+        sample = "Plain words,  and É ones.\nIt's 2 (two) \"lines\" of x1. Jumping quicksilver, overzealously naïveté"
+        words = sample.replace("\n", " ").split(" ")
+        self.by_words = (b"".join(map(self.whole, words)) == self.whole(sample) == self.whole(sample.lower())
+                         and all(self.letters(w) == self.whole(w) for w in words if w.isalpha() and w.islower()))
 
     def whole(self, text: str) -> bytes:
         import numpy as np
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def letters(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
     def word(self, word: str) -> bytes:
-        if word not in self.memo:
-            if len(self.memo) > self.memo_words:
-                self.memo = {"": b""}
-            if len(word) > 1 and word[-1] in ".," and word[-2].isalpha():
-                ids = self.word(word[:-1]) + self.word(word[-1])
-            elif word.isascii() and word != word.lower():
-                ids = self.word(word.lower())
-            else:
-                ids = self.whole(word)
-            self.memo[word] = ids
-        return self.memo[word]
+        if word.isalpha() and max(word) < "\u0250" and "\u0130" not in word:
+            return self.letters(word) if word.islower() else self.memo[word.lower()]
+        return self.whole(word)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if not self.by_words or any(t in text for t in self.added):
             return self.whole(text)
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.memo.__getitem__, words))
-        except KeyError:
-            return b"".join(map(self.word, words))
+        try:            # in Latin-1 no character is normalised or lower-cased by its neighbours
+            text.encode("latin-1")
+            text = text.lower()
+        except UnicodeEncodeError:
+            pass
+        return b"".join(map(self.memo.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 # ------------------------------------------------------------------ writing

@@ -25,7 +25,7 @@ def plain(text, path=None):
 @pytest.mark.parametrize("path", [default_path(), byte_path()])
 def test_memo_equals_tokenizer(path):
     rng = random.Random(5)
-    texts = TEXTS + ["".join(rng.choice("abZQ.,'\n 1é́Σs—\t") for _ in range(rng.randint(0, 40))) for _ in range(2000)]
+    texts = TEXTS + ["".join(rng.choice("abZQ.,'\n 1éÉß̈ſŉªǺΣs—\t") for _ in range(rng.randint(0, 40))) for _ in range(2000)]
     enc, fresh = WordEncoder(path, memo_words=300), Tokenizer.from_file(path)
     for t in texts:
         want = np.asarray(fresh.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes()
