@@ -373,6 +373,32 @@ def q_stream_ingest_many_files(spark, sf):
     return _month_counts(read_bronze(spark, bronze))
 
 
+def _month_speeds(df):
+    return df.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"),
+                                           F.sum("measured_downstream_mbps").alias("sum_mbps"))
+
+
+def _dropped_again(spark, sf, **kw):
+    """Bronze after a second run over a landing to which files were added."""
+    bronze, seen = scratch_path(spark, "bronze"), scratch_path(spark, "seen")
+    landing = fixtures.lineitem_landing(spark, sf, files=4)
+    ingest_new_files(spark, landing, bronze, seen)
+    fixtures.drop_again(spark, sf, landing, **kw)
+    ingest_new_files(spark, landing, bronze, seen)
+    return _month_speeds(read_bronze(spark, bronze))
+
+
+def q_stream_redelivery(spark, sf):
+    """All records delivered twice, those with equal ids and different speeds
+    spread over files: every record counts once."""
+    return _dropped_again(spark, sf)
+
+
+def q_stream_correction(spark, sf):
+    """One month delivered again with other speeds: the newer ones count."""
+    return _dropped_again(spark, sf, month=REINGEST_MONTH, more_mbps=1000.0)
+
+
 def _refreshed(spark, sf, **kw):
     """A warehouse built at another timeout, then one month re-ingested with
     unusable rows only and refreshed."""

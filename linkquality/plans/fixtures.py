@@ -73,6 +73,18 @@ def lineitem_landing(spark: SparkSession, sf_dir: str, files: int | None = None)
     return write_landing(spark, records.repartition(files) if files else records, "landing-lineitem")
 
 
+def drop_again(spark: SparkSession, sf_dir: str, landing: str, month: str | None = None,
+               more_mbps: float = 0.0) -> None:
+    """The records of ``m_lineitem`` (of one month, if given) once more, as
+    further files of ``landing``, each speed raised by ``more_mbps``."""
+    rows = as_api_records(m_lineitem(spark, sf_dir))
+    if month:
+        rows = rows.where(F.col("measurement_time").startswith(month))
+    speed = F.col("measured_downstream_mbps")
+    (rows.withColumn("measured_downstream_mbps", speed + F.lit(more_mbps))
+     .repartition(3).write.mode("append").json(landing))
+
+
 def lineitem_landing_by_month(spark: SparkSession, sf_dir: str) -> str:
     """The same in folders of the month that was asked of the source."""
     path = scratch_path(spark, "landing-months")

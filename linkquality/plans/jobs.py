@@ -17,7 +17,7 @@ from ..functions.time import localize, utc_wallclock, wall_micros
 from ..operators.gold import frustration_staircase, regional_metrics, user_retention
 from ..operators.sessions import bucket_partials, sessions_from_partials, timeout_seconds
 from ..operators.silver import clean_measurements
-from ..schema import BRONZE_SCHEMA, PARTITION_KEYS, SchemaMismatch, conform
+from ..schema import BRONZE_SCHEMA, PARTITION_KEYS, RAW_SCHEMA, SchemaMismatch, conform
 from ..sinks import replace_months, write_table
 from ..sources.landing import FETCH_MONTH, missing_fields, read_bronze, read_landing
 
@@ -44,7 +44,8 @@ def _in_months(year_col, month_col, months) -> F.Column:
 
 def to_bronze(raw: DataFrame, tz: str = "Europe/Athens", ambiguous: str = "infer",
               ingested_at: _dt.datetime | None = None,
-              start: str | None = None, end: str | None = None) -> DataFrame:
+              start: str | None = None, end: str | None = None,
+              also: tuple[str, ...] = ()) -> DataFrame:
     """Raw records -> typed bronze rows with the ``year`` / ``month`` they are
     stored under.
 
@@ -53,7 +54,8 @@ def to_bronze(raw: DataFrame, tz: str = "Europe/Athens", ambiguous: str = "infer
     stays with the month it came with.  Else it is the month of the local
     time, and for a row without a time the first requested month (``start``).
     ``start`` / ``end`` (``YYYY-MM``) keep only the requested months.
-    ``ingested_at`` defaults to the query start time."""
+    ``ingested_at`` defaults to the query start time; ``also`` names further
+    columns of ``raw`` to carry along."""
     df = localize(raw, "measurement_time", tz=tz, ambiguous=ambiguous)
     # a given stamp is a UTC wall clock; turned into an instant zone-independently
     stamp = F.current_timestamp() if ingested_at is None else F.timestamp_micros(
@@ -69,7 +71,7 @@ def to_bronze(raw: DataFrame, tz: str = "Europe/Athens", ambiguous: str = "infer
         if bound:
             y, m = _ym(bound)
             df = df.filter(keep(y * 100 + m))
-    return conform(df, BRONZE_SCHEMA, keep=PARTITION_KEYS)
+    return conform(df, BRONZE_SCHEMA, keep=(*PARTITION_KEYS, *also))
 
 
 def ingest_months(spark: SparkSession, landing: str | list[str], bronze: str,
@@ -97,17 +99,58 @@ def ingest_months(spark: SparkSession, landing: str | list[str], bronze: str,
                 cluster_by=("measurement_time",))
 
 
-def newest_records(raw: DataFrame) -> DataFrame:
-    """Of a test that was delivered more than once (same measurement id,
-    connection and time text, same fetch month) the rows of the newest file
-    that has it.  Rows repeated within one file, and rows without an id, all
-    stay."""
-    file = F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"))
-    rows = raw.select("*", file.alias("__file"))
-    same = Window.partitionBy("measurement_id", "connection_id", "measurement_time", FETCH_MONTH)
-    named = rows.where("measurement_id IS NOT NULL").withColumn("__newest", F.max("__file").over(same))
-    newest = named.where(F.col("__file") == F.col("__newest")).drop("__newest")
-    return newest.unionByName(rows.where("measurement_id IS NULL")).drop("__file")
+# Superseded records up to this number are told to the tasks by a broadcast
+# (about 40 bytes each); more are joined by their hashes.
+BROADCAST_RECORDS = 200_000
+
+
+def superseded(raw: DataFrame) -> DataFrame:
+    """(record, file) of the landing rows that do not count, from rows with
+    the columns ``file`` and ``delivery`` (a number that grows with time).
+
+    A test (measurement id, connection, time text, fetch month) that several
+    deliveries hold counts as the newest of them has it; records of one
+    delivery that share these but differ otherwise are different records and
+    all count.  A record that several files of its delivery hold alike counts
+    as often as the file that holds it most often, so a file dropped twice
+    changes nothing and a record repeated within a file stays repeated.  A
+    record without an id is its own test.
+
+    Only 128-bit hashes are shuffled, after a count per task; never the
+    records themselves."""
+    tested = F.when(F.col("measurement_id").isNotNull(), F.md5(F.to_json(F.struct(*TEST_KEY))))
+    counts = (raw.select(record_hash().alias("record"), "file", "delivery", tested.alias("test"))
+              .groupBy(F.coalesce("test", "record").alias("test"), "record", "file", "delivery")
+              .agg(F.count(F.lit(1)).alias("n")))
+    newest = Window.partitionBy("test")
+    owner = F.struct("n", "file")
+    ranked = (counts.withColumn("last", F.max("delivery").over(newest))
+              .withColumn("owner", F.max(F.when(F.col("delivery") == F.col("last"), owner))
+                          .over(Window.partitionBy("test", "record"))))
+    return (ranked.where((F.col("delivery") < F.col("last")) | (F.col("file") != F.col("owner.file")))
+            .select("record", "file"))
+
+
+TEST_KEY = ("measurement_id", "connection_id", "measurement_time", FETCH_MONTH)
+
+
+def record_hash() -> F.Column:
+    """128-bit hash of a whole landing record (nulls told from empty text)."""
+    return F.md5(F.to_json(F.struct(*RAW_SCHEMA.names, FETCH_MONTH)))
+
+
+def current_records(raw: DataFrame) -> DataFrame:
+    """The landing rows (with ``file`` and ``delivery``) that count, see
+    ``superseded``; the two columns are dropped."""
+    scratch_root(raw.sparkSession)
+    gone = superseded(raw).checkpoint()
+    n = gone.count()
+    if not n:
+        return raw.drop("file", "delivery")
+    if n <= BROADCAST_RECORDS:
+        gone = F.broadcast(gone)
+    return (raw.withColumn("record", record_hash()).join(gone, ["record", "file"], "left_anti")
+            .drop("record", "file", "delivery"))
 
 
 SILVER_CLUSTER = ("measurement_date", "user_id", "connection_regional_unit")

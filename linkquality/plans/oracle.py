@@ -378,6 +378,11 @@ FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem)""",
     "ingest_empty_month": _bronze_sql("", f"year, month, count(*) AS n_rows, TIMESTAMP '{INGEST_STAMP_1}' "
                                           "AS ingested_at", "GROUP BY year, month"),
     "stream_ingest_many_files": _bronze_sql("", "year, month, count(*) AS n_rows", "GROUP BY year, month"),
+    "stream_redelivery": _bronze_sql("", f"year, month, count(*) AS n_rows, {_r('sum(measured_downstream_mbps)')} "
+                                         "AS sum_mbps", "GROUP BY year, month"),
+    "stream_correction": _bronze_sql("", "year, month, count(*) AS n_rows, " + _r(
+        f"sum(measured_downstream_mbps + CASE WHEN year = {_re_y} AND month = {_re_m} THEN 1000.0 ELSE 0.0 END)")
+        + " AS sum_mbps", "GROUP BY year, month"),
     "refresh_full_replaces": _with(*_AFTER, *session_ctes("silver_rest"), RETENTION) + "SELECT * FROM retention",
     "refresh_incremental_equals_full": _with(*_AFTER, *session_ctes("silver_rest"), RETENTION)
     + "SELECT * FROM retention",

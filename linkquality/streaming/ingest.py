@@ -7,35 +7,41 @@ seen, so a run picks up exactly the files that arrived since the last one,
 and an ``availableNow`` trigger takes them and stops, which suits a scheduled
 job.
 
-The stream only learns which months the new files touch (a row count of
-months, written beside the checkpoint before a batch is committed).  Then one
-batch job replaces those months in bronze from *all* their landing records,
-so it makes no difference over how many files, batches or drops a month is
-spread, and a stray row can't replace its month.  Of a record delivered again
-the newest file's form counts.  A run that fails in between leaves its months
-noted, and the next run takes them along.
+The stream only learns which months the new files touch: rows (year, month,
+file, delivery), written beside the checkpoint before a batch is committed.
+The files that one run sees first are one delivery.  Then one batch job
+replaces the touched months in bronze from all landing files that were ever
+noted for them, and only those, so it makes no difference over how many files,
+batches or drops a month is spread, a stray row can't replace its month, and
+the work doesn't grow with the landing's history.  A test delivered again
+counts as its newest delivery has it; a file dropped twice counts once
+(``plans.jobs.superseded``).  A run that fails in between leaves its notes,
+and the next run takes their months along.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import os
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..plans.jobs import _in_months, newest_records, refresh_warehouse, to_bronze
+from ..plans.jobs import current_records, refresh_warehouse, to_bronze
 from ..schema import PARTITION_KEYS, RAW_SCHEMA
 from ..sinks import delete, write_table
 from ..sources.landing import FETCH_MONTH, nan_to_null, read_landing
 
+NOTE = "year int, month int, file string, delivery long"
 
-def _noted(spark: SparkSession, pending: str) -> list[tuple[int | None, int | None]]:
+
+def _notes(spark: SparkSession, path: str) -> DataFrame:
+    """The notes below ``path``; none where it does not exist yet."""
     try:
-        rows = spark.read.schema("year int, month int").json(pending + "/*").distinct().collect()
-    except AnalysisException:                       # nothing noted
-        return []
-    return [(r["year"], r["month"]) for r in rows]
+        return spark.read.schema(NOTE).json(path + "/*")
+    except AnalysisException:
+        return spark.createDataFrame([], NOTE)
 
 
 def ingest_new_files(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
@@ -44,10 +50,13 @@ def ingest_new_files(spark: SparkSession, landing: str, bronze: str, checkpoint:
                      max_files_per_batch: int | None = None):
     """Bring bronze up to date with the landing files not seen before, then
     stop.  ``checkpoint`` must be on shared storage (it is the record of seen
-    files).  ``max_files_per_batch`` only bounds a micro-batch of the month
-    scan; the result doesn't depend on it.  Returns the finished
-    ``StreamingQuery`` and the sorted ``YYYY-MM`` bronze months replaced."""
-    pending = os.path.join(checkpoint, "pending-months")
+    files and of the months they hold).  ``max_files_per_batch`` only bounds a
+    micro-batch of the month scan; the result doesn't depend on it.  Returns
+    the finished ``StreamingQuery`` and the sorted ``YYYY-MM`` bronze months
+    replaced."""
+    pending, noted = (os.path.join(checkpoint, n) for n in ("pending", "noted"))
+    last = _notes(spark, noted).unionByName(_notes(spark, pending)).agg(F.max("delivery")).first()[0]
+    delivery = (last or 0) + 1
     wide = T.StructType([*RAW_SCHEMA.fields, T.StructField(FETCH_MONTH, T.StringType())])
     reader = spark.readStream.schema(wide).option("mode", "FAILFAST")
     if max_files_per_batch:
@@ -55,32 +64,37 @@ def ingest_new_files(spark: SparkSession, landing: str, bronze: str, checkpoint:
 
     def note_months(batch: DataFrame, batch_id: int) -> None:
         # which offset an overlap hour takes can't move a row to another month
-        rows = to_bronze(nan_to_null(batch), tz=tz, ambiguous="earlier")
-        (rows.select("year", "month").distinct().coalesce(1)
-         .write.mode("overwrite").option("ignoreNullFields", "false")
-         .json(os.path.join(pending, f"batch={batch_id}")))
+        rows = to_bronze(nan_to_null(batch), tz=tz, ambiguous="earlier", also=("file",))
+        (rows.select("year", "month", "file").distinct().withColumn("delivery", F.lit(delivery))
+         .coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false")
+         .json(os.path.join(pending, f"batch-{batch_id}")))
 
-    q = (reader.json(landing).writeStream.foreachBatch(note_months)
+    q = (reader.json(landing).select("*", F.col("_metadata.file_path").alias("file"))
+         .writeStream.foreachBatch(note_months)
          .option("checkpointLocation", os.path.join(checkpoint, "files"))
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
 
-    months = _noted(spark, pending)                 # a few rows: months, not records
+    new = _notes(spark, pending).select(*NOTE.replace(",", "").split()[::2])
+    months = [tuple(r) for r in new.select("year", "month").distinct().collect()]    # months, not records
     if not months:
         return q, []
-    dated = [m for m in months if m[0] is not None]
-    raw = newest_records(read_landing(spark, landing))
-    if dated and len(dated) == len(months):         # prunes the folders of a landing by months
-        asked = F.col(FETCH_MONTH)
-        raw = raw.filter(asked.isNull() | asked.isin([f"{y:04d}-{m:02d}" for y, m in dated]))
-    rows = to_bronze(raw, tz=tz, ambiguous=ambiguous, ingested_at=ingested_at)
-    wanted = _in_months(F.col("year"), F.col("month"), dated)
-    if len(dated) < len(months):
-        wanted = F.coalesce(wanted, F.lit(False)) | F.col("year").isNull()
-    write_table(rows.filter(wanted), bronze, partition_by=PARTITION_KEYS, cluster_by=("measurement_time",))
+    touched = F.broadcast(spark.createDataFrame(months, "y int, m int"))
+    same = F.col("year").eqNullSafe(F.col("y")) & F.col("month").eqNullSafe(F.col("m"))
+    # the reader needs the list of its files on the driver in any case
+    files = (_notes(spark, noted).select(*new.columns).unionByName(new).join(touched, same, "left_semi")
+             .groupBy("file").agg(F.max("delivery").alias("delivery")).collect())
+    raw = (read_landing(spark, [unquote(r["file"]) for r in files], base=landing, with_file=True)
+           .join(F.broadcast(spark.createDataFrame(files, "file string, delivery long")), "file"))
+    rows = to_bronze(current_records(raw), tz=tz, ambiguous=ambiguous, ingested_at=ingested_at)
+    # a join, not a filter: a filter on the derived month would repeat the localisation
+    write_table(rows.join(touched, same, "left_semi"), bronze, partition_by=PARTITION_KEYS,
+                cluster_by=("measurement_time",))
+    new.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(
+        os.path.join(noted, f"run-{delivery}"))
     delete(spark, pending)
-    return q, sorted(f"{y:04d}-{m:02d}" for y, m in dated)
+    return q, sorted(f"{y:04d}-{m:02d}" for y, m in months if y is not None)
 
 
 def ingest_and_refresh(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
