@@ -131,33 +131,30 @@ def gap_density(sessions: DataFrame, q: float = 0.8, bandwidth: float = 1000.0,
     """Density of the session gap in seconds, at ``steps + 1`` points of
     ``[0, q-quantile]``, with a fixed bandwidth; no rows without a gap.
 
-    One lazy plan.  Gaps are whole seconds and repeat a lot, so equal ones are
-    counted first; a gap then meets only the points at which its kernel is
-    not zero in a double (39 bandwidths to either side)."""
-    from .stats import SQRT_2PI, exact_quantile
-    name = "time_since_last_session_seconds"
-    gaps = session_gap_seconds(sessions).filter(F.col(name).isNotNull())
-    hi = exact_quantile(gaps, name, q).scalar().cast("double")
-    counted = gaps.groupBy(name).agg(F.count(F.lit(1)).cast("double").alias("w"))
-    j, x = F.col("j"), F.col("x")
-    rows = (counted.select(F.col(name).cast("double").alias("x"), "w")
-            .withColumn("hi", hi).withColumn("step", F.col("hi") / F.lit(steps)))
-    reach = F.lit(39.0 * bandwidth)
-    first = F.greatest(F.lit(0.0), F.try_divide(x - reach, F.col("step")))
-    last = F.least(F.lit(float(steps)), F.try_divide(x + reach, F.col("step")))
-    some = F.col("step") > 0
-    start = F.when(some, F.floor(first)).otherwise(F.lit(0)).cast("int")
-    stop = F.when(some, F.ceil(last)).otherwise(F.lit(steps)).cast("int")
-    grid_value = F.when(j == steps, F.col("hi")).otherwise((j / F.lit(steps)) * F.col("hi"))
-    near = (rows.filter(start <= stop).select("x", "w", "hi", F.explode(F.sequence(start, stop)).alias("j"))
-            .withColumn("value", grid_value))
-    z = (F.col("value") - x) / F.lit(bandwidth)
-    sums = near.groupBy("j").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("s"))
-    total = counted.agg(F.sum("w").alias("n")).filter(F.col("n").isNotNull())     # one row
-    grid = (total.withColumn("hi", hi).select("n", "hi", F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("j"))
-            .withColumn("value", grid_value))
+    Gaps are whole seconds and repeat a lot, so they are counted once
+    (``value_counts``, written to the scratch folder); the quantile, the sums
+    and the total read the counts, and only the quantile, one number, reaches
+    the driver.  A gap meets only the points at which its kernel is not zero
+    in a double (39 bandwidths to either side)."""
+    from .stats import SQRT_2PI, grouped_quantiles, value_counts
+    counted = value_counts(session_gap_seconds(sessions), "time_since_last_session_seconds")
+    top = grouped_quantiles(counted, {"hi": q}).first()
+    hi = float(top["hi"]) if top and top["hi"] is not None else 0.0
+    x, step, reach = F.col("x"), hi / steps, 39.0 * bandwidth
+    if step > 0:
+        start = F.floor(F.greatest(F.lit(0.0), (x - reach) / step)).cast("int")
+        stop = F.ceil(F.least(F.lit(float(steps)), (x + reach) / step)).cast("int")
+    else:
+        start, stop = F.lit(0), F.lit(steps)
+    value = F.when(F.col("j") == steps, F.lit(hi)).otherwise((F.col("j") / F.lit(steps)) * F.lit(hi))
+    near = counted.filter(start <= stop).select("x", "n", F.explode(F.sequence(start, stop)).alias("j"))
+    z = (value - x) / F.lit(bandwidth)
+    sums = near.groupBy("j").agg(F.sum(F.col("n") * F.exp(F.lit(-0.5) * z * z)).alias("s"))
+    total = counted.agg(F.sum("n").alias("n")).filter(F.col("n").isNotNull())     # one row
+    grid = total.select("n", F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("j"))
     return grid.join(sums, "j", "left").select(
-        "value", (F.coalesce("s", F.lit(0.0)) / F.lit(SQRT_2PI) / F.lit(bandwidth) / F.col("n")).alias("density"))
+        value.alias("value"),
+        (F.coalesce("s", F.lit(0.0)) / F.lit(SQRT_2PI) / F.lit(bandwidth) / F.col("n")).alias("density"))
 
 
 def brush_filter(df: DataFrame, x: str, x_range: tuple[float, float], y: str,

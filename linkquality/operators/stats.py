@@ -4,10 +4,11 @@ the Pearson correlation matrix and Gaussian kernel densities."""
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..conf import scratch_root
 from ..functions.labels import clean_label_col
 
 # The gold metrics of the correlation heat map, in chart order.
@@ -31,39 +32,64 @@ def _clean(c: str) -> Column:
 
 # ------------------------------------------------------------ quantiles
 
-def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "quantile",
-                   blocks: int = 512, accuracy: int = 10_000) -> DataFrame:
-    """One row with the exact, linearly interpolated ``q``-quantile of ``col``
-    (NULL / NaN skipped; NULL when nothing is left), the definition of Spark
-    ``percentile`` and DuckDB ``quantile_cont``, as one lazy plan.
-
-    Rows are first counted per distinct value, so a value repeated across a
-    third of the rows is one row.  Sketch quantiles cut the values into
-    ``blocks`` blocks of about as many rows; running totals over the blocks
-    tell which one or two hold the wanted ranks, and only their distinct
-    values are put in order.  The sketch only balances the blocks; the result
-    does not depend on it.
-    """
-    if not 0.0 <= q <= 1.0:
+def value_counts(df: DataFrame, col: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``keys``, ``x``, ``n``, ``block``: how often each value of ``col``
+    (NULL / NaN skipped) occurs in each group, written to the shared scratch
+    folder in the order of (group, value), in blocks of a task each.
+
+    It is the first level of a rank index: ``grouped_quantiles`` adds the
+    running totals of the blocks and orders only the blocks that hold a wanted
+    rank.  Any number of quantiles, and a density's sums, read it instead of
+    the input.  Rows are counted map-side, so a value or group with a third of
+    all rows is one row, and a group with many values lies in many blocks."""
+    scratch_root(df.sparkSession)
+    order = [F.col(k).asc_nulls_first() for k in keys] + [F.col("x")]
+    counts = (df.select(*keys, _clean(col).alias("x")).filter(F.col("x").isNotNull())
+              .groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("n")))
+    return (counts.repartitionByRange(*order).sortWithinPartitions(*order)
+            .withColumn("block", F.spark_partition_id()).checkpoint())
+
+
+def grouped_quantiles(counts: DataFrame, probs: Mapping[str, float], keys: Sequence[str] = ()) -> DataFrame:
+    """One row per group of ``value_counts`` (without ``keys`` one row, NULL
+    where there is no value): its size ``n_values`` and, for each name of
+    ``probs``, the exact, linearly interpolated quantile, the definition of
+    Spark ``percentile`` and DuckDB ``quantile_cont``.
+
+    No group is buffered: running totals over a group's blocks tell which one
+    or two blocks hold a rank, and only those are scanned in order."""
+    if not all(0.0 <= q <= 1.0 for q in probs.values()):
         raise ValueError("q must be in [0, 1]")
-    values = df.select(_clean(col).alias("x")).filter(F.col("x").isNotNull())
-    probs = [i / blocks for i in range(1, blocks)]
-    cuts = values.agg(F.array_distinct(F.percentile_approx("x", probs, accuracy)).alias("c")).scalar()
-    counts = (values.groupBy("x").agg(F.count(F.lit(1)).alias("n")).withColumn("c", cuts)
-              .select("x", "n", F.size(F.filter("c", lambda c: c < F.col("x"))).alias("b")))
-    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)      # ``blocks`` rows
-    totals = counts.groupBy("b").agg(F.sum("n").alias("m")).select(
-        "b", "m", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("before"),
-        ((F.sum("m").over(Window.partitionBy()) - 1) * F.lit(float(q))).alias("pos"))
-    held = totals.filter((F.col("before") <= F.ceil("pos")) & (F.col("before") + F.col("m") > F.floor("pos")))
-    inside = Window.partitionBy("b").orderBy("x")
-    ranked = (counts.join(F.broadcast(held), "b")                                # two rows at most
-              .withColumn("upto", F.col("before") + F.sum("n").over(inside)))
-    ends = ranked.agg(F.min(F.when(F.col("upto") > F.floor("pos"), F.col("x"))).alias("lo"),
-                      F.min(F.when(F.col("upto") > F.ceil("pos"), F.col("x"))).alias("hi"),
-                      F.max(F.col("pos") - F.floor("pos")).alias("part"))
-    return ends.select(F.when(F.col("hi") == F.col("lo"), F.col("lo")).otherwise(
-        F.col("lo") + F.col("part") * (F.col("hi") - F.col("lo"))).alias(alias))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (counts.groupBy(*keys, "block").agg(F.sum("n").alias("m"))
+              .withColumns({"before": F.coalesce(F.sum("m").over(before), F.lit(0)),
+                            "n_values": F.sum("m").over(group)}))
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(float(q)).alias("q")) for name, q in probs.items()])
+    held = (totals.withColumn("w", F.explode(wanted))
+            .withColumn("pos", (F.col("n_values") - 1) * F.col("w.q"))
+            .filter((F.col("before") <= F.ceil("pos")) & (F.col("before") + F.col("m") > F.floor("pos")))
+            .select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("block").alias("_block"), "before", "pos",
+                    "n_values", F.col("w.name").alias("name")))
+    same = F.col("block") == F.col("_block")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    inside = Window.partitionBy(*keys, "block", "name").orderBy("x")
+    ranked = counts.join(held, same).withColumn("upto", F.col("before") + F.sum("n").over(inside))
+    ends = ranked.groupBy(*keys, "name").agg(
+        F.min(F.when(F.col("upto") > F.floor("pos"), F.col("x"))).alias("lo"),
+        F.min(F.when(F.col("upto") > F.ceil("pos"), F.col("x"))).alias("hi"),
+        F.max(F.col("pos") - F.floor("pos")).alias("part"), F.max("n_values").alias("n_values"))
+    value = F.when(F.col("hi") == F.col("lo"), F.col("lo")).otherwise(
+        F.col("lo") + F.col("part") * (F.col("hi") - F.col("lo")))
+    return ends.groupBy(*keys).agg(F.max("n_values").alias("n_values"), *[
+        F.max(F.when(F.col("name") == name, value)).alias(name) for name in probs])
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "quantile") -> DataFrame:
+    """One row with the exact ``q``-quantile of ``col`` (see
+    ``grouped_quantiles``; NULL when nothing is left)."""
+    return grouped_quantiles(value_counts(df, col), {alias: q}).select(alias)
 
 
 # ------------------------------------------------------------ correlation
@@ -132,31 +158,30 @@ def kernel_density(df: DataFrame, col: str, extent: tuple[float, float], steps:
     join); the weighted sum is combined map-side, so the last shuffle is
     groups x (steps+1) x tasks rows.
 
-    Default bandwidth: grouped, one aggregation per group (``stddev_samp`` and
-    exact ``percentile`` quartiles, which hold a group's distinct values:
-    meant for gold-sized groups) joined on the group keys; ungrouped, the
-    quartiles come from ``exact_quantile``, as scalar subqueries of the plan.
+    Default bandwidth: the size and ``stddev_samp`` of each group in one
+    aggregation, its exact quartiles by ``grouped_quantiles`` from one
+    ``value_counts`` index, which the kernel sums then read too; joined on
+    the group keys.
     """
     keys = list(group_by or [])
     lo, hi = float(extent[0]), float(extent[1])
     span = hi - lo
     v = df.select(*keys, _clean(col).alias("_x")).filter(F.col("_x").isNotNull())
-    w = v.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_w")) if pre_aggregate \
-        else v.withColumn("_w", F.lit(1).cast("long"))
-
     if bandwidth is not None:
+        w = v.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_w")) if pre_aggregate \
+            else v.withColumn("_w", F.lit(1).cast("long"))
         pts = w.withColumn("_h", F.lit(float(bandwidth)))
-    elif keys:
-        stats = v.groupBy(*keys).agg(
-            bandwidth_expr(F.count(F.lit(1)), F.stddev_samp("_x"),
-                           F.percentile("_x", 0.25), F.percentile("_x", 0.75)).alias("_h"))
-        # one row per group; AQE broadcasts it only when it measures it small
-        pts = w.join(stats, on=keys, how="inner")
     else:
-        m = v.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("_x").alias("sd"))
-        pts = w.withColumn("_h", bandwidth_expr(
-            m.select("n").scalar(), m.select("sd").scalar(),
-            exact_quantile(v, "_x", 0.25).scalar(), exact_quantile(v, "_x", 0.75).scalar()))
+        index = value_counts(v, "_x", keys)
+        w = index.select(*keys, F.col("x").alias("_x"), F.col("n").alias("_w"))
+        spread = v.groupBy(*keys).agg(F.stddev_samp("_x").alias("sd"))
+        ends = grouped_quantiles(index, {"q1": 0.25, "q3": 0.75}, keys)
+        h = bandwidth_expr(F.col("n_values"), F.col("sd"), F.col("q1"), F.col("q3"))
+        if keys:      # one row per group; AQE broadcasts it only when it measures it small
+            pts = w.join(ends.join(spread, on=keys).select(*keys, h.alias("_h")), on=keys)
+        else:         # one row reaches the driver
+            one = spread.crossJoin(ends).select(h.alias("h")).first()
+            pts = w.withColumn("_h", F.lit(one["h"] if one else None).cast("double"))
 
     grid_value = F.when(F.col("_j") == steps, F.lit(hi)).otherwise(
         F.lit(lo) + (F.col("_j") / F.lit(steps)) * F.lit(span))

@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import os
 
 import numpy as np
 import pandas as pd
@@ -89,7 +90,7 @@ def test_clamp_and_year_bounds(spark):
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.8, 1.0])
 def test_exact_quantile(spark, data, q):
     df = spark.createDataFrame([(float(x),) for x in data] + [(None,), (float("nan"),)], "x double")
-    got = exact_quantile(df, "x", q, blocks=8, accuracy=100).first()[0]
+    got = exact_quantile(df, "x", q).first()[0]
     assert got == pytest.approx(float(np.quantile(np.array(data, dtype=float), q)), rel=1e-12)
 
 
@@ -205,8 +206,8 @@ def test_density_with_counts_integrates_to_group_size(spark):
 def test_exact_quantile_extreme_range(spark):
     data = [-1e308, -5.0, 0.0, 3.0, 1e308]
     df = spark.createDataFrame([(x,) for x in data], "x double")
-    assert exact_quantile(df, "x", 0.5, blocks=4, accuracy=100).first()[0] == 0.0
-    assert exact_quantile(df, "x", 0.75, blocks=4, accuracy=100).first()[0] == 3.0
+    assert exact_quantile(df, "x", 0.5).first()[0] == 0.0
+    assert exact_quantile(df, "x", 0.75).first()[0] == 3.0
 
 
 def test_quantile_of_nothing_is_null(spark):
@@ -262,3 +263,32 @@ def test_dates_as_timestamps(spark):
     df = sv.with_timestamps(spark.createDataFrame([(dt.date(2024, 1, 2), 1)], "d date, n int"))
     assert df.dtypes == [("d", "timestamp_ntz"), ("n", "int")]
     assert df.first()["d"] == dt.datetime(2024, 1, 2)
+
+
+def test_grouped_quantiles_equal_percentile(spark):
+    import random
+    from linkquality.operators.stats import grouped_quantiles, value_counts
+    rng = random.Random(11)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([1, 2]), float(rng.choice([rng.randint(0, 9), rng.random()])))
+            for _ in range(800)] + [("hot", 1, 5.0)] * 500 + [("one", 1, 3.5), ("none", 1, None), ("none", 1, float("nan"))]
+    df = spark.createDataFrame(rows, "k string, j int, v double").repartition(6)
+    probs = {"lo": 0.0, "q1": 0.25, "med": 0.5, "q9": 0.9, "hi": 1.0}
+    got = grouped_quantiles(value_counts(df, "v", ["k", "j"]), probs, ["k", "j"])
+    want = (df.where("v IS NOT NULL AND NOT isnan(v)").groupBy("k", "j")
+            .agg(F.count(F.lit(1)).alias("n_values"), *[F.percentile("v", q).alias(n) for n, q in probs.items()]))
+    key = lambda r: (str(r[0]), r[1])
+    for a, b in zip(sorted(got.collect(), key=key), sorted(want.collect(), key=key), strict=True):
+        assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], rel=1e-14)
+    assert "percentile" not in got._jdf.queryExecution().toString().lower()
+
+
+def test_quantile_reads_its_input_once(spark, tmp):
+    """The plan of a gap density holds no scan of the sessions any more: the
+    counts were written once."""
+    from linkquality.operators.serving import gap_density
+    from linkquality.plans.inspect import plan_text
+    path = os.path.join(tmp, "s")
+    rows = [(dt.datetime(2024, 1, d, 12), dt.datetime(2024, 1, d - 1, 12) if d > 1 else None) for d in range(1, 9)]
+    spark.createDataFrame(rows, "session_start timestamp, prev_session_end timestamp").write.parquet(path)
+    text = plan_text(gap_density(spark.read.parquet(path)))
+    assert "parquet" not in text.lower() and "Subquery" not in text
