@@ -419,6 +419,17 @@ def q_refresh_incremental_equals_full(spark, sf):
     return read_table(spark, paths["gold_user_retention"])
 
 
+def q_refresh_incremental_sessions(spark, sf):
+    """Sessions after one month lost its usable rows and only the users who
+    had tests in it were looked at again."""
+    bronze, warehouse = _bronze_lineitem(spark, sf), scratch_path(spark, "warehouse")
+    refresh_warehouse(spark, bronze, warehouse)
+    ingest_months(spark, fixtures.unusable_month(spark, sf, REINGEST_MONTH), bronze, start=REINGEST_MONTH,
+                  end=REINGEST_MONTH, ingested_at=INGEST_STAMP_2)
+    paths = refresh_warehouse(spark, bronze, warehouse, months=[REINGEST_MONTH])
+    return read_table(spark, paths["silver_user_sessions"])
+
+
 def q_refresh_empties_silver_month(spark, sf):
     paths = _refreshed(spark, sf, months=[REINGEST_MONTH])
     return _month_counts(read_table(spark, paths["silver_measurements"]))

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..conf import scratch_root
 from ..functions.time import localize, utc_wallclock, wall_micros
 from ..operators.gold import frustration_staircase, regional_metrics, user_retention
-from ..operators.sessions import bucket_partials, sessions_from_partials, timeout_seconds
+from ..operators.sessions import (bucket_partials, first_seconds, resumed_sessions, session_cuts,
+                                  sessions_from_partials, timeout_seconds, unchanged_sessions)
 from ..operators.silver import clean_measurements
 from ..schema import BRONZE_SCHEMA, PARTITION_KEYS, RAW_SCHEMA, SchemaMismatch, conform
 from ..sinks import replace_months, write_table
@@ -108,10 +109,11 @@ def superseded(raw: DataFrame) -> DataFrame:
     """(record, file) of the landing rows that do not count, from rows with
     the columns ``file`` and ``delivery`` (a number that grows with time).
 
-    A test (measurement id, connection, time text, fetch month) that several
-    deliveries hold counts as the newest of them has it; records of one
-    delivery that share these but differ otherwise are different records and
-    all count.  A record that several files of its delivery hold alike counts
+    A test (measurement id, connection, time text, fetch month) counts as the
+    newest delivery that brought a record of it not seen before has it: that
+    is a correction, while records delivered again as they were change
+    nothing.  Records of one delivery that share these four but differ
+    otherwise are different records and all count.  A record that several files of its delivery hold alike counts
     as often as the file that holds it most often, so a file dropped twice
     changes nothing and a record repeated within a file stays repeated.  A
     record without an id is its own test.
@@ -122,12 +124,11 @@ def superseded(raw: DataFrame) -> DataFrame:
     counts = (raw.select(record_hash().alias("record"), "file", "delivery", tested.alias("test"))
               .groupBy(F.coalesce("test", "record").alias("test"), "record", "file", "delivery")
               .agg(F.count(F.lit(1)).alias("n")))
-    newest = Window.partitionBy("test")
-    owner = F.struct("n", "file")
-    ranked = (counts.withColumn("last", F.max("delivery").over(newest))
-              .withColumn("owner", F.max(F.when(F.col("delivery") == F.col("last"), owner))
-                          .over(Window.partitionBy("test", "record"))))
-    return (ranked.where((F.col("delivery") < F.col("last")) | (F.col("file") != F.col("owner.file")))
+    alike, counted = Window.partitionBy("test", "record"), F.col("delivery") == F.col("newest")
+    ranked = (counts.withColumn("first", F.min("delivery").over(alike))
+              .withColumn("newest", F.max("first").over(Window.partitionBy("test")))
+              .withColumn("owner", F.max(F.when(counted, F.struct("n", "file"))).over(alike)))
+    return (ranked.where(~(counted & F.col("file").eqNullSafe(F.col("owner.file"))))
             .select("record", "file"))
 
 
@@ -225,13 +226,37 @@ def write_regional(silver: DataFrame, path: str, months: list[tuple[int, int]] |
     write_gold(kept.unionByName(fresh), path)
 
 
-def _stored_timeout(spark: SparkSession, path: str) -> int | None:
-    """The timeout, in seconds, that the partials table was built for."""
+def _built_for(spark: SparkSession, path: str) -> tuple | None:
+    """The timeout in seconds and the baseline days that the partials table,
+    and with it the sessions, were built for."""
     try:
-        row = spark.read.parquet(path).select("timeout_seconds").first()
-    except AnalysisException:               # no table yet, or one without the column
+        row = spark.read.parquet(path).select("timeout_seconds", "baseline_days").first()
+    except AnalysisException:               # no table yet, or one without the columns
         return None
-    return row and row[0]
+    return tuple(row) if row else None
+
+
+def refresh_sessions(spark: SparkSession, partials: DataFrame, path: str, touched: DataFrame,
+                     session_timeout_minutes: float = 30, max_days_between_sessions: float = 14,
+                     granularity: str = "none") -> bool:
+    """Bring silver_user_sessions up to date where only users of ``touched``
+    (user_id, from_sec) changed; False where nothing did.
+
+    Their sessions are formed anew from the last one that may be open
+    (``session_cuts``), from partials of these users and of times from the
+    earliest cut on, which Parquet statistics of ``bucket`` find; all other
+    sessions are carried over as they are."""
+    old = spark.read.parquet(path)
+    cuts = session_cuts(old, touched, session_timeout_minutes).checkpoint()
+    least = cuts.agg(F.min("cut_sec")).first()[0]          # one number
+    if least is None:
+        return False
+    timeout = timeout_seconds(session_timeout_minutes)
+    late = partials.where(F.col("bucket") >= F.lit(least // timeout))
+    fresh = resumed_sessions(late, cuts, session_timeout_minutes, max_days_between_sessions)
+    # a copy on shared storage: the table is read and replaced in one go
+    write_sessions(unchanged_sessions(old, cuts).unionByName(fresh).checkpoint(), path, granularity)
+    return True
 
 
 def refresh_warehouse(spark: SparkSession, bronze: str, warehouse: str,
@@ -245,10 +270,11 @@ def refresh_warehouse(spark: SparkSession, bronze: str, warehouse: str,
     just ingested) exactly those silver months are replaced - the bronze scan
     is pruned to their folders, a month without usable rows is emptied - and
     so are their session-bucket partials (``silver_session_buckets``,
-    partitioned like silver).  Sessions and gold, which span months, are
-    rebuilt: sessions from the partials table, not from measurement rows.  The
-    partials carry the session timeout they were built for; another one
-    rebuilds them all.
+    partitioned like silver).  Sessions span months: those of users with tests
+    in these months, before or now, are formed anew from the session that may
+    be open there (``refresh_sessions``), the others stay.  The partials carry
+    the session timeout and baseline days they were built for; other ones
+    rebuild partials and sessions.  Session golds are rebuilt from sessions.
     """
     paths = {t: os.path.join(warehouse, t) for t in TABLES}
     partials_path = os.path.join(warehouse, PARTIALS)
@@ -261,18 +287,27 @@ def refresh_warehouse(spark: SparkSession, bronze: str, warehouse: str,
     write_silver(cleaned, paths["silver_measurements"], wanted, silver_by)
     silver = spark.read.schema(cleaned.schema).parquet(paths["silver_measurements"])
 
-    seconds = timeout_seconds(session_timeout_minutes)
-    partial = wanted and _stored_timeout(spark, partials_path) == seconds
-    rows = silver.filter(_in_months(F.col("year"), F.col("month"), wanted)) if partial else silver
+    built_for = (timeout_seconds(session_timeout_minutes), float(max_days_between_sessions))
+    partial = wanted and _built_for(spark, partials_path) == built_for
+    changed = _in_months(F.col("year"), F.col("month"), wanted) if partial else F.lit(True)
     keys = PARTITION_KEYS if keyed else ()
-    fresh = bucket_partials(rows, session_timeout_minutes, keys).withColumn("timeout_seconds", F.lit(seconds))
+    fresh = (bucket_partials(silver.filter(changed), session_timeout_minutes, keys)
+             .withColumns({"timeout_seconds": F.lit(built_for[0]), "baseline_days": F.lit(built_for[1])}))
+    stored = spark.read.schema(fresh.schema)
     if partial:
-        replace_months(fresh, partials_path, wanted)
+        scratch_root(spark)
+        # before the months are replaced: users whose tests may go
+        gone = first_seconds(stored.parquet(partials_path).filter(changed)).checkpoint()
+        replace_months(fresh, partials_path, wanted, ("bucket",))
+        partials = stored.parquet(partials_path)
+        touched = (gone.unionByName(first_seconds(partials.filter(changed)))
+                   .groupBy("user_id").agg(F.min("from_sec").alias("from_sec")))
+        refresh_sessions(spark, partials, paths["silver_user_sessions"], touched, session_timeout_minutes,
+                         max_days_between_sessions, sessions_by)
     else:
-        write_table(fresh, partials_path, partition_by=keys, dynamic=False)
-    partials = spark.read.schema(fresh.schema).parquet(partials_path)
-    write_sessions(sessions_from_partials(partials, session_timeout_minutes, max_days_between_sessions),
-                   paths["silver_user_sessions"], sessions_by)
+        write_table(fresh, partials_path, partition_by=keys, cluster_by=("bucket",), dynamic=False)
+        write_sessions(sessions_from_partials(stored.parquet(partials_path), session_timeout_minutes,
+                                              max_days_between_sessions), paths["silver_user_sessions"], sessions_by)
     sessions = spark.read.parquet(paths["silver_user_sessions"])
 
     write_regional(silver, paths["gold_regional_metrics"], wanted)

@@ -386,6 +386,8 @@ FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem)""",
     "refresh_full_replaces": _with(*_AFTER, *session_ctes("silver_rest"), RETENTION) + "SELECT * FROM retention",
     "refresh_incremental_equals_full": _with(*_AFTER, *session_ctes("silver_rest"), RETENTION)
     + "SELECT * FROM retention",
+    "refresh_incremental_sessions": _with(*_AFTER, *session_ctes("silver_rest"))
+    + f"SELECT {SESSION_COLS} FROM sessions",
     "refresh_empties_silver_month": _with(*_AFTER)
     + "SELECT year, month, count(*) AS n_rows FROM silver_rest GROUP BY 1, 2",
 }

@@ -14,8 +14,8 @@ replaces the touched months in bronze from all landing files that were ever
 noted for them, and only those, so it makes no difference over how many files,
 batches or drops a month is spread, a stray row can't replace its month, and
 the work doesn't grow with the landing's history.  A test delivered again
-counts as its newest delivery has it; a file dropped twice counts once
-(``plans.jobs.superseded``).  A run that fails in between leaves its notes,
+with another record counts as that delivery has it; a file dropped twice
+counts once (``plans.jobs.superseded``).  A run that fails in between leaves its notes,
 and the next run takes their months along.
 """
 

@@ -253,6 +253,80 @@ def test_stream_of_many_files_loses_nothing(spark, tmp):
     assert ingest_new_files(spark, land, bronze, ck)[1] == []
 
 
+def test_redelivered_files_and_equal_ids(spark, tmp, monkeypatch):
+    from linkquality.streaming import ingest
+    land, bronze, ck = (os.path.join(tmp, n) for n in ("land ing", "bronze", "ck"))
+    os.makedirs(land)
+
+    def drop(name, rows):
+        with open(os.path.join(land, name), "w", encoding="utf-8") as f:
+            f.writelines(json.dumps(r, ensure_ascii=False) + "\n" for r in rows)
+
+    def rec(i, mbps, day="2024-06-10", **kw):
+        return dict(SAMPLE, measurement_id=i, measurement_time=f"{day} 10:00:00", measured_downstream_mbps=mbps, **kw)
+
+    def speeds(month=6):
+        rows = read_bronze(spark, bronze).where(f"month = {month}").collect()
+        return sorted((r.measurement_id or -1, r.measured_downstream_mbps) for r in rows)
+
+    # one delivery: equal ids with two speeds over two files, a record repeated in a file, one without an id
+    drop("a.json", [rec(1, 1.0), rec(2, 2.0), rec(2, 2.0), rec(None, 9.0)])
+    drop("b.json", [rec(1, 5.0), rec(2, 2.0)])
+    drop("may.json", [rec(7, 7.0, "2024-05-02")])
+    ingest.ingest_new_files(spark, land, bronze, ck, max_files_per_batch=1)
+    first = [(-1, 9.0), (1, 1.0), (1, 5.0), (2, 2.0), (2, 2.0)]
+    assert speeds() == first and speeds(5) == [(7, 7.0)]
+    # the same file again under another name changes nothing, and may's file is not read
+    read = []
+    real = ingest.read_landing
+    monkeypatch.setattr(ingest, "read_landing", lambda spark, path, **kw: read.append(path) or real(spark, path, **kw))
+    drop("a again.json", [rec(1, 1.0), rec(2, 2.0), rec(2, 2.0), rec(None, 9.0)])
+    assert ingest.ingest_new_files(spark, land, bronze, ck)[1] == ["2024-06"]
+    assert sorted(os.path.basename(p) for p in read[0]) == ["a again.json", "a.json", "b.json"]
+    assert speeds() == first
+    drop("c.json", [rec(1, 1.0), rec(1, 6.0), rec(2, 3.5)])                      # corrections
+    ingest.ingest_new_files(spark, land, bronze, ck)
+    assert speeds() == [(-1, 9.0), (1, 1.0), (1, 6.0), (2, 3.5)]
+    # as many superseded records as are joined, not broadcast
+    from linkquality.plans import jobs
+    monkeypatch.setattr(jobs, "BROADCAST_RECORDS", 0)
+    drop("d.json", [rec(1, 8.0)])
+    ingest.ingest_new_files(spark, land, bronze, ck)
+    assert speeds() == [(-1, 9.0), (1, 8.0), (2, 3.5)]
+
+
+def test_only_hashes_of_records_are_shuffled(spark, tmp):
+    from linkquality.plans.inspect import plan_text
+    from linkquality.plans.jobs import superseded
+    from linkquality.sources.landing import read_landing
+    path = _landing(tmp, [dict(SAMPLE, measurement_id=i) for i in range(3)])
+    raw = read_landing(spark, path, with_file=True).withColumn("delivery", F.lit(1).cast("long"))
+    tree = plan_text(superseded(raw)).split("\n\n\n")[1]
+    for block in tree.split("\n\n"):
+        if "Exchange" in block.split("\n")[0]:
+            assert "ISP" not in block and "client_ip" not in block, block
+
+
+def test_monthly_sessions_read_late_buckets_only(spark, tmp, monkeypatch):
+    """The partials of the months before are left out by their statistics,
+    and sessions before the cut are carried over."""
+    from linkquality.plans import jobs
+    from linkquality.plans.inspect import plan_text
+    recs = [dict(SAMPLE, measurement_id=i, measurement_time=f"2023-{m:02d}-{d:02d} 10:00:00", client_ip=f"10.0.{i % 4}")
+            for i, (m, d) in enumerate((m, d) for m in (8, 9, 10) for d in range(1, 9))]
+    bronze, wh = os.path.join(tmp, "bronze"), os.path.join(tmp, "wh")
+    ingest_months(spark, _landing(tmp, recs), bronze)
+    refresh_warehouse(spark, bronze, wh)
+    plans = []
+    real = jobs.resumed_sessions
+    monkeypatch.setattr(jobs, "resumed_sessions",
+                        lambda partials, cuts, *a: plans.append(plan_text(partials)) or real(partials, cuts, *a))
+    monkeypatch.setattr(jobs, "sessions_from_partials", None)                 # no full build
+    refresh_warehouse(spark, bronze, wh, months=["2023-10"])
+    pushed = next(ln for ln in plans[0].splitlines() if ln.startswith("PushedFilters"))
+    assert "GreaterThanOrEqual(bucket," in pushed
+
+
 def test_text_in_numeric_field_fails(spark, tmp):
     bad = dict(SAMPLE, measured_rtt_msec="abc")
     with pytest.raises(Exception):

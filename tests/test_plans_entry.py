@@ -52,6 +52,16 @@ def test_all_queries_match_oracle(spark):
     assert not bad and len(res) == len(catalog.queries()), bad
 
 
+def test_ingest_keys_match_oracle_with_repeated_ids(spark):
+    """At sf0.01 some tests have equal ids and different speeds."""
+    from conftest import SF01
+    from oracle_compare import compare
+    keys = ["bronze_partition_overwrite", "landing_month", "stream_ingest_many_files", "stream_redelivery",
+            "stream_correction", "refresh_incremental_sessions"]
+    bad = {k: v for k, v in compare(spark, SF01, keys).items() if not v.get("ok")}
+    assert not bad, bad
+
+
 def test_lineitem_adapter_broadcasts_only_fixed_dimensions(spark):
     """Without the planner's own choice by size, nation and region are the
     broadcast sides."""

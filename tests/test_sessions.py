@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +121,36 @@ def test_hot_user_window_is_bounded(spark):
                     - F.min(F.unix_timestamp("measurement_time"))) / 1800 + 1).first()[0]
     assert b.count() <= span < hot.count()
     assert same_sessions(create_user_sessions(hot), sessions_by_session_window(hot))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_resumed_sessions_equal_full_build(spark, seed):
+    """Tests come and go from some second on; only sessions from the open one
+    on are formed anew."""
+    import random
+    from linkquality.operators.sessions import (bucket_partials, first_seconds, resumed_sessions, session_cuts,
+                                                sessions_from_partials, unchanged_sessions)
+    rng = random.Random(seed)
+    users = ["a", "b", "c", None, "quiet"]
+    start = dt.datetime(2024, 3, 1)
+
+    def rows(n, lo, hi, who):
+        return [(rng.choice(who), i, (start + dt.timedelta(minutes=rng.randint(lo, hi))).isoformat(), float(rng.randint(1, 9)))
+                for i in range(n)]
+
+    stay = rows(150, 0, 6000, users)
+    old = stay + rows(20, 2500, 2600, users[:4]) + [("gone", 1, "2024-03-02T00:00:00", 1.0)]
+    new = stay + rows(20, 2550, 2700, users[:4]) + [("new", 1, "2024-03-03T00:00:00", 1.0)] \
+        + [("a", 7, (start + dt.timedelta(minutes=2490)).isoformat(), 2.0)]
+    sessions = sessions_from_partials(bucket_partials(meas(spark, old)))
+    touched = (first_seconds(bucket_partials(meas(spark, old[150:])))
+               .unionByName(first_seconds(bucket_partials(meas(spark, new[150:]))))
+               .groupBy("user_id").agg(F.min("from_sec").alias("from_sec")))
+    cuts = session_cuts(sessions, touched)
+    partials = bucket_partials(meas(spark, new))
+    got = unchanged_sessions(sessions, cuts).unionByName(resumed_sessions(partials, cuts))
+    want = sessions_from_partials(partials)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert unchanged_sessions(sessions, cuts).where("user_id = 'quiet'").count() == \
+        want.where("user_id = 'quiet'").count()
+    assert unchanged_sessions(sessions, cuts).where("user_id = 'b'").count() > 0
