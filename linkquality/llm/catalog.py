@@ -139,9 +139,10 @@ _SOFT_WEIGHTS = "MAP {" + ", ".join(f"'{t}': {w}" for t, w in SOFT.items()) + "}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_perspectives": """
-        WITH m AS (SELECT DISTINCT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS who,
-                          coalesce(text, '') AS text, floor(turn / 256)::BIGINT AS part
+        WITH o AS (SELECT DISTINCT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS who,
+                          coalesce(text, '') AS text
                    FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+        m AS (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, who, text) - 1) // 256 AS part FROM o),
         s AS (SELECT DISTINCT conv_id, who AS perspective FROM m WHERE who <> 'system'),
         p AS (SELECT *, CASE WHEN who = 'system' THEN '<|system|>'
                              WHEN who = perspective THEN '<|assistant|>'
@@ -159,9 +160,10 @@ ORACLE_SQL: dict[str, str] = {
     "op7_url_filter": f"""
         WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-                          regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+                          regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+                          lower(coalesce(url, '')) AS t
                    FROM pages),
-        t AS (SELECT *, lower(host || path) AS t,
+        t AS (SELECT *,
                      CASE WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com')
                                AND starts_with(path, '/en/') THEN 'www.example.com/en/'
                           WHEN (host = 'example.com' OR host LIKE '%.example.com')

@@ -5,11 +5,11 @@ that speaker is the assistant, the others are users with their names, and the
 loss mask covers the assistant's own messages.  System messages stay system
 messages and nobody's perspective.
 
-Everything is built-in functions.  A dialogue is rendered in parts of
-``part_turns`` consecutive turn numbers, each a group of its own.  Where turn
-numbers repeat so often that such a part would have more than ``part_rows``
-messages, the dialogue is cut by message number instead; a dialogue that holds
-a third of all rows is spread over many tasks either way.
+Everything is built-in functions.  The messages of a dialogue are numbered in
+two levels (position in a range of one sort, messages in the ranges before)
+and rendered in parts of ``part_messages``, each a group of its own, so a
+dialogue that holds a third of all rows is spread over many tasks, whatever
+its turn numbers are.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ END = "<|end|>\n"
 
 def perspectives(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                  speaker_col: str = "role", text_col: str = "text",
-                 part_turns: int = 256, part_rows: int = 4096) -> DataFrame:
+                 part_messages: int = 256) -> DataFrame:
     """One row per (conversation, speaker, part): conv, perspective, part,
     n_messages, n_trained, rendered, mask.
 
@@ -32,10 +32,10 @@ def perspectives(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
     text: ``<|system|>``, ``<|assistant|>`` or ``<|user:NAME|>``, a line feed,
     the text and ``<|end|>``.  ``mask`` lists, as ``start-end`` character
     positions in ``rendered``, what the loss covers: text and end mark of each
-    assistant message.  ``part`` is ``floor(turn / part_turns)``; in a dialogue
-    where such a part has more than ``part_rows`` messages it is the message's
-    number in that order (from 0), over ``part_turns``.  Parts where the speaker is silent are rendered too (an
-    empty mask), so the parts of a perspective give the whole dialogue.
+    assistant message.  ``part`` is the message's number in that order (from
+    0) over ``part_messages``, rounded down.  Parts where the speaker is silent
+    are rendered too (an empty mask), so the parts of a perspective give the
+    whole dialogue.
 
     Null text counts as empty; a null or empty speaker is the speaker
     ``unknown``; messages repeated in all four columns are one message; a row
@@ -47,17 +47,7 @@ def perspectives(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
                       F.coalesce(F.nullif(F.col(speaker_col), F.lit("")), F.lit("unknown")).alias("who"),
                       F.coalesce(F.col(text_col), F.lit("")).alias("text")))
     whole = F.col("conv").isNotNull() & F.col("turn").isNotNull()
-    placed = (rows.where(whole).distinct()
-              .withColumn("part", F.floor(F.col("turn") / F.lit(part_turns))))
-    crowded = checkpointed(
-        rows.where(whole).groupBy("conv", F.floor(F.col("turn") / F.lit(part_turns)).alias("part"))
-        .count().where(F.col("count") > part_rows).select("conv").distinct())
-    if not crowded.isEmpty():
-        # repeated rows are one message: only now do distinct ones count
-        crowded = checkpointed(placed.join(crowded, "conv", "left_semi").groupBy("conv", "part")
-                               .count().where(F.col("count") > part_rows).select("conv").distinct())
-        placed = (placed.join(crowded, "conv", "left_anti")
-                  .unionByName(_by_number(placed.join(crowded, "conv", "left_semi"), part_turns)))
+    placed = _numbered(rows.where(whole).distinct(), part_messages)
     speakers = (rows.where(whole & (F.col("who") != SYSTEM))
                 .select("conv", F.col("who").alias("perspective")).distinct())
     parts = placed.groupBy("conv", "part").agg(
@@ -70,8 +60,8 @@ def perspectives(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
     return _rendered(seen.unionByName(alone)).withColumnRenamed("conv", conv_col)
 
 
-def _by_number(placed: DataFrame, size: int) -> DataFrame:
-    """``placed`` with parts of ``size`` messages each.
+def _numbered(placed: DataFrame, size: int) -> DataFrame:
+    """``placed`` with its messages' parts of ``size`` each.
 
     A message's number is its position in its range of one sort over all
     columns plus the messages of its dialogue in the ranges before, so no task
@@ -82,7 +72,7 @@ def _by_number(placed: DataFrame, size: int) -> DataFrame:
     before = Window.partitionBy("conv").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (at.groupBy("conv", "range").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
               .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))))
-    return (at.drop("part").join(starts, ["conv", "range"])
+    return (at.join(starts, ["conv", "range"])
             .select("conv", "turn", "who", "text",
                     F.floor((F.col("at") - F.col("first") + F.col("before")) / F.lit(size)).alias("part")))
 

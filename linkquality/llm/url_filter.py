@@ -1,9 +1,11 @@
 """URL filter: rules by host and path, then a weighted vocabulary.
 
-An Aho-Corasick automaton counts the vocabulary's terms in host and path; a
+An Aho-Corasick automaton counts the vocabulary's terms in the whole url; a
 term counts only between boundaries (no letter or digit on either side).  One
 strict term rejects a url, and so do several distinct soft terms whose weights
-reach a threshold.  Rules, where one fits, decide instead.
+reach a threshold: a term that speaks for such a site weighs 1, one that
+ordinary shops use too 0.5.  Rules, where one fits, decide instead.  The
+vocabulary is a parameter; ``vocabulary_of`` reads it from a table.
 """
 
 from __future__ import annotations
@@ -60,6 +62,20 @@ def term_hits(text: str | None, automaton) -> dict[str, int]:
     return hits
 
 
+def vocabulary_of(terms: DataFrame, limit: int = 100_000) -> tuple[tuple[str, ...], dict[str, float]]:
+    """(strict, soft) from a table (term, weight); a null weight means strict.
+    Null and empty terms are left out, of a repeated term strict or else the
+    largest weight counts.  The automaton goes to every task, so more than
+    ``limit`` terms are refused."""
+    rows = (terms.where("term <> ''").groupBy(F.lower("term").alias("term"))
+            .agg(F.max(F.col("weight").isNull()).alias("strict"), F.max("weight").cast("double").alias("weight"))
+            .limit(limit + 1).collect())
+    if len(rows) > limit:
+        raise ValueError(f"the vocabulary has more than {limit} terms")
+    return (tuple(sorted(r["term"] for r in rows if r["strict"])),
+            {r["term"]: r["weight"] for r in rows if not r["strict"]})
+
+
 def vocabulary_counts(text: Column, strict=STRICT, soft=SOFT) -> Column:
     """struct(strict_hits, soft_hits, soft_terms, soft_weight): occurrences of
     strict and soft terms, and distinct soft terms with their summed weight."""
@@ -93,15 +109,16 @@ def judge_urls(df: DataFrame, id_col: str = "page_id", url_col: str = "url", rul
 
     ``verdict`` is the longest fitting rule's; without one it is ``block``
     for a strict term, or for ``min_terms`` distinct soft terms that weigh
-    ``threshold`` together, else ``allow``.  Null, empty and malformed urls
-    have empty host and path, no rule and no terms (allow).  Repeated rows
+    ``threshold`` together, else ``allow``.  Null and empty urls have empty
+    host and path, no rule and no terms (allow); malformed ones have empty
+    host and path, and terms like any other.  Repeated rows
     are judged each; an empty table gives no rows; other columns are not read.
     """
-    rows = df.select(F.col(id_col).alias("id"), url_host(F.col(url_col)).alias("host"),
-                     url_path(F.col(url_col)).alias("path"))
+    rows = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
+                     url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     verdicts = F.create_map(*[F.lit(x) for r in rules for x in r]) if rules else None
     rows = (rows.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
-            .withColumn("hits", vocabulary_counts(F.concat("host", "path"), strict, soft)))
+            .withColumn("hits", vocabulary_counts(F.col("url"), strict, soft)))
     by_terms = F.when((F.col("hits.strict_hits") > 0)
                       | ((F.col("hits.soft_terms") >= min_terms)
                          & (F.col("hits.soft_weight") >= threshold)), "block").otherwise("allow")

@@ -1,13 +1,15 @@
 import re
 
+import pytest
+
 from linkquality.llm.chat import perspectives
-from linkquality.llm.url_filter import judge_urls, term_hits
+from linkquality.llm.url_filter import judge_urls, term_hits, vocabulary_of
 
 URLS = ["https://WWW.Example.com/en/1?x", "http://a.example.com/en/2", "http://example.com/fr/", "http://x.net/es/",
         "http://net/fr/q", "http://notexample.com/en/", "http://x.org/casino", "http://x.org/casinos",
         "http://free-bets.org/", "http://x.org/free/free", "http://x.org/win/deal", "http://x.com", "no url", "", None,
         "http://example.com:80/en/", "ftp://a://b/c", "http://x.org/" + "a" * 100_000, "http://x.org/casino?sex#adult",
-        "http://x.org/#casino", "http://x.net/ES/"]
+        "http://x.org/#casino", "http://x.net/ES/", "x.org/casino", "http://x.org/?q=free&r=freed"]
 
 
 def test_urls(spark):
@@ -18,14 +20,28 @@ def test_urls(spark):
     assert judge_urls(df).count() == len(URLS) + 1
     assert got[0].host == "www.example.com" and got[0].path == "/en/1" and got[0].rule == "www.example.com/en/"
     assert verdicts == ["allow", "block", "allow", "block", "block", "allow", "block", "allow", "block", "allow",
-                        "allow", "allow", "allow", "allow", "allow", "allow", "allow", "allow", "block", "allow",
-                        "allow"]
+                        "allow", "allow", "allow", "allow", "allow", "allow", "allow", "allow", "block", "block",
+                        "allow", "block", "allow"]
     assert got[11].rule is None and got[11].path == "" and got[14].host == "" and got[16].host == "a:"
     assert got[5].rule == "com/" and got[20].rule is None
     assert judge_urls(df.limit(0)).count() == 0
     assert {r.verdict for r in judge_urls(df, rules=(), strict=(), soft={}).collect()} == {"allow"}
 
 
+def test_vocabulary_from_a_table(spark):
+    rows = [("Casino", None), ("casino", 0.5), ("spam", 1.0), ("Spam", 2.5), ("deal", 0.5), ("", None), (None, 1.0)]
+    terms = spark.createDataFrame(rows, "term string, weight double")
+    strict, soft = vocabulary_of(terms)
+    assert strict == ("casino",) and soft == {"spam": 2.5, "deal": 0.5}
+    df = spark.createDataFrame([(1, "http://x.org/spam/deal"), (2, "http://x.org/spam"), (3, "http://x.org/?CASINO")],
+                               "page_id long, url string")
+    assert {r.page_id: r.verdict for r in judge_urls(df, strict=strict, soft=soft).collect()} == {
+        1: "block", 2: "allow", 3: "block"}
+    with pytest.raises(ValueError):
+        vocabulary_of(terms, limit=2)
+    assert vocabulary_of(terms.limit(0)) == ((), {})
+
+
 def test_term_hits_equal_brute_force():
     import ahocorasick
     a = ahocorasick.Automaton()
@@ -57,7 +73,7 @@ def test_perspectives(spark):
     rows += [(4, t, ("x", "y", "z")[t % 3], f"m{t}") for t in range(20)] + [(5, 0, "ann", "w " * 100_000)]
     df = spark.createDataFrame([(*r, "c", "c") for r in rows],
                                "conv_id long, turn long, role string, text string, part string, who string")
-    got = perspectives(df, part_turns=7).collect()
+    got = perspectives(df, part_messages=7).collect()
     by = {(r.conv_id, r.perspective, r.part): r for r in got}
     assert len(by) == len(got) and not any(r.conv_id == 2 for r in got)
     full = sorted({(t, w or "unknown", x or "") for c, t, w, x in rows if c == 1})
