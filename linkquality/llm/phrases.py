@@ -1,26 +1,27 @@
 """Phrase collocations by Toivonen mining.
 
-A sample of the documents, counted whole at a lowered threshold, proposes the
-phrases.  One pass over all documents then counts exactly the proposed phrases
+A sample of the documents, counted whole at a threshold lowered in proportion
+(and a half above it: a phrase proposed in vain costs more than one that the
+border catches), proposes the phrases.  One pass over all documents then counts exactly the proposed phrases
 and their negative border: every phrase that occurs and whose first and last
 words-but-one are both proposed.  A border phrase that turns out frequent is a
-failure of the sample; further passes count what such phrases extend to, until
-no pass finds another.  The outcome doesn't depend on the sample, only the
-number of passes does.
+failure of the sample; an expansion pass then counts what such phrases extend
+to, through all lengths, so that the border is closed behind it.  The outcome
+doesn't depend on the sample, only the work does.
 
 Which phrases are proposed is told to the tasks as a bitmap of phrase hashes
 of at most ``2 ** BITS`` bits.  A false positive only has a phrase counted
 that needed no counting: counts are kept by the words themselves.  With more
 proposed phrases than the bitmap can tell apart more rows are shuffled; no
-result changes.  Tasks count in chunks of a bounded number of words, and the
-counts of a phrase are added up map-side before they are shuffled.
+result changes.  Tasks count in chunks of bounded size, and the counts of a
+phrase are added up map-side before they are shuffled.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -28,35 +29,33 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import blocks, checkpointed, utf8_slices
 
 BITS = 27                       # 16 MB, the largest bitmap that is broadcast
-CHUNK = 400_000                 # words counted at a time
+CHUNK = 4 << 20                 # bytes of text counted at a time
 BLOCK_BYTES = 1 << 20
+SALTS = 64                      # parts of a language where its total is joined
 MARK = b"\xff"                  # between pieces; no UTF-8 text holds this byte
 CUT = re.compile(rb"[\x09-\x0d .,;:!?]")
 TABLE = bytes(32 if c == 9 else 255 if c in b".,;:!?\x0a\x0b\x0c\x0d" else c + 32 if 65 <= c <= 90 else c
               for c in range(256))
-COUNTS = "lang string, words int, phrase string, f long"
+COUNTS = "key string, f long"     # key: language, line feed, phrase (which holds none)
 
 
 # ------------------------------------------------------------ words, hashes
 
-def words_of(raw: bytes) -> list[bytes]:
-    """The words of a UTF-8 text, A-Z lower-cased, with ``MARK`` between
-    pieces."""
-    return raw.translate(TABLE).replace(MARK, b" \xff ").split()
+def marked_text(raw: bytes) -> bytes:
+    """A UTF-8 text with A-Z lower-cased, tabs as blanks and ``MARK`` as a
+    word between pieces."""
+    return raw.translate(TABLE).replace(MARK, b" \xff ")
 
 
-class _Words(dict):
-    """Word ids in the order of meeting, and the words' hashes; 0 is the mark."""
-
-    def __init__(self):
-        super().__init__({MARK: 0})
-        self.hashes = [0]
-
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
-        self[word] = got = len(self)
-        self.hashes.append(xxh64_intdigest(word))
-        return got
+def words_of(data: bytes):
+    """The words of ``marked_text``: their Arrow dictionary and their numbers
+    in it (numpy)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    words = pc.split_pattern(pa.array([data], pa.binary()), pattern=b" ").flatten()
+    words = words.filter(pc.greater(pc.binary_length(words), 0)).dictionary_encode()
+    return words.dictionary, words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _extend(h, word):
@@ -90,95 +89,92 @@ def _marked(bitmap, bits: int, h):
 
 # ----------------------------------------------------------------- counting
 
-def count_chunk(tokens: list[bytes], lang: str, ids: _Words, longest: int, starts: int,
-                known, failed, bits: int) -> Iterator[tuple[int, list[bytes], list[int]]]:
-    """Exact counts of the phrases that begin at the first ``starts`` tokens.
+def count_chunk(names, word, lang: str, longest: int, starts: int, known, failed, bits: int):
+    """(phrases, counts), as Arrow and numpy arrays, of the phrases that begin
+    at the first ``starts`` words; ``names`` and ``word`` as of ``words_of``.
+    The empty phrase has the number of all words.
 
     ``known`` is the bitmap of proposed phrases (None: every phrase counts as
-    proposed).  With the bitmap ``failed`` only phrases whose first or last
-    words-but-one are in it are reported, and no single words."""
+    proposed).  With the bitmap ``failed`` only phrases longer than a failed
+    one inside them are counted, and those count as proposed in turn."""
     import numpy as np
-    word = np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
-    size = len(word)
-    hashes = np.asarray(ids.hashes, np.uint64)[word]
-    ends = np.where(word == 0, np.arange(size), size)
-    left = np.minimum.accumulate(ends[::-1])[::-1] - np.arange(size)       # words up to the next mark
-
-    def found(h, ok):
-        """Which phrases are proposed, and which of them failed."""
-        good, bad = ok.copy(), np.zeros(len(ok), bool)
-        at = np.flatnonzero(ok)
-        if known is not None:
-            good[at] = _marked(known, bits, h[at])
-        if failed is not None:
-            bad[at] = _marked(failed, bits, h[at])
-        return good, bad
-
-    ok = left >= 1
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from xxhash import xxh64_intdigest
+    size, mark = len(word), pc.index(names, MARK).as_py()
+    hashes = np.fromiter(map(xxh64_intdigest, names.to_pylist()), np.uint64, len(names))[word]
+    place = np.arange(size, dtype=np.int32)
+    left = np.where(word == mark, place, np.int32(size))
+    left = np.minimum.accumulate(left[::-1])[::-1] - place                 # words up to the next mark
     if failed is None:
-        n = np.bincount(word[:starts], minlength=len(ids))
-        n[0] = 0
-        if n.any():
-            names = list(ids)
-            some = np.flatnonzero(n)
-            yield 0, [b""], [int(n.sum())]
-            yield 1, [names[i] for i in some.tolist()], n[some].tolist()
+        n = np.bincount(word[:starts], minlength=len(names))
+        if mark >= 0:
+            n[mark] = 0
+        some = np.flatnonzero(n)
+        if len(some):
+            yield pa.array([b""], pa.binary()), n.sum(keepdims=True)
+            yield names.take(pa.array(some)), n[some]
     h = _extend(np.full(size, _seed(lang)), hashes)
-    good, bad = found(h, ok)
+    good, bad = left >= 1, np.zeros(size, bool)         # proposed; failed or with a failed phrase inside
     label = word
-    for k in range(2, longest + 1):
+    for k in range(1, longest + 1):
         m = size - k + 1
         if m <= 0:
             return
-        ok = (left[:m] >= k) & good[:m] & good[1:m + 1]
-        wanted = ok if failed is None else ok & (bad[:m] | bad[1:m + 1])
-        at = np.flatnonzero(ok)
-        if not len(at):
-            return
-        # the label of a phrase of k - 1 words and the next word's id: no two phrases share them
-        _, first, inverse = np.unique(label[at] << np.int64(32) | word[at + k - 1],
-                                      return_index=True, return_inverse=True)
-        n = np.bincount(inverse[wanted[at] & (at < starts)], minlength=len(first))
-        some = np.flatnonzero(n)
-        if len(some):
-            yield k, [b" ".join(tokens[p:p + k]) for p in at[first[some]].tolist()], n[some].tolist()
-        label = np.zeros(m, np.int64)
-        label[at] = inverse
-        h = _extend(h[:m], hashes[k - 1:])
-        good, bad = found(h, ok)
+        if k > 1:
+            ok = (left[:m] >= k) & good[:m] & good[1:m + 1]
+            inner = bad[:m] | bad[1:m + 1]
+            wanted = ok if failed is None else ok & inner
+            at = np.flatnonzero(ok)
+            if not len(at):
+                return
+            # the label of a phrase of k - 1 words and the next word: no two phrases share them
+            _, first, inverse = np.unique(label[at] << np.int64(32) | word[at + k - 1],
+                                          return_index=True, return_inverse=True)
+            n = np.bincount(inverse[wanted[at] & (at < starts)], minlength=len(first))
+            some = np.flatnonzero(n)
+            if len(some):
+                where = at[first[some]]
+                parts = [names.take(pa.array(word[where + j])) for j in range(k)]
+                yield pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())), n[some]
+            label = np.zeros(m, np.int64)
+            label[at] = inverse
+            h = _extend(h[:m], hashes[k - 1:])
+            good, bad = ok, ok & inner
+        at = np.flatnonzero(good)
+        if known is not None:
+            good[at] = bad[at] | _marked(known, bits, h[at])
+        if failed is not None:
+            bad[at] |= _marked(failed, bits, h[at])
 
 
 def count_phrases(df: DataFrame, longest: int, known=None, failed=None, bits: int = BITS,
                   chunk: int = CHUNK) -> DataFrame:
     """lang, words, phrase, f over all rows of ``df`` (lang, text); the row of
-    no words holds the language's number of words.
+    no words and an empty phrase holds the language's number of words.
 
     ``known`` and ``failed`` are broadcast bitmaps, see ``count_chunk``."""
 
     def count(batches):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         maps = [None if b is None else np.frombuffer(b.value, np.uint8) for b in (known, failed)]
-        ids, held, total = _Words(), defaultdict(list), 0
+        held, sizes = defaultdict(list), defaultdict(int)
 
         def flush(lang, last):
-            nonlocal ids, total
-            tokens = held.pop(lang)
-            total -= len(tokens)
-            starts = len(tokens) if last else max(0, len(tokens) - longest + 1)
-            for k, phrases, n in count_chunk(tokens, lang, ids, longest, starts, *maps, bits):
-                for at in range(0, len(n), 50_000):
-                    part = phrases[at:at + 50_000]
+            names, word = words_of(b" ".join(held.pop(lang)))
+            sizes.pop(lang)
+            starts = len(word) if last else max(0, len(word) - longest + 1)
+            for phrases, n in count_chunk(names, word, lang, longest, starts, *maps, bits):
+                for at in range(0, len(n), 100_000):
+                    part = phrases.slice(at, 100_000)
+                    keys = pc.binary_join_element_wise(pa.scalar(lang.encode()), part, pa.scalar(b"\n"))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(part), pa.string()), pa.array([k] * len(part), pa.int32()),
-                         pa.array(part, pa.binary()).cast(pa.string()),
-                         pa.array(n[at:at + 50_000], pa.int64())],
-                        names=["lang", "words", "phrase", "f"])
+                        [keys.cast(pa.string()), pa.array(n[at:at + 100_000], pa.int64())], names=["key", "f"])
             if not last:
-                held[lang] = tokens[starts:]
-                total += len(held[lang])
-            if len(ids) > 1_000_000:
-                ids = _Words()
+                held[lang] = [names[i].as_py() for i in word[starts:].tolist()]
+                sizes[lang] = sum(map(len, held[lang]))
 
         for batch in batches:
             langs, row = batch.column("lang").to_pylist(), 0
@@ -186,21 +182,23 @@ def count_phrases(df: DataFrame, longest: int, known=None, failed=None, bits: in
                 for raw in part:
                     lang, row = langs[row], row + 1
                     for block in blocks(raw or b"", BLOCK_BYTES, CUT):
-                        tokens = words_of(block)
-                        held[lang] += tokens
-                        total += len(tokens)
-                        if len(held[lang]) >= chunk:
+                        held[lang].append(marked_text(block))
+                        sizes[lang] += len(held[lang][-1])
+                        if sizes[lang] >= chunk:
                             yield from flush(lang, False)
                     held[lang].append(MARK)
-                    total += 1
-                    if total >= 4 * chunk:               # many languages at once
+                    sizes[lang] += 64
+                    if sum(sizes.values()) >= 2 * chunk:             # many languages at once
                         for some in list(held):
                             yield from flush(some, True)
         for lang in list(held):
             yield from flush(lang, True)
 
-    return (df.mapInArrow(count, COUNTS).groupBy("lang", "words", "phrase")
-            .agg(F.sum("f").alias("f")))
+    phrase = F.substring_index("key", "\n", -1)
+    lang = F.left("key", F.length("key") - F.length("phrase") - 1)
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ", -1)))
+    return (df.mapInArrow(count, COUNTS).groupBy("key").agg(F.sum("f").alias("f"))
+            .withColumn("phrase", phrase).select(lang.alias("lang"), words.alias("words"), "phrase", "f"))
 
 
 # ------------------------------------------------------------------ bitmaps
@@ -248,7 +246,7 @@ class Mined:
 
 
 def mine(df: DataFrame, text_col: str = "text", lang_col: str = "lang", longest: int = 5,
-         support: int = 100, sample_fraction: float = 0.125, seed: int = 7, chunk: int = CHUNK) -> Mined:
+         support: int = 100, sample_fraction: float = 1 / 64, seed: int = 7, chunk: int = CHUNK) -> Mined:
     """All phrases of up to ``longest`` words that occur ``support`` times in
     their language, with exact counts.
 
@@ -257,23 +255,25 @@ def mine(df: DataFrame, text_col: str = "text", lang_col: str = "lang", longest:
     1 MiB; an empty table has no phrases; other columns are not read."""
     rows = df.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                      F.col(text_col).cast("string").alias("text"))
-    low = max(1, int(support * sample_fraction / 4))
+    low = max(1, math.ceil(1.5 * support * sample_fraction))
+    key = ["lang", "phrase"]
     known = checkpointed(count_phrases(rows.sample(sample_fraction, seed), longest, chunk=chunk)
-                         .where((F.col("f") >= low) & (F.col("words") > 0)).select("lang", "phrase"))
+                         .where((F.col("f") >= low) & (F.col("phrase") != "")).select(*key))
     bits = _bits_for(known.count())
     counts = checkpointed(count_phrases(rows, longest, phrase_bitmap(known, bits), None, bits, chunk)
-                          .where((F.col("f") >= support) | (F.col("words") == 0)))
+                          .where((F.col("f") >= support) | (F.col("phrase") == "")))
     frequent, passes = counts.where("words > 0"), 1
-    failed = checkpointed(frequent.select("lang", "phrase").join(known, ["lang", "phrase"], "left_anti"))
-    while not failed.isEmpty():
-        known = known.unionByName(failed)
-        bits = _bits_for(known.count())
+    # every frequent phrase not counted yet has a failed one inside, and all its parts between are
+    # frequent and so proposed or counted on the way
+    failed = checkpointed(frequent.select(*key).join(known, key, "left_anti"))
+    if not failed.isEmpty():
+        bits = _bits_for(known.count() + failed.count())
         fresh = checkpointed(
-            count_phrases(rows, longest, phrase_bitmap(known, bits), phrase_bitmap(failed, bits), bits, chunk)
-            .where(F.col("f") >= support).join(frequent.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
+            count_phrases(rows, longest, phrase_bitmap(known.unionByName(failed), bits),
+                          phrase_bitmap(failed, bits), bits, chunk)
+            .where(F.col("f") >= support).join(frequent.select(*key), key, "left_anti")
             .select("lang", "words", "phrase", "f"))
-        frequent, passes = frequent.unionByName(fresh), passes + 1
-        failed = fresh.select("lang", "phrase")
+        frequent, passes = frequent.unionByName(fresh), 2
     totals = counts.where("words = 0").select("lang", F.col("f").alias("n"))
     return Mined(frequent, totals, passes)
 
@@ -303,7 +303,9 @@ def score_cuts(mined: Mined, share: int = 100) -> DataFrame:
     value = (F.lit(1000).cast("decimal(4,0)") * _wide("a") * _wide("n"))
     best = (cuts.join(f.select("lang", F.col("phrase").alias("first"), F.col("f").alias("l")), ["lang", "first"])
             .join(f.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r")), ["lang", "rest"])
-            .join(mined.totals, "lang")
+            .withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int"))
+            .join(mined.totals.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+                                      .alias("salt")), ["lang", "salt"])
             .withColumn("over", value.cast("decimal(38,0)"))
             .withColumn("under", (_wide("l") * _wide("r")).cast("decimal(38,0)"))
             .withColumn("score", F.expr("over div under"))
