@@ -55,7 +55,8 @@ def epoch_seconds(ts) -> Column:
 
 
 def localize(df: DataFrame, col: str = "measurement_time", tz: str = "Europe/Athens",
-             order_col: str = "measurement_id", ambiguous: str = "infer") -> DataFrame:
+             order_col: str = "measurement_id", ambiguous: str = "infer",
+             flag: str | None = None) -> DataFrame:
     """Turn wall-clock text (or ``timestamp_ntz``) in zone ``tz`` into instants.
 
     * text with an offset (``...+02:00``, ``...Z``) is that instant;
@@ -71,7 +72,9 @@ def localize(df: DataFrame, col: str = "measurement_time", tz: str = "Europe/Ath
       the two passes apart.  Rows of other hours that arrive in between do not
       split a date's rows.  Only the ambiguous rows are ordered
       (``_second_pass_starts``); the others are never shuffled.
-      ``ambiguous="earlier"`` / ``"later"`` pick one offset without looking.
+      ``ambiguous="earlier"`` / ``"later"`` pick one offset without looking;
+      ``flag`` names a column that then tells which rows were such (see
+      ``settle_overlap``).
 
     The gap rule assumes the transition happens on a whole hour and the gap
     lasts one hour, which holds for all European zones.
@@ -79,8 +82,8 @@ def localize(df: DataFrame, col: str = "measurement_time", tz: str = "Europe/Ath
     if ambiguous not in ("infer", "earlier", "later"):
         raise ValueError("ambiguous must be 'infer', 'earlier' or 'later'")
     dtype = df.schema[col].dataType
-    if isinstance(dtype, T.TimestampType):
-        return df                                     # already instants
+    if isinstance(dtype, T.TimestampType):            # already instants
+        return df.withColumn(flag, F.lit(False)) if flag else df
     src = F.col(col)
     if isinstance(dtype, T.StringType):
         has_offset = src.rlike(_OFFSET_RE)
@@ -129,9 +132,19 @@ def localize(df: DataFrame, col: str = "measurement_time", tz: str = "Europe/Ath
     micros = F.when(c("__amb"), resolved).otherwise(c("__one"))
     value = F.when(c("__off").isNotNull(), c("__off")).otherwise(F.timestamp_micros(micros))
     out = out.withColumn(col, value)
+    if flag:
+        out = out.withColumn(flag, F.coalesce(c("__amb"), F.lit(False)))
     return out.drop(*[x for x in out.columns if x.startswith("__")])
 
 
+def settle_overlap(df: DataFrame, col: str = "measurement_time", tz: str = "Europe/Athens",
+                   order_col: str = "measurement_id") -> DataFrame:
+    """The overlap rows that ``localize`` flagged and gave one offset without
+    looking, with the offset that their arrival order tells."""
+    wall = utc_wallclock(F.from_utc_timestamp(_c(col), tz))
+    return localize(df.withColumn(col, wall), col, tz, order_col)
+
+
 # Overlap rows of one date are ordered in ranges of this many arrival numbers.
 _ORDER_BLOCK = 1 << 16
 

@@ -37,6 +37,7 @@ from .jobs import (ingest_months, refresh_warehouse, to_bronze, write_regional,
 REGIONS = ("N/A", "ASIA", "EUROPE")
 YEARS = (1997, 2001)
 SESSION_YEARS = (2024, 2024)
+SOME_ADDRESSES = ("10.1.7", "10.1.23", "10.1.61", "10.1.100")
 BRUSH_REGIONS = ("ASIA", "EUROPE")
 BRUSH_X = (10.0, 40.0)
 BRUSH_Y = (200.0, 600.0)
@@ -174,6 +175,23 @@ def q_silver_write_read(spark, sf):
     return read_table(spark, path)
 
 
+def q_silver_write_read_days(spark, sf):
+    """Day folders, the month written twice: the second time replaces the first."""
+    path = scratch_path(spark, "silver")
+    rows = silver_events(spark, sf)
+    for _ in range(2):
+        write_silver(rows, path, granularity="day")
+    return read_table(spark, path).select(*rows.columns)
+
+
+def q_silver_of_users(spark, sf):
+    """Stored silver of a few client addresses; Bloom filters tell the row groups
+    that hold their users."""
+    users = [F.sha2(F.lit(c), 256) for c in SOME_ADDRESSES]
+    return q_silver_write_read(spark, sf).where(F.col("user_id").isin(*users)).select(
+        "user_id", "measurement_id", "measurement_date", "measured_downstream_mbps")
+
+
 def q_serve_silver_projection(spark, sf):
     s = q_silver_write_read(spark, sf)
     return s.select("measured_downstream_mbps", "measured_jitter_msec", "year")
@@ -206,6 +224,13 @@ def q_sessions_write_read(spark, sf):
     return read_table(spark, path)
 
 
+def q_sessions_write_read_days(spark, sf):
+    path = scratch_path(spark, "sessions")
+    rows = sessions(spark, sf)
+    write_sessions(rows, path, granularity="day")
+    return read_table(spark, path).select(*rows.columns)
+
+
 def q_gold_regional_metrics(spark, sf):
     return regional(spark, sf)
 

@@ -10,16 +10,16 @@ import datetime as _dt
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from ..conf import scratch_root
-from ..functions.time import localize, utc_wallclock, wall_micros
+from ..functions.time import localize, settle_overlap, utc_wallclock, wall_micros
 from ..operators.gold import frustration_staircase, regional_metrics, user_retention
 from ..operators.sessions import (bucket_partials, first_seconds, resumed_sessions, session_cuts,
                                   sessions_from_partials, timeout_seconds, unchanged_sessions)
 from ..operators.silver import clean_measurements
 from ..schema import BRONZE_SCHEMA, PARTITION_KEYS, RAW_SCHEMA, SchemaMismatch, conform
-from ..sinks import replace_months, write_table
+from ..sinks import finish, replace_in_two_passes, replace_months, write_table
 from ..sources.landing import FETCH_MONTH, missing_fields, read_bronze, read_landing
 
 TABLES = ("silver_measurements", "silver_user_sessions", "gold_regional_metrics",
@@ -46,7 +46,8 @@ def _in_months(year_col, month_col, months) -> F.Column:
 def to_bronze(raw: DataFrame, tz: str = "Europe/Athens", ambiguous: str = "infer",
               ingested_at: _dt.datetime | None = None,
               start: str | None = None, end: str | None = None,
-              also: tuple[str, ...] = ()) -> DataFrame:
+              also: tuple[str, ...] = (), flag: str | None = None,
+              seen: Observation | None = None) -> DataFrame:
     """Raw records -> typed bronze rows with the ``year`` / ``month`` they are
     stored under.
 
@@ -56,8 +57,10 @@ def to_bronze(raw: DataFrame, tz: str = "Europe/Athens", ambiguous: str = "infer
     time, and for a row without a time the first requested month (``start``).
     ``start`` / ``end`` (``YYYY-MM``) keep only the requested months.
     ``ingested_at`` defaults to the query start time; ``also`` names further
-    columns of ``raw`` to carry along."""
-    df = localize(raw, "measurement_time", tz=tz, ambiguous=ambiguous)
+    columns of ``raw`` to carry along and ``flag`` a column that tells the rows
+    of an overlap hour.  ``seen`` observes which raw fields have a value in any
+    record, of other months too."""
+    df = localize(raw, "measurement_time", tz=tz, ambiguous=ambiguous, flag=flag)
     # a given stamp is a UTC wall clock; turned into an instant zone-independently
     stamp = F.current_timestamp() if ingested_at is None else F.timestamp_micros(
         wall_micros(F.lit(ingested_at.isoformat(sep=" ")).cast("timestamp_ntz")))
@@ -67,12 +70,15 @@ def to_bronze(raw: DataFrame, tz: str = "Europe/Athens", ambiguous: str = "infer
     first = F.lit(start + "-01" if start else None).cast("date")
     month = F.coalesce(asked, local, first)
     df = df.withColumns({"ingested_at": stamp, "year": F.year(month), "month": F.month(month)})
+    if seen is not None:
+        # also keeps the filter below from being pushed into, and repeating, the localisation
+        df = df.observe(seen, *[F.max(F.col(c).isNotNull()).alias(c) for c in RAW_SCHEMA.names])
     ym = F.col("year") * 100 + F.col("month")
     for bound, keep in ((start, lambda v: ym >= v), (end, lambda v: ym <= v)):
         if bound:
             y, m = _ym(bound)
             df = df.filter(keep(y * 100 + m))
-    return conform(df, BRONZE_SCHEMA, keep=(*PARTITION_KEYS, *also))
+    return conform(df, BRONZE_SCHEMA, keep=(*PARTITION_KEYS, *also, *([flag] if flag else [])))
 
 
 def ingest_months(spark: SparkSession, landing: str | list[str], bronze: str,
@@ -89,15 +95,30 @@ def ingest_months(spark: SparkSession, landing: str | list[str], bronze: str,
     With ``start`` / ``end`` only those months' landing folders are parsed
     (see ``read_landing``).  The run fails when a declared field occurs in no
     landing record at all (a NULL value is fine); ``require_fields=False``
-    loads such a field as NULL and saves the extra pass."""
-    if require_fields:
-        missing = missing_fields(spark, landing, multiline, start=start, end=end)
-        if missing:
-            raise SchemaMismatch(f"fields missing from every landing record: {missing}")
+    loads such a field as NULL.  A run that fails replaces nothing.
+
+    The landing is parsed once.  Which fields have a value is observed in that
+    pass, and only those that never have one are looked for again (up to the
+    first record with all of them).  Rows of an overlap hour are written
+    apart and their offsets told from these alone."""
     raw = read_landing(spark, landing, multiline=multiline, start=start, end=end)
-    bronze_df = to_bronze(raw, tz, ambiguous, ingested_at, start, end)
-    write_table(bronze_df, bronze, partition_by=PARTITION_KEYS,
-                cluster_by=("measurement_time",))
+    infer = ambiguous == "infer"
+    seen = Observation()
+    rows = to_bronze(raw, tz, "earlier" if infer else ambiguous, ingested_at, start, end, flag="overlap", seen=seen)
+    if not infer:
+        rows = rows.withColumn("overlap", F.lit(False))
+
+    def check(found: bool) -> None:
+        if require_fields:
+            got = seen.get if found else {}
+            missing = missing_fields(spark, landing, multiline, start=start, end=end,
+                                     among=[c for c in RAW_SCHEMA.names if not got.get(c)])
+            if missing:
+                raise SchemaMismatch(f"fields missing from every landing record: {missing}")
+
+    replace_in_two_passes(rows, bronze, PARTITION_KEYS, "overlap",
+                          lambda overlap: settle_overlap(overlap, tz=tz).select(*overlap.columns),
+                          ("measurement_time",), check)
 
 
 # Superseded records up to this number are told to the tasks by a broadcast
@@ -156,6 +177,7 @@ def current_records(raw: DataFrame) -> DataFrame:
 
 SILVER_CLUSTER = ("measurement_date", "user_id", "connection_regional_unit")
 SESSIONS_CLUSTER = ("session_date", "user_id", "behavior_bucket")
+FIND_BY = ("user_id",)              # rows are sorted by day first, so statistics can't tell users apart
 
 
 def write_silver(silver: DataFrame, path: str, months: list[tuple[int, int]] | None = None,
@@ -174,9 +196,10 @@ def write_silver(silver: DataFrame, path: str, months: list[tuple[int, int]] | N
     days = ("measurement_date",) if granularity == "day" else ()
     parts = tuple(k for k in PARTITION_KEYS if k in silver.columns)
     if months and parts:
-        replace_months(silver, path, months, SILVER_CLUSTER, days)
+        replace_months(silver, path, months, SILVER_CLUSTER, days, FIND_BY)
     else:
-        write_table(silver, path, partition_by=(*parts, *days), cluster_by=SILVER_CLUSTER, dynamic=False)
+        write_table(silver, path, partition_by=(*parts, *days), cluster_by=SILVER_CLUSTER, dynamic=False,
+                    find_by=FIND_BY)
 
 
 def write_sessions(sessions: DataFrame, path: str, granularity: str = "none") -> None:
@@ -185,7 +208,7 @@ def write_sessions(sessions: DataFrame, path: str, granularity: str = "none") ->
     if granularity not in ("none", "day"):
         raise ValueError("granularity must be 'none' or 'day'")
     write_table(sessions, path, partition_by=("session_date",) if granularity == "day" else (),
-                cluster_by=SESSIONS_CLUSTER, dynamic=False)
+                cluster_by=SESSIONS_CLUSTER, dynamic=False, find_by=FIND_BY)
 
 
 def write_gold(gold: DataFrame, path: str) -> None:
@@ -220,10 +243,7 @@ def write_regional(silver: DataFrame, path: str, months: list[tuple[int, int]] |
     source = {_month_shift(g, k) for g in days for k in (-1, 0, 1)}
     inside = _in_months(F.year(d), F.month(d), days)
     fresh = regional_metrics(silver.filter(_in_months(F.col("year"), F.col("month"), source)).filter(inside))
-    scratch_root(spark)
-    # a copy on shared storage: the table is read and replaced in one go
-    kept = old.filter(~F.coalesce(inside, F.lit(False))).checkpoint()
-    write_gold(kept.unionByName(fresh), path)
+    write_gold(old.filter(~F.coalesce(inside, F.lit(False))).unionByName(fresh), path)
 
 
 def _built_for(spark: SparkSession, path: str) -> tuple | None:
@@ -254,8 +274,7 @@ def refresh_sessions(spark: SparkSession, partials: DataFrame, path: str, touche
     timeout = timeout_seconds(session_timeout_minutes)
     late = partials.where(F.col("bucket") >= F.lit(least // timeout))
     fresh = resumed_sessions(late, cuts, session_timeout_minutes, max_days_between_sessions)
-    # a copy on shared storage: the table is read and replaced in one go
-    write_sessions(unchanged_sessions(old, cuts).unionByName(fresh).checkpoint(), path, granularity)
+    write_sessions(unchanged_sessions(old, cuts).unionByName(fresh), path, granularity)
     return True
 
 
@@ -278,6 +297,8 @@ def refresh_warehouse(spark: SparkSession, bronze: str, warehouse: str,
     """
     paths = {t: os.path.join(warehouse, t) for t in TABLES}
     partials_path = os.path.join(warehouse, PARTIALS)
+    for path in (bronze, partials_path, *paths.values()):       # what an earlier run left half-way
+        finish(spark, path)
     bronze_df = read_bronze(spark, bronze, merge_schema)
     keyed = all(k in bronze_df.columns for k in PARTITION_KEYS)
     wanted = [_ym(m) for m in months] if months and keyed else None

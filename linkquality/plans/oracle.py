@@ -11,7 +11,7 @@ from ..operators.stats import CORRELATION_COLUMNS
 from ..schema import MEASURES
 from .catalog import (BRUSH_REGIONS, BRUSH_X, BRUSH_Y, DENSITY_STEPS, DOWNSTREAM_EXTENT,
                       GAP_BANDWIDTH, GAP_STEPS, INGEST_STAMP_1, INGEST_STAMP_2, REGIONS,
-                      REINGEST_MONTH, SCAN_YEAR, SESSION_YEARS, UPSTREAM_EXTENT, WHOLE, YEARS)
+                      REINGEST_MONTH, SCAN_YEAR, SESSION_YEARS, SOME_ADDRESSES, UPSTREAM_EXTENT, WHOLE, YEARS)
 from .fixtures import AUTUMN_WINDOW_START_UTC, SQUEEZE
 from ..sources.adapters import M_EVENTS_SQL, M_LINEITEM_SQL
 
@@ -359,6 +359,11 @@ FROM m_li WHERE NOT (year(measurement_time) = {_re_y} AND month(measurement_time
           silver_cte("silver_rest", "m_rest")]
 
 ORACLE_SQL |= {
+    "silver_write_read_days": ORACLE_SQL["silver_clean"],
+    "silver_of_users": _with(*_silver_li_keys())
+    + f"SELECT user_id, measurement_id, measurement_date, {_round(['measured_downstream_mbps'])} FROM silver_lk "
+    + f"WHERE user_id IN ({', '.join(f'sha256({c!r})' for c in SOME_ADDRESSES)})",
+    "sessions_write_read_days": ORACLE_SQL["sessions_write_read"],
     "gold_write_read": ORACLE_SQL["gold_regional_metrics"],
     "serve_density_brushed": ORACLE_SQL["serve_density_upstream"].replace(FR, f"""fr AS (
 SELECT * FROM regional WHERE avg_upstream_mbps BETWEEN {BRUSH_X[0]} AND {BRUSH_X[1]}

@@ -5,9 +5,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from linkquality.plans.jobs import TABLES, ingest_months, refresh_warehouse
+from linkquality import sinks
+from linkquality.plans import jobs
+from linkquality.plans.jobs import TABLES, ingest_months, refresh_warehouse, write_sessions, write_silver
 from linkquality.schema import BRONZE_SCHEMA, RAW_SCHEMA, SchemaMismatch, conform
-from linkquality.sinks import write_table
+from linkquality.sinks import replace_months, write_table
 from linkquality.sources.landing import missing_fields, read_bronze, read_landing
 
 # An invented record with every declared field.
@@ -447,3 +449,164 @@ def test_gold_has_its_columns_and_no_folders(spark, tmp):
         gold = spark.read.parquet(paths["gold_regional_metrics"])
         assert not {"year", "month"} & set(gold.columns) and gold.count() == 1
         assert not [n for n in os.listdir(paths["gold_regional_metrics"]) if "=" in n]
+
+
+def _visible(path):
+    return sorted(n for n in os.listdir(path) if n[0] not in "_.")
+
+
+def _bad_row(spark):
+    """Three good months and a row that fails the job that writes it."""
+    df = spark.range(0, 3000, 1, 6).selectExpr("2024 AS year", "cast(id % 3 + 1 AS int) AS month", "id AS v")
+    return df.withColumn("v", F.when(F.col("v") == 2999, F.raise_error(F.lit("broken"))).otherwise(F.col("v")))
+
+
+@pytest.mark.parametrize("how", ["dynamic", "static", "plain", "months"])
+def test_failed_write_leaves_the_table(spark, tmp, how):
+    p = os.path.join(tmp, "t")
+    old = [(2024, 1, -1), (2024, 2, -2), (2023, 7, -3)]
+    parts = [] if how == "plain" else ["year", "month"]
+    write_table(spark.createDataFrame(old, "year int, month int, v long"), p, partition_by=parts)
+    with pytest.raises(Exception, match="broken"):
+        if how == "months":
+            replace_months(_bad_row(spark), p, [(2024, 1), (2024, 2), (2024, 3)])
+        else:
+            write_table(_bad_row(spark), p, partition_by=parts, dynamic=how == "dynamic")
+    assert sorted(tuple(r) for r in spark.read.parquet(p).select("year", "month", "v").collect()) == sorted(old)
+    assert not [n for n in os.listdir(p) if n.startswith(sinks.STAGING)]
+
+
+@pytest.mark.parametrize("after", [0, 1, 2])
+@pytest.mark.parametrize("how", ["dynamic", "static", "plain"])
+def test_decided_replacement_is_finished_later(spark, tmp, monkeypatch, how, after):
+    """The driver dies after some of the renames; the next write carries on."""
+    p = os.path.join(tmp, "t")
+    parts = [] if how == "plain" else ["k"]
+    write_table(spark.createDataFrame([(1, "old"), (2, "old"), (9, "old")], "k int, v string"), p, partition_by=parts)
+    move, done = sinks._move, []
+
+    def dying(spark_, source, target):
+        if not source.endswith(".part"):
+            if len(done) == after:
+                raise KeyboardInterrupt
+            done.append(target)
+        move(spark_, source, target)
+
+    monkeypatch.setattr(sinks, "_move", dying)
+    new = spark.createDataFrame([(1, "new"), (2, "new"), (3, "new")], "k int, v string").repartition(3, "k")
+    try:
+        write_table(new, p, partition_by=parts, dynamic=how == "dynamic")
+    except KeyboardInterrupt:
+        assert [n for n in os.listdir(p) if n.startswith(sinks.STAGING)]
+    monkeypatch.setattr(sinks, "_move", move)
+    sinks.finish(spark, p)
+    want = {(1, "new"), (2, "new"), (3, "new")} | ({(9, "old")} if how == "dynamic" else set())
+    assert {(r.k, r.v) for r in spark.read.parquet(p).collect()} == want
+    assert not [n for n in os.listdir(p) if n.startswith(sinks.STAGING)]
+
+
+def test_a_table_may_be_read_and_replaced_in_one_go(spark, tmp):
+    p = os.path.join(tmp, "t")
+    write_table(spark.range(10).toDF("v"), p, dynamic=False)
+    write_table(spark.read.parquet(p).selectExpr("v + 1 AS v"), p, dynamic=False)
+    assert sorted(r.v for r in spark.read.parquet(p).collect()) == list(range(1, 11))
+
+
+def test_undecided_files_are_not_read(spark, tmp):
+    p = os.path.join(tmp, "t")
+    write_table(spark.createDataFrame([(1, "a")], "k int, v string"), p, partition_by=["k"])
+    left = os.path.join(p, sinks.STAGING + "dead")
+    spark.createDataFrame([(1, "half")], "k int, v string").write.partitionBy("k").parquet(left)
+    assert [r.v for r in spark.read.parquet(p).collect()] == ["a"]
+    sinks.finish(spark, p)
+    assert [r.v for r in spark.read.parquet(p).collect()] == ["a"] and os.path.exists(left)
+
+
+def test_landing_is_parsed_once(spark, tmp, monkeypatch):
+    """All fields seen with values: the landing is not looked at again, and
+    the plan that writes bronze scans it once."""
+    recs = [dict(SAMPLE, measurement_id=i, measurement_time=f"2024-10-{20 + i % 9} 03:{i % 60:02d}:00")
+            for i in range(40)]
+    land, bronze = _landing(tmp, recs), os.path.join(tmp, "bronze")
+    plans, asked = [], []
+    save, missing = sinks._save, jobs.missing_fields
+    monkeypatch.setattr(sinks, "_save", lambda df, *a, **k: (
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString()), save(df, *a, **k)))
+    monkeypatch.setattr(jobs, "missing_fields", lambda *a, **k: (asked.append(k["among"]), missing(*a, **k))[1])
+    ingest_months(spark, land, bronze, ambiguous="earlier")
+    assert asked == [[]] and len(plans) == 1 and plans[0].lower().count(" json") == 1
+    assert read_bronze(spark, bronze).count() == 40
+
+
+def test_fields_never_with_a_value(spark, tmp):
+    """NULL or NaN throughout is a value of its own; no such key is not."""
+    bronze = os.path.join(tmp, "bronze")
+    recs = [dict(SAMPLE, measurement_id=i, ISP=None, measured_rtt_msec=float("nan")) for i in range(3)]
+    ingest_months(spark, _landing(tmp, recs, "null"), bronze)
+    assert read_bronze(spark, bronze).where("ISP IS NULL AND measured_rtt_msec IS NULL").count() == 3
+    for r in recs:
+        del r["ISP"]
+    recs[1]["measured_downstream_mbps"] = 99.0
+    with pytest.raises(SchemaMismatch, match="ISP"):
+        ingest_months(spark, _landing(tmp, recs, "without"), bronze)
+    assert read_bronze(spark, bronze).where("measured_downstream_mbps = 99").count() == 0
+    assert _visible(bronze) == ["year=2024"]
+
+
+def test_overlap_hour_of_an_ingest(spark, tmp):
+    """Both passes of the autumn hour, in the same files' month as the rest;
+    an order that can't tell them apart keeps what bronze has."""
+    walls = ["02:50", "03:10", "03:50", "03:05", "03:55", "04:10"]
+    recs = [dict(SAMPLE, measurement_id=i, measurement_time=f"2024-10-27 {w}:00") for i, w in enumerate(walls)]
+    bronze = os.path.join(tmp, "bronze")
+    ingest_months(spark, _landing(tmp, recs, "a"), bronze)
+    df = read_bronze(spark, bronze)
+    assert df.columns == [*BRONZE_SCHEMA.names, "year", "month"]
+    got = [r[0] for r in df.orderBy("measurement_id").selectExpr(
+        "date_format(to_utc_timestamp(measurement_time, current_timezone()), 'HH:mm')").collect()]
+    assert got == ["23:50", "00:10", "00:50", "01:05", "01:55", "02:10"]
+    assert _visible(os.path.join(bronze, "year=2024")) == ["month=10"]
+    again = [dict(r, measured_downstream_mbps=1.0) for r in recs[:3]]
+    with pytest.raises(Exception, match="cannot infer"):
+        ingest_months(spark, _landing(tmp, again, "b"), bronze)
+    assert read_bronze(spark, bronze).count() == 6
+    ingest_months(spark, _landing(tmp, again, "b"), bronze, ambiguous="later")
+    assert [r[0] for r in read_bronze(spark, bronze).orderBy("measurement_id").selectExpr(
+        "date_format(to_utc_timestamp(measurement_time, current_timezone()), 'HH:mm')").collect()] \
+        == ["23:50", "01:10", "01:50"]
+
+
+def _scanned(df):
+    """Rows that the plan's file scans handed on, after running it."""
+    df.collect()
+    todo, rows = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName().startswith("Scan"):
+            rows += node.metrics().apply("numOutputRows").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return rows
+
+
+@pytest.mark.parametrize("table", ["silver", "sessions"])
+def test_user_filter_skips_row_groups(spark, tmp, table):
+    """Sorted by day, users lie everywhere: only the Bloom filters tell which
+    row groups hold one."""
+    df = spark.range(0, 20000, 1, 4).selectExpr(
+        "sha2(cast(id % 4000 + (id div 5000) * 4000 AS string), 256) AS user_id",
+        "date_add(date'2024-01-01', cast(id div 5000 AS int) * 31) AS measurement_date", "id AS v")
+    p = os.path.join(tmp, table)
+    if table == "silver":
+        df = df.selectExpr("*", "'x' AS connection_regional_unit", "year(measurement_date) AS year",
+                           "month(measurement_date) AS month")
+        write_silver(df, p)
+    else:
+        write_sessions(df.selectExpr("user_id", "measurement_date AS session_date", "'b' AS behavior_bucket", "v"), p, "day")
+    # a dictionary, which large row groups don't have, must not do the filters' work
+    stored = spark.read.option("parquet.filter.dictionary.enabled", "false").parquet(p)
+    one = stored.where(F.col("user_id") == F.sha2(F.lit("4321"), 256))
+    assert one.count() == sum(1 for i in range(20000) if i % 4000 + i // 5000 * 4000 == 4321)
+    assert 0 < _scanned(one) <= 10000           # of 20,000, in files of 5,000
