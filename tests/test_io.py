@@ -592,21 +592,26 @@ def _scanned(df):
 
 
 @pytest.mark.parametrize("table", ["silver", "sessions"])
-def test_user_filter_skips_row_groups(spark, tmp, table):
+def test_user_filter_skips_row_groups(spark, tmp, monkeypatch, table):
     """Sorted by day, users lie everywhere: only the Bloom filters tell which
-    row groups hold one."""
-    df = spark.range(0, 20000, 1, 4).selectExpr(
-        "sha2(cast(id % 4000 + (id div 5000) * 4000 AS string), 256) AS user_id",
-        "date_add(date'2024-01-01', cast(id div 5000 AS int) * 31) AS measurement_date", "id AS v")
-    p = os.path.join(tmp, table)
-    if table == "silver":
-        df = df.selectExpr("*", "'x' AS connection_regional_unit", "year(measurement_date) AS year",
-                           "month(measurement_date) AS month")
-        write_silver(df, p)
-    else:
-        write_sessions(df.selectExpr("user_id", "measurement_date AS session_date", "'b' AS behavior_bucket", "v"), p, "day")
-    # a dictionary, which large row groups don't have, must not do the filters' work
-    stored = spark.read.option("parquet.filter.dictionary.enabled", "false").parquet(p)
-    one = stored.where(F.col("user_id") == F.sha2(F.lit("4321"), 256))
-    assert one.count() == sum(1 for i in range(20000) if i % 4000 + i // 5000 * 4000 == 4321)
-    assert 0 < _scanned(one) <= 10000           # of 20,000, in files of 5,000
+    row groups hold one.  (Where a row group's users are few enough for a
+    dictionary, the writer leaves the filter out and the dictionary tells.)"""
+    df = spark.range(0, 120_000, 1, 4).selectExpr(
+        "sha2(cast(id AS string), 256) AS user_id", "id AS v",
+        "date_add(add_months(date'2024-01-01', cast(id div 30000 AS int)), "
+        f"cast(id % {28 if table == 'silver' else 1} AS int)) AS measurement_date")
+    one = F.col("user_id") == F.sha2(F.lit("54321"), 256)
+    rows = {}
+    for find_by in (("user_id",), ()):
+        monkeypatch.setattr(jobs, "FIND_BY", find_by)
+        p = os.path.join(tmp, f"{table}-{len(find_by)}")
+        if table == "silver":
+            write_silver(df.selectExpr("*", "'x' AS connection_regional_unit", "year(measurement_date) AS year",
+                                       "month(measurement_date) AS month"), p)
+        else:
+            write_sessions(df.withColumnRenamed("measurement_date", "session_date")
+                           .withColumn("behavior_bucket", F.lit("b")), p, "day")
+        found = spark.read.parquet(p).where(one)
+        assert [r.v for r in found.collect()] == [54321]
+        rows[find_by] = _scanned(found)
+    assert 0 < rows["user_id",] <= 30_000 < rows[()], rows
