@@ -72,6 +72,11 @@ def localize(df: DataFrame, col: str = "measurement_time", tz: str = "Europe/Ath
       the two passes apart.  Rows of other hours that arrive in between do not
       split a date's rows.  Only the ambiguous rows are ordered
       (``_second_pass_starts``); the others are never shuffled.
+      ``ambiguous="runs"`` looks at every run of ambiguous rows that arrive
+      with no other row in between, and requires the one step of each of them;
+      an overlap that other hours' rows split fails.  Here rows without an
+      arrival number split nothing, and fail where they are ambiguous
+      (``_run_switches``).
       ``ambiguous="earlier"`` / ``"later"`` pick one offset without looking;
       ``flag`` names a column that then tells which rows were such (see
       ``settle_overlap``).
@@ -79,8 +84,8 @@ def localize(df: DataFrame, col: str = "measurement_time", tz: str = "Europe/Ath
     The gap rule assumes the transition happens on a whole hour and the gap
     lasts one hour, which holds for all European zones.
     """
-    if ambiguous not in ("infer", "earlier", "later"):
-        raise ValueError("ambiguous must be 'infer', 'earlier' or 'later'")
+    if ambiguous not in ("infer", "runs", "earlier", "later"):
+        raise ValueError("ambiguous must be 'infer', 'runs', 'earlier' or 'later'")
     dtype = df.schema[col].dataType
     if isinstance(dtype, T.TimestampType):            # already instants
         return df.withColumn(flag, F.lit(False)) if flag else df
@@ -113,10 +118,16 @@ def localize(df: DataFrame, col: str = "measurement_time", tz: str = "Europe/Ath
                   .otherwise(wall_micros(F.date_trunc("hour", c("__w"))) - c("__oa")),
     })
 
-    if ambiguous == "infer":
-        # a few dates (clocks go back once or twice a year): a bounded broadcast
-        switch = _second_pass_starts(out, order_col)
-        out = out.join(F.broadcast(switch), F.when(c("__amb"), F.to_date("__w")) == c("__date"), "left")
+    if ambiguous in ("infer", "runs"):
+        same_date = F.when(c("__amb"), F.to_date("__w")) == c("__date")
+        if ambiguous == "infer":
+            # a few dates (clocks go back once or twice a year): a bounded broadcast
+            switch = F.broadcast(_second_pass_starts(out, order_col))
+        else:
+            # no hint: the planner measures how many runs there are
+            switch = _run_switches(out, order_col)
+            same_date = same_date & c(order_col).between(c("__first"), c("__last"))
+        out = out.join(switch, same_date, "left")
         second = c(order_col) >= c("__from")
         resolved = F.when(
             c("__steps") == 1, F.when(F.coalesce(second, F.lit(False)), c("__ub")).otherwise(c("__ua"))
@@ -177,6 +188,71 @@ def _second_pass_starts(out: DataFrame, order_col: str) -> DataFrame:
         F.max(F.greatest("__at", F.when(c("__b"), c("__first.__o")))).alias("__from"))
 
 
+# Blocks of arrival numbers are put in order in ranges of this many blocks.
+_ORDER_RANGE = 1 << 12
+
+
+def _run_switches(out: DataFrame, order_col: str) -> DataFrame:
+    """Runs of ambiguous rows that follow each other in arrival order, one row
+    per run and date: ``__first`` and ``__last`` arrival number, ``__steps``,
+    how often the wall clock does not move forward, and ``__from``, the number
+    at which it last does not.
+
+    Gaps and islands at two levels: rows are put in order only inside blocks
+    of arrival numbers that hold an ambiguous row (three narrow columns, an
+    hour a year), where they form pieces of runs.  Of all other blocks only
+    their existence counts: which block has the rows before a block is found
+    inside ranges of blocks, and between the ranges by one row each.  Pieces
+    that touch across two blocks are then joined by a running number over the
+    (at most two) pieces a block has at its edges."""
+    c = F.col
+    rows = (out.where(c(order_col).isNotNull())
+            .select(F.floor(c(order_col) / F.lit(_ORDER_BLOCK)).alias("__blk"), c(order_col).alias("__o"),
+                    c("__e").alias("__t"), F.coalesce("__amb", F.lit(False)).alias("__a")))
+    blocks = (rows.groupBy("__blk").agg(F.max("__a").alias("__hot"))
+              .withColumn("__rng", F.floor(c("__blk") / F.lit(_ORDER_RANGE))))
+    ranges = (blocks.groupBy("__rng").agg(F.max("__blk").alias("__end"))
+              .withColumn("__end", F.lag("__end").over(Window.orderBy("__rng"))))     # a row per range
+    before = F.lag("__blk").over(Window.partitionBy("__rng").orderBy("__blk"))
+    hot = (blocks.withColumn("__in", before).join(ranges, "__rng").where("__hot")
+           .select("__blk", F.coalesce("__in", "__end").alias("__prev")))
+
+    order = Window.partitionBy("__blk").orderBy("__o", "__t")
+    placed = (rows.join(hot, "__blk")
+              .withColumns({"__was": F.coalesce(F.lag("__a").over(order), F.lit(False)),
+                            "__back": c("__t") <= F.lag("__t").over(order),
+                            "__n": F.row_number().over(order)})
+              .withColumn("__k", F.sum(F.when(c("__a") & ~c("__was"), 1).otherwise(0)).over(order)))
+    size = placed.groupBy("__blk").agg(F.max("__n").alias("__rows"))
+    back = c("__back") & c("__was")
+    pieces = (placed.where("__a")
+              .groupBy("__blk", "__prev", "__k").agg(
+                  F.min(F.struct("__o", "__t")).alias("__lo"), F.max(F.struct("__o", "__t")).alias("__hi"),
+                  F.min("__n").alias("__n0"), F.max("__n").alias("__n1"),
+                  F.count(F.when(back, 1)).alias("__steps"), F.max(F.when(back, c("__o"))).alias("__from"),
+                  F.collect_set(F.to_date(ntz_from_micros("__t"))).alias("__dates"))      # overlap dates
+              .join(size, "__blk")
+              .withColumns({"__open": c("__n0") == 1, "__goes_on": c("__n1") == c("__rows")}))
+    keep = ["__lo", "__hi", "__steps", "__from", "__dates"]
+    inner = pieces.where(~c("__open") & ~c("__goes_on")).select(*keep)
+
+    along = Window.orderBy("__lo")
+    edge = pieces.where(c("__open") | c("__goes_on"))
+    edge = edge.withColumn("__joined", F.coalesce(
+        c("__open") & F.lag("__goes_on").over(along) & (F.lag("__blk").over(along) == c("__prev")), F.lit(False)))
+    edge = edge.withColumns({
+        "__run": F.sum(F.when(c("__joined"), 0).otherwise(1)).over(along),
+        "__b": c("__joined") & (c("__lo.__t") <= F.lag("__hi.__t").over(along))})
+    whole = edge.groupBy("__run").agg(
+        F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"),
+        (F.sum("__steps") + F.count(F.when(c("__b"), 1))).alias("__steps"),
+        F.max(F.greatest("__from", F.when(c("__b"), c("__lo.__o")))).alias("__from"),
+        F.array_distinct(F.flatten(F.collect_list("__dates"))).alias("__dates"))
+    return (inner.unionByName(whole.select(*keep))
+            .select(F.explode("__dates").alias("__date"), c("__lo.__o").alias("__first"),
+                    c("__hi.__o").alias("__last"), "__steps", "__from"))
+
+
 # ---------------------------------------------------------------- months
 
 def month_bounds(d) -> tuple[Column, Column]:

@@ -100,7 +100,8 @@ def ingest_months(spark: SparkSession, landing: str | list[str], bronze: str,
     The landing is parsed once.  Which fields have a value is observed in that
     pass, and only those that never have one are looked for again (up to the
     first record with all of them).  Rows of an overlap hour are written
-    apart and their offsets told from these alone."""
+    apart and their offsets told from these alone; ``ambiguous="runs"`` needs
+    the other rows' places too and reads the landing's times once more."""
     raw = read_landing(spark, landing, multiline=multiline, start=start, end=end)
     infer = ambiguous == "infer"
     seen = Observation()

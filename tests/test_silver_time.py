@@ -155,3 +155,66 @@ def test_only_overlap_rows_are_shuffled(spark, tmp):
     text = plan_text(localize(spark.read.parquet(path)))
     exchanges = [part for part in text.split("\n\n") if "Exchange" in part.split("\n")[0]]
     assert exchanges and not any("payload" in part for part in exchanges)
+
+
+def _by_runs(spark, walls, ids=None):
+    rows = list(zip(ids or range(len(walls)), walls))
+    df = spark.createDataFrame(rows, "measurement_id long, measurement_time string").repartition(3)
+    return [r[0] for r in localize(df, ambiguous="runs").orderBy("measurement_id")
+            .select(F.unix_micros("measurement_time")).collect()]
+
+
+def _one_night(rng, day):
+    """Wall clocks of a night on which clocks go back, in arrival order."""
+    t = sorted(rng.uniform(0, 5) for _ in range(rng.randint(12, 30)))
+    return [f"{day} 0{int(x if x < 4 else x - 1)}:{int(x % 1 * 60):02d}:{int(x * 3600 % 60):02d}" for x in t]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_runs_equal_whole_series_inference(spark, monkeypatch, seed):
+    """Against one ordered pass over the whole series, with blocks and ranges
+    so small that runs span several and gaps leave some empty."""
+    import random
+    import pandas as pd
+    from linkquality.functions import time as lt
+    rng = random.Random(seed)
+    monkeypatch.setattr(lt, "_ORDER_BLOCK", rng.choice([2, 3, 5]))
+    monkeypatch.setattr(lt, "_ORDER_RANGE", rng.choice([1, 2, 3]))
+    walls = []
+    for day in ("2022-10-30", "2023-10-29", "2024-10-27"):
+        walls += _one_night(rng, day)
+    if seed % 3 == 1:           # another hour's row within the overlap
+        at = next(i for i, w in enumerate(walls) if " 03:" in w)
+        walls.insert(at + 2, "2022-10-30 12:00:00")
+    if seed % 3 == 2:           # one more step back
+        at = max(i for i, w in enumerate(walls) if " 03:" in w)
+        walls.insert(at + 1, walls[at])
+    ids, n = [], 0
+    for _ in walls:
+        n += rng.choice([1, 1, 1, 2, 9])
+        ids.append(n)
+    try:
+        want = list(pd.Series(pd.to_datetime(walls)).dt.tz_localize(
+            "Europe/Athens", ambiguous="infer", nonexistent="shift_forward").astype("int64"))
+    except Exception as e:      # noqa: BLE001 - the class depends on the zone library
+        assert "Ambiguous" in type(e).__name__ or "dst" in str(e).lower(), e
+        want = None
+    if want is None:
+        with pytest.raises(Exception, match="cannot infer"):
+            _by_runs(spark, walls, ids)
+    else:
+        unit = max(want) // 10 ** 15
+        assert _by_runs(spark, walls, ids) == [w // (1000 if unit > 1000 else 1) for w in want]
+
+
+def test_runs_by_hand(spark):
+    """A lone row or a run that only moves forward can't be told; two runs of
+    one date are two runs; rows of other hours split them."""
+    for walls in (["2024-10-27 03:10:00"], ["2024-10-27 03:10:00", "2024-10-27 03:20:00"],
+                  ["2024-10-27 03:10:00", "2024-10-27 09:00:00", "2024-10-27 03:05:00"]):
+        with pytest.raises(Exception, match="cannot infer"):
+            _by_runs(spark, walls)
+    two = [f"2024-10-27 {x}:00" for x in ("03:10", "03:05", "09:00", "03:50", "03:40")]
+    got = _by_runs(spark, two)
+    assert [got[1] - got[0], got[4] - got[3]] == [55 * 60 * 10 ** 6, 50 * 60 * 10 ** 6]
+    assert _by_runs(spark, ["2024-03-31 03:30:00", "2024-03-31 04:00:00"]) == [1711846800000000] * 2
