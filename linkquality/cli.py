@@ -34,7 +34,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         q.add_argument("--landing", required=True)
         q.add_argument("--bronze", required=True)
         q.add_argument("--tz", default="Europe/Athens")
-        q.add_argument("--ambiguous", default="infer", choices=["infer", "earlier", "later"])
+        q.add_argument("--ambiguous", default="infer", choices=["infer", "runs", "earlier", "later"])
         q.add_argument("--allow-missing-fields", action="store_true")
 
     b = sub.add_parser("backfill", help="ingest every month from START to END (YYYY-MM)")

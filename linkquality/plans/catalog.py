@@ -37,6 +37,7 @@ from .jobs import (ingest_months, refresh_warehouse, to_bronze, write_regional,
 REGIONS = ("N/A", "ASIA", "EUROPE")
 YEARS = (1997, 2001)
 SESSION_YEARS = (2024, 2024)
+LATER_IDS = 10_000_000_000      # the second autumn's measurements arrive after the first's
 SOME_ADDRESSES = ("10.1.7", "10.1.23", "10.1.61", "10.1.100")
 BRUSH_REGIONS = ("ASIA", "EUROPE")
 BRUSH_X = (10.0, 40.0)
@@ -128,6 +129,22 @@ def q_bronze_localized(spark, sf):
     return _ntz(out, "measurement_time")
 
 
+def q_bronze_two_autumns(spark, sf):
+    """Two years' overlap hours, each one run in arrival order."""
+    a, b = (fixtures.autumn_instants(spark, sf, begin) for begin in (
+        fixtures.EARLIER_AUTUMN_START_UTC, fixtures.AUTUMN_WINDOW_START_UTC))
+    late = b.withColumn("measurement_id", F.col("measurement_id") + F.lit(LATER_IDS))
+    both = a.unionByName(late).select("measurement_id", fixtures.local_text(F.col("utc_time")).alias("measurement_time"))
+    return _ntz(localize(both, "measurement_time", ambiguous="runs"), "measurement_time")
+
+
+def q_bronze_spring_gap(spark, sf):
+    """Wall clocks of a spring night, an hour of which does not exist."""
+    walls = fixtures.autumn_instants(spark, sf, fixtures.SPRING_WINDOW_START_LOCAL).select(
+        "measurement_id", F.col("utc_time").alias("measurement_time"))
+    return _ntz(localize(walls, "measurement_time"), "measurement_time")
+
+
 def q_bronze_offset_times(spark, sf):
     out = localize(_autumn_text(spark, sf, True), "measurement_time")
     return _ntz(out, "measurement_time")

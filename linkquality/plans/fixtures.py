@@ -16,6 +16,10 @@ from ..sources.landing import FETCH_MONTH
 # into the six hours from 22:00 UTC the evening before.
 AUTUMN_WINDOW_START_UTC = "2026-10-24 22:00:00"
 SQUEEZE = 120  # 30 days -> 6 hours
+# The same change a year earlier, and the start of a night on which clocks go
+# forward (03:00 -> 04:00 local, at 01:00 UTC).
+EARLIER_AUTUMN_START_UTC = "2025-10-25 22:00:00"
+SPRING_WINDOW_START_LOCAL = "2026-03-29 00:00:00"
 
 ID_AS_FLOAT = ("connection_postal_code", "connection_municipality_id",
                "connection_regional_unit_id", "connection_periphery_id")
@@ -39,13 +43,13 @@ def write_landing(spark: SparkSession, df: DataFrame, name: str) -> str:
     return path
 
 
-def autumn_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``m_events`` moved onto the autumn change: the instant of each event is
+def autumn_instants(spark: SparkSession, sf_dir: str, begin: str = AUTUMN_WINDOW_START_UTC) -> DataFrame:
+    """``m_events`` moved onto the autumn change (or to ``begin``): the instant of each event is
     ``start + (ts - first ts) / 120`` (UTC, as ``timestamp_ntz``), in event
     order, so the local wall clock passes 03:00-03:59 twice."""
     ev = m_events(spark, sf_dir)
     first = ev.agg(F.min("measurement_time").alias("t0"))
-    start = wall_micros(F.lit(AUTUMN_WINDOW_START_UTC).cast("timestamp_ntz"))
+    start = wall_micros(F.lit(begin).cast("timestamp_ntz"))
     micros = start + F.floor((wall_micros("measurement_time") - wall_micros("t0")) / SQUEEZE)
     return (ev.withColumn("t0", first.select("t0").scalar())
             .withColumn("utc_time", ntz_from_micros(micros.cast("long"))).drop("t0"))

@@ -11,8 +11,9 @@ from ..operators.stats import CORRELATION_COLUMNS
 from ..schema import MEASURES
 from .catalog import (BRUSH_REGIONS, BRUSH_X, BRUSH_Y, DENSITY_STEPS, DOWNSTREAM_EXTENT,
                       GAP_BANDWIDTH, GAP_STEPS, INGEST_STAMP_1, INGEST_STAMP_2, REGIONS,
-                      REINGEST_MONTH, SCAN_YEAR, SESSION_YEARS, SOME_ADDRESSES, UPSTREAM_EXTENT, WHOLE, YEARS)
-from .fixtures import AUTUMN_WINDOW_START_UTC, SQUEEZE
+                      LATER_IDS, REINGEST_MONTH, SCAN_YEAR, SESSION_YEARS, SOME_ADDRESSES, UPSTREAM_EXTENT, WHOLE, YEARS)
+from .fixtures import (AUTUMN_WINDOW_START_UTC, EARLIER_AUTUMN_START_UTC, SPRING_WINDOW_START_LOCAL,
+                       SQUEEZE)
 from ..sources.adapters import M_EVENTS_SQL, M_LINEITEM_SQL
 
 R = 6
@@ -358,7 +359,18 @@ SELECT * REPLACE ({_athens_to_utc('measurement_time')} AS measurement_time),
 FROM m_li WHERE NOT (year(measurement_time) = {_re_y} AND month(measurement_time) = {_re_m}))""",
           silver_cte("silver_rest", "m_rest")]
 
+# On a spring day local time is UTC+2 before 03:00 and UTC+3 from 04:00; the
+# hour between them is the change itself, 01:00 UTC.
 ORACLE_SQL |= {
+    "bronze_two_autumns": _with(EV, AUTUMN.replace(AUTUMN_WINDOW_START_UTC, EARLIER_AUTUMN_START_UTC),
+                                AUTUMN.replace("autumn AS", "later AS"))
+    + "SELECT measurement_id, measurement_time FROM autumn UNION ALL "
+    + f"SELECT measurement_id + {LATER_IDS}, measurement_time FROM later",
+    "bronze_spring_gap": _with(EV, AUTUMN.replace(AUTUMN_WINDOW_START_UTC, SPRING_WINDOW_START_LOCAL))
+    + """SELECT measurement_id, CASE
+    WHEN measurement_time < TIMESTAMP '2026-03-29 03:00:00' THEN measurement_time - INTERVAL 2 HOUR
+    WHEN measurement_time < TIMESTAMP '2026-03-29 04:00:00' THEN TIMESTAMP '2026-03-29 01:00:00'
+    ELSE measurement_time - INTERVAL 3 HOUR END AS measurement_time FROM autumn""",
     "silver_write_read_days": ORACLE_SQL["silver_clean"],
     "silver_of_users": _with(*_silver_li_keys())
     + f"SELECT user_id, measurement_id, measurement_date, {_round(['measured_downstream_mbps'])} FROM silver_lk "
