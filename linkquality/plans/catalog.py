@@ -121,12 +121,12 @@ def q_bronze_typed(spark, sf):
 def _autumn_text(spark, sf, with_offset):
     ev = fixtures.autumn_instants(spark, sf)
     return ev.select("measurement_id", fixtures.local_text(F.col("utc_time"), with_offset=with_offset)
-                     .alias("measurement_time"))
+                     .alias("measurement_time"), fixtures.arrival(F.col("utc_time")).alias("arrival"))
 
 
 def q_bronze_localized(spark, sf):
-    out = localize(_autumn_text(spark, sf, False), "measurement_time")
-    return _ntz(out, "measurement_time")
+    out = localize(_autumn_text(spark, sf, False), "measurement_time", order_col="arrival")
+    return _ntz(out, "measurement_time").drop("arrival")
 
 
 def q_bronze_two_autumns(spark, sf):
@@ -134,8 +134,10 @@ def q_bronze_two_autumns(spark, sf):
     a, b = (fixtures.autumn_instants(spark, sf, begin) for begin in (
         fixtures.EARLIER_AUTUMN_START_UTC, fixtures.AUTUMN_WINDOW_START_UTC))
     late = b.withColumn("measurement_id", F.col("measurement_id") + F.lit(LATER_IDS))
-    both = a.unionByName(late).select("measurement_id", fixtures.local_text(F.col("utc_time")).alias("measurement_time"))
-    return _ntz(localize(both, "measurement_time", ambiguous="runs"), "measurement_time")
+    both = a.unionByName(late).select("measurement_id", fixtures.local_text(F.col("utc_time")).alias("measurement_time"),
+                                      fixtures.arrival(F.col("utc_time")).alias("arrival"))
+    out = localize(both, "measurement_time", order_col="arrival", ambiguous="runs")
+    return _ntz(out, "measurement_time").drop("arrival")
 
 
 def q_bronze_spring_gap(spark, sf):
@@ -147,7 +149,7 @@ def q_bronze_spring_gap(spark, sf):
 
 def q_bronze_offset_times(spark, sf):
     out = localize(_autumn_text(spark, sf, True), "measurement_time")
-    return _ntz(out, "measurement_time")
+    return _ntz(out, "measurement_time").drop("arrival")
 
 
 def q_bronze_partition_overwrite(spark, sf):

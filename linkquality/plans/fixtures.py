@@ -45,8 +45,8 @@ def write_landing(spark: SparkSession, df: DataFrame, name: str) -> str:
 
 def autumn_instants(spark: SparkSession, sf_dir: str, begin: str = AUTUMN_WINDOW_START_UTC) -> DataFrame:
     """``m_events`` moved onto the autumn change (or to ``begin``): the instant of each event is
-    ``start + (ts - first ts) / 120`` (UTC, as ``timestamp_ntz``), in event
-    order, so the local wall clock passes 03:00-03:59 twice."""
+    ``start + (ts - first ts) / 120`` (UTC, as ``timestamp_ntz``), so the local
+    wall clock passes 03:00-03:59 twice."""
     ev = m_events(spark, sf_dir)
     first = ev.agg(F.min("measurement_time").alias("t0"))
     start = wall_micros(F.lit(begin).cast("timestamp_ntz"))
@@ -55,6 +55,12 @@ def autumn_instants(spark: SparkSession, sf_dir: str, begin: str = AUTUMN_WINDOW
             .withColumn("utc_time", ntz_from_micros(micros.cast("long"))).drop("t0"))
 
 
+def arrival(utc_ntz):
+    """Number that grows with arrival: tests arrive when they are made, in
+    whatever order their ids were given."""
+    return wall_micros(utc_ntz)
+
+
 def local_text(utc_ntz, tz: str = "Europe/Athens", with_offset: bool = False):
     """Wall-clock text in ``tz`` of a UTC ``timestamp_ntz`` (optionally with
     its ``+hh:mm`` offset), as a device in that zone would print it."""

@@ -218,3 +218,30 @@ def test_runs_by_hand(spark):
     got = _by_runs(spark, two)
     assert [got[1] - got[0], got[4] - got[3]] == [55 * 60 * 10 ** 6, 50 * 60 * 10 ** 6]
     assert _by_runs(spark, ["2024-03-31 03:30:00", "2024-03-31 04:00:00"]) == [1711846800000000] * 2
+
+
+@pytest.mark.parametrize("key", ["bronze_localized", "bronze_two_autumns"])
+def test_ids_out_of_time_order(spark, tmp, key):
+    """Ids that don't follow time and tests made at the same moment: the
+    arrival, not the id, tells the two passes of the overlap hour."""
+    import os
+    from linkquality.plans import catalog
+    from linkquality.plans.fixtures import AUTUMN_WINDOW_START_UTC, EARLIER_AUTUMN_START_UTC
+    start, hours = dt.datetime(2024, 1, 1), [x * 10 + k * 3.7 for x in range(72) for k in (0, 1)]
+    rows = [(i, start + dt.timedelta(hours=h), 1, "view", 3.0, "{}") for i, h in enumerate(hours)]
+    rows += [(1000 + i, *r[1:]) for i, r in enumerate(reversed(rows))]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+                                "props string").write.parquet(os.path.join(tmp, "events.parquet"))
+    want = []
+    for begin, add in ((AUTUMN_WINDOW_START_UTC, catalog.LATER_IDS * (key == "bronze_two_autumns")),
+                       *([(EARLIER_AUTUMN_START_UTC, 0)] * (key == "bronze_two_autumns"))):
+        want += [(r[0] + add, dt.datetime.fromisoformat(begin) + (r[1] - start) / 120) for r in rows]
+    got = catalog.QUERIES[key](spark, tmp)
+    assert sorted(map(tuple, got.select("measurement_id", "measurement_time").collect())) == sorted(want)
+
+
+def test_rows_that_came_at_once_are_no_step(spark):
+    twice = sorted(AUTUMN + AUTUMN)
+    want = [x for x in _loc(spark, AUTUMN) for _ in range(2)]
+    assert _loc(spark, twice) == want
+    assert len(set(_by_runs(spark, [w for _, w in twice], [i for i, _ in twice]))) == len(AUTUMN)
