@@ -182,15 +182,14 @@ def q_silver_clean(spark, sf):
     return silver_events(spark, sf)
 
 
-def _silver_lineitem_keys(spark, sf):
+def _lineitem_keys(spark, sf):
     li = m_lineitem(spark, sf)
-    li = li.withColumns({"year": F.year("measurement_time"), "month": F.month("measurement_time")})
-    return clean_measurements(li)
+    return li.withColumns({"year": F.year("measurement_time"), "month": F.month("measurement_time")})
 
 
 def q_silver_write_read(spark, sf):
     path = scratch_path(spark, "silver")
-    write_silver(_silver_lineitem_keys(spark, sf), path)
+    write_silver(_lineitem_keys(spark, sf), path, clean=clean_measurements)
     return read_table(spark, path)
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
@@ -182,7 +183,8 @@ FIND_BY = ("user_id",)              # rows are sorted by day first, so statistic
 
 
 def write_silver(silver: DataFrame, path: str, months: list[tuple[int, int]] | None = None,
-                 granularity: str = "month") -> None:
+                 granularity: str = "month",
+                 clean: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """silver_measurements layout: folders by the bronze month keys when the
     frame has them, and with ``granularity="day"`` below them by
     ``measurement_date``; rows rebalanced on the folder keys and sorted by
@@ -191,16 +193,20 @@ def write_silver(silver: DataFrame, path: str, months: list[tuple[int, int]] | N
     Day folders prune day filters at listing time, for tables whose days fill
     files; with month folders Parquet min/max statistics answer them.  With
     ``months`` exactly those months are replaced (one without rows is
-    emptied), else the whole table."""
+    emptied), else the whole table.  ``clean`` makes silver rows of ``silver``
+    where that still holds bronze rows: with month folders after the rebalance,
+    which then carries addresses and not their digests."""
     if granularity not in ("month", "day"):
         raise ValueError("granularity must be 'month' or 'day'")
     days = ("measurement_date",) if granularity == "day" else ()
+    if clean and days:                  # the rebalance needs the day
+        silver, clean = clean(silver), None
     parts = tuple(k for k in PARTITION_KEYS if k in silver.columns)
     if months and parts:
-        replace_months(silver, path, months, SILVER_CLUSTER, days, FIND_BY)
+        replace_months(silver, path, months, SILVER_CLUSTER, days, FIND_BY, clean)
     else:
         write_table(silver, path, partition_by=(*parts, *days), cluster_by=SILVER_CLUSTER, dynamic=False,
-                    find_by=FIND_BY)
+                    find_by=FIND_BY, derive=clean)
 
 
 def write_sessions(sessions: DataFrame, path: str, granularity: str = "none") -> None:
@@ -305,9 +311,8 @@ def refresh_warehouse(spark: SparkSession, bronze: str, warehouse: str,
     wanted = [_ym(m) for m in months] if months and keyed else None
     if wanted:
         bronze_df = bronze_df.filter(_in_months(F.col("year"), F.col("month"), wanted))
-    cleaned = clean_measurements(bronze_df)
-    write_silver(cleaned, paths["silver_measurements"], wanted, silver_by)
-    silver = spark.read.schema(cleaned.schema).parquet(paths["silver_measurements"])
+    write_silver(bronze_df, paths["silver_measurements"], wanted, silver_by, clean_measurements)
+    silver = spark.read.schema(clean_measurements(bronze_df).schema).parquet(paths["silver_measurements"])
 
     built_for = (timeout_seconds(session_timeout_minutes), float(max_days_between_sessions))
     partial = wanted and _built_for(spark, partials_path) == built_for

@@ -95,10 +95,11 @@ def m_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     # orders and customer grow with it and are left to the planner / AQE.
     na = F.broadcast(load(spark, sf_dir, "nation"))
     rg = F.broadcast(load(spark, sf_dir, "region"))
-    j = (li.join(od, li.l_orderkey == od.o_orderkey)
-           .join(cu, F.col("o_custkey") == cu.c_custkey)
-           .join(na, F.col("c_nationkey") == na.n_nationkey)
-           .join(rg, F.col("n_regionkey") == rg.r_regionkey))
+    # The narrow tables are put together first, so lineitem is shuffled once.
+    od = (od.join(cu, od.o_custkey == cu.c_custkey)
+            .join(na, F.col("c_nationkey") == na.n_nationkey)
+            .join(rg, F.col("n_regionkey") == rg.r_regionkey))
+    j = li.join(od, li.l_orderkey == od.o_orderkey)
     ck = F.col("c_custkey")
     return j.select(
         F.col("l_shipdate").alias("measurement_time"),
