@@ -56,32 +56,30 @@ def pack_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             out_schema = out_schema or pa.schema(
                 [("id", batch.schema.field("id").type), ("start", pa.int64()),
                  ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64())])
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                rows, starts, lengths, ids, totals, size = [], [], [], [], [], 0
-
-                def flush():
-                    keys = part.column("id").take(pa.array(rows, pa.int64()))
-                    return pa.RecordBatch.from_arrays(
-                        [keys, pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()),
-                         pa.array(ids, pa.binary()), pa.array(totals, pa.int64())],
-                        schema=out_schema)
-
-                for k, text in enumerate(part.column("text").to_pylist()):
-                    data = enc.encode(text) + end
-                    n, start = len(data) // 4, 0
-                    for length in binary_lengths(n, max_length):
-                        rows.append(k)
-                        starts.append(start)
-                        lengths.append(length)
-                        ids.append(data[4 * start:4 * (start + length)])
-                        totals.append(n)
-                        start, size = start + length, size + length
-                        if size > 1 << 20:
-                            yield flush()
-                            rows, starts, lengths, ids, totals, size = [], [], [], [], [], 0
-                if rows:
-                    yield flush()
+            rows, starts, lengths, ids, totals, size = [], [], [], [], [], 0
+
+            def flush():
+                keys = batch.column("id").take(pa.array(rows, pa.int64()))
+                return pa.RecordBatch.from_arrays(
+                    [keys, pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()),
+                     pa.array(ids, pa.binary()), pa.array(totals, pa.int64())],
+                    schema=out_schema)
+
+            for k, found in enumerate(enc.encode_all(batch.column("text"))):
+                data = found + end
+                n, start = len(data) // 4, 0
+                for length in binary_lengths(n, max_length):
+                    rows.append(k)
+                    starts.append(start)
+                    lengths.append(length)
+                    ids.append(data[4 * start:4 * (start + length)])
+                    totals.append(n)
+                    start, size = start + length, size + length
+                    if size > 1 << 18:
+                        yield flush()
+                        rows, starts, lengths, ids, totals, size = [], [], [], [], [], 0
+            if rows:
+                yield flush()
 
     pieces = fields.mapInArrow(pack, schema)
     return pieces.select(F.col("id").alias(id_col), "start", "length", "ids", "doc_tokens",

@@ -27,10 +27,7 @@ def encoded_lengths(df: DataFrame, text_col: str = "text", tokenizer_path: str |
         import pyarrow as pa
 
         from .tokens import encoder
-        enc, got = encoder(path), []
-        for at in range(0, len(texts), 128):
-            got += [len(enc.encode(t)) // 4 for t in texts.slice(at, 128).to_pylist()]
-        return pa.array(got, pa.int64())
+        return pa.array([len(ids) // 4 for ids in encoder(path).encode_all(texts)], pa.int64())
 
     return df.withColumn(out, F.arrow_udf(lengths, "long")(F.col(text_col).cast("string")))
 

@@ -1,8 +1,12 @@
 import random
+import string
 import struct
 import zlib
 from collections import defaultdict
 
+import pyarrow as pa
+
+from linkquality.llm import tokens
 from linkquality.llm.packing import binary_lengths, pack_documents, piece_digest, write_buckets
 from linkquality.llm.token_counts import encoded_lengths, length_histogram, length_quantiles, truncated_total
 from linkquality.llm.tokens import Encoder, default_path
@@ -19,6 +23,61 @@ def test_memo_equals_tokenizer():
         assert enc.encode(t) == enc.whole(t), repr(t)
 
 
+def test_all_texts_at_once_equal_tokenizer(monkeypatch):
+    rng = random.Random(5)
+    texts = [None, *TEXTS, "née, où. l'été,\nÀ la. vu à x, …, ½, x²."] + [
+        " ".join("".join(rng.choice("abcdeéà.,'1") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(0, 60)))
+        for _ in range(1500)]
+    texts += [" ".join(map(str, range(700))), "a.b, " * 300, "日本語。" * 200, "x" * 3000]
+    enc = Encoder(default_path(), memo_words=800)
+    assert enc.memo
+    want = [enc.whole(t or "") for t in texts]
+    assert list(enc.encode_all(pa.array(texts))) == want
+    assert list(enc.encode_all(pa.array(texts, pa.large_string()).slice(7))) == want[7:]
+    assert list(enc.encode_all(pa.array([], pa.string()))) == []
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 500)        # long texts go in parts
+    assert list(enc.encode_all(pa.array(texts))) == want
+    enc.memo = False
+    assert list(enc.encode_all(pa.array(texts[:50]))) == want[:50]
+
+
+class Counted:
+    """The library's tokenizer or model, counting calls."""
+
+    def __init__(self, inner, calls):
+        self.inner, self.calls = inner, calls
+
+    def tokenize(self, text):
+        self.calls.append(text)
+        return self.inner.tokenize(text)
+
+    def encode(self, text, **how):
+        self.calls.append(text)
+        return self.inner.encode(text, **how)
+
+
+def test_new_words_share_calls_of_the_library(docs_of):
+    rng = random.Random(7)
+    words = ["".join(rng.choices(string.ascii_lowercase, k=8)) for _ in range(4000)]
+    texts = [" ".join(words[at:at + 100]) + "." for at in range(0, 4000, 100)]
+    enc = Encoder(default_path())
+    calls = []
+    enc.model, enc.tokenizer = Counted(enc.model, calls), Counted(enc.tokenizer, calls)
+    got = list(getattr(enc, "encode_all", lambda a: map(enc.encode, a.to_pylist()))(pa.array(texts)))
+    assert len(calls) < 200                     # one a new word: 4000
+    calls.clear()
+    assert list(enc.encode_all(pa.array(texts))) == got and not calls
+    assert got == [enc.whole(t) for t in texts]
+
+
+def test_memo_is_bounded():
+    enc = Encoder(default_path(), memo_words=1000)
+    for at in range(0, 20000, 100):
+        next(enc.encode_all(pa.array([" ".join(f"w{k}" for k in range(at, at + 100))])))
+        assert len(enc.known) <= 1000 and len(enc.sizes) == len(enc.met) == len(enc.known)
+        assert len(enc.ids) == enc.sizes.sum()
+
+
 def test_binary_lengths():
     for n in (1, 2, 3, 1023, 1024, 1025, 5000):
         parts = binary_lengths(n, 1024)
