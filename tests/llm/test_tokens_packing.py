@@ -28,7 +28,7 @@ def test_all_texts_at_once_equal_tokenizer(monkeypatch):
     texts = [None, *TEXTS, "née, où. l'été,\nÀ la. vu à x, …, ½, x²."] + [
         " ".join("".join(rng.choice("abcdeéà.,'1") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(0, 60)))
         for _ in range(1500)]
-    texts += [" ".join(map(str, range(700))), "a.b, " * 300, "日本語。" * 200, "x" * 3000]
+    texts += [" ".join(map(str, range(700))), "a.b, " * 300, "日本語。" * 200, "x" * 3000, "a b " * 400 + "<|endoftext|> x"]
     enc = Encoder(default_path(), memo_words=800)
     assert enc.memo
     want = [enc.whole(t or "") for t in texts]
