@@ -309,6 +309,74 @@ def test_only_hashes_of_records_are_shuffled(spark, tmp):
             assert "ISP" not in block and "client_ip" not in block, block
 
 
+def test_records_are_dealt_out_by_test_once(spark, tmp):
+    from linkquality.plans.inspect import plan_text
+    from linkquality.plans.jobs import superseded
+    from linkquality.sources.landing import read_landing
+    raw = read_landing(spark, _landing(tmp, [SAMPLE]), with_file=True).withColumn("delivery", F.lit(1).cast("long"))
+    tree = plan_text(superseded(raw)).split("\n\n\n")[1]
+    assert sum("Exchange" in block.split("\n")[0] for block in tree.split("\n\n")) == 2
+
+
+def test_record_hashes_tell_null_empty_and_signs(spark):
+    from linkquality.plans.jobs import record_hash
+    rows = [(None, "", 0.0), ("", None, 0.0), ("", "", 0.0), (None, None, 0.0), ("", "", -0.0), ("", "", None)]
+    df = spark.createDataFrame(rows * 2, "ISP string, client_ip string, measured_rtt_msec double")
+    names = ("ISP", "client_ip", "measured_rtt_msec")
+    got = df.select(F.struct(*record_hash(names).values()).alias("h")).groupBy("h").count().collect()
+    assert [r["count"] for r in got] == [2] * 6
+    assert all(r.h[0] != r.h[1] for r in got)
+
+
+def test_files_that_do_not_count_are_not_read_for_bronze(spark, tmp, monkeypatch):
+    """A file dropped twice is hashed, and bronze written from the first one in
+    one scan; a run that failed is made good by the next, whose files are a later delivery."""
+    from linkquality import sinks
+    from linkquality.streaming import ingest
+    land, bronze, ck = (os.path.join(tmp, n) for n in ("land", "bronze", "ck"))
+    os.makedirs(land)
+
+    def drop(name, ids, day="2024-06-10", mbps=1.0):
+        with open(os.path.join(land, name), "w", encoding="utf-8") as f:
+            f.writelines(json.dumps(dict(SAMPLE, measurement_id=i, measurement_time=f"{day} 10:00:00",
+                                         measured_downstream_mbps=mbps)) + "\n" for i in ids)
+
+    read, plans, save, real = [], [], sinks._save, ingest.read_landing
+    monkeypatch.setattr(ingest, "read_landing", lambda spark, path, **kw: read.append(
+        sorted(os.path.basename(p) for p in path)) or real(spark, path, **kw))
+    monkeypatch.setattr(sinks, "_save", lambda df, *a, **k: (
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString()), save(df, *a, **k)))
+    drop("a.json", [1, 2])
+    drop("july.json", [7], "2024-07-01")
+    ingest.ingest_new_files(spark, land, bronze, ck)
+    assert plans[0].lower().count(" json") == 1
+    drop("again.json", [1, 2])
+    assert ingest.ingest_new_files(spark, land, bronze, ck)[1] == ["2024-06"]
+    assert read[-2:] == [["a.json", "again.json"], ["a.json"]]
+    # a file with another month's records: those are not looked at
+    drop("both.json", [1], mbps=5.0)
+    drop("both2.json", [2], mbps=6.0)
+    with open(os.path.join(land, "both2.json"), "a", encoding="utf-8") as f:
+        f.write(json.dumps(dict(SAMPLE, measurement_id=8, measurement_time="2024-08-01 10:00:00")) + "\n")
+
+    def broken(*a, **k):
+        raise OSError("no room")
+    monkeypatch.setattr(sinks, "_save", broken)
+    with pytest.raises(OSError, match="no room"):
+        ingest.ingest_new_files(spark, land, bronze, ck)
+    assert sorted(r[0] for r in read_bronze(spark, bronze).select("measured_downstream_mbps").collect()) == [1.0] * 3
+    monkeypatch.setattr(sinks, "_save", save)
+    drop("later.json", [2], mbps=9.0)
+    assert ingest.ingest_new_files(spark, land, bronze, ck, max_files_per_batch=1)[1] == ["2024-06", "2024-08"]
+    got = {r.measurement_id: r.measured_downstream_mbps for r in read_bronze(spark, bronze).collect()}
+    assert got == {1: 5.0, 2: 9.0, 7: 1.0, 8: SAMPLE["measured_downstream_mbps"]}
+    drop("late.json", [2], mbps=3.0)
+    assert ingest.ingest_new_files(spark, land, bronze, ck)[1] == ["2024-06"]
+    got = {r.measurement_id: r.measured_downstream_mbps for r in read_bronze(spark, bronze).collect()}
+    assert got == {1: 5.0, 2: 3.0, 7: 1.0, 8: SAMPLE["measured_downstream_mbps"]}
+    assert ingest.ingest_new_files(spark, land, bronze, ck)[1] == []
+
+
 def test_monthly_sessions_read_late_buckets_only(spark, tmp, monkeypatch):
     """The partials of the months before are left out by their statistics,
     and sessions before the cut are carried over."""
