@@ -84,3 +84,39 @@ def test_lineitem_is_shuffled_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     exchanges = [part for part in text.split("\n\n") if "Exchange" in part.split("\n")[0]]
     assert sum("l_extendedprice" in part for part in exchanges) == 1
+
+
+def test_sessions_just_formed_are_not_dealt_again(spark, tmp, monkeypatch):
+    """A refresh, whole or of a month, sorts sessions in the partitions that the window or join left."""
+    from linkquality.plans import jobs
+    bronze, warehouse = catalog._bronze_lineitem(spark, SF001), os.path.join(tmp, "wh")
+    plans, real = {}, sinks._save
+
+    def save(df, path, *a, **k):
+        plans.setdefault(os.path.basename(os.path.dirname(path)), []).append(k.get("dealt", a[-1] if a else None))
+        real(df, path, *a, **k)
+    monkeypatch.setattr(sinks, "_save", save)
+    paths = jobs.refresh_warehouse(spark, bronze, warehouse)
+    whole = spark.read.parquet(paths["silver_user_sessions"])
+    want = sorted(map(str, whole.collect()))
+    jobs.refresh_warehouse(spark, bronze, warehouse, months=["1998-06"])
+    assert plans["silver_user_sessions"] == [True, True]
+    assert sorted(map(str, spark.read.parquet(paths["silver_user_sessions"]).collect())) == want
+
+
+def test_months_refresh_leaves_no_shuffle_files(spark, tmp, monkeypatch):
+    from linkquality.plans import jobs
+    bronze, warehouse = catalog._bronze_lineitem(spark, SF001), os.path.join(tmp, "wh")
+    jobs.refresh_warehouse(spark, bronze, warehouse)
+    asked, real = [], type(whole := spark.range(1)).checkpoint
+    monkeypatch.setattr(type(whole), "checkpoint", lambda self, *a: (
+        asked.append(spark.conf.get(sinks.FREE_SHUFFLES, None)), real(self, *a))[1])
+    jobs.refresh_warehouse(spark, bronze, warehouse, months=["1998-06"])
+    assert len(asked) >= 2 and set(asked) == {"true"}
+
+
+def test_ingested_landing_copy_is_removed(spark, monkeypatch):
+    made, real = [], fixtures.lineitem_landing
+    monkeypatch.setattr(fixtures, "lineitem_landing", lambda *a, **k: made.append(real(*a, **k)) or made[-1])
+    assert spark.read.parquet(catalog._bronze_lineitem(spark, SF001)).count()
+    assert made and not sinks._exists(spark, made[0])
